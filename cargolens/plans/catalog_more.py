@@ -1,3 +1,58 @@
 """Queries of the later milestones (checks, consumption, I/O, streaming)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cargolens.operators import quality, silver
+from cargolens.plans import fixtures
+from cargolens.plans.catalog import register, silver_shipments_df
+
+RUN_TS = F.lit("2026-01-01 00:00:00").cast("timestamp")
+
+
+# --- milestone 3: silver checks, DDL constraints -----------------------------
+
+
+@register("dq_checks")
+def q_dq_checks(spark, sf_dir):
+    return quality.silver_checks(silver_shipments_df(spark, sf_dir))
+
+
+@register("dq_tally")
+def q_dq_tally(spark, sf_dir):
+    return quality.check_tally(quality.silver_checks(silver_shipments_df(spark, sf_dir)))
+
+
+@register("pk_violations")
+def q_pk_violations(spark, sf_dir):
+    return quality.pk_violations(fixtures.operational_tables(spark, sf_dir))
+
+
+@register("not_null_violations")
+def q_not_null_violations(spark, sf_dir):
+    return quality.not_null_violations(fixtures.operational_tables(spark, sf_dir))
+
+
+@register("fk_orphans")
+def q_fk_orphans(spark, sf_dir):
+    return quality.fk_orphans(fixtures.operational_tables(spark, sf_dir))
+
+
+@register("length_violations")
+def q_length_violations(spark, sf_dir):
+    return quality.length_violations(fixtures.operational_tables(spark, sf_dir))
+
+
+@register("decimal_violations")
+def q_decimal_violations(spark, sf_dir):
+    return quality.decimal_violations(fixtures.operational_tables(spark, sf_dir))
+
+
+@register("apply_defaults")
+def q_apply_defaults(spark, sf_dir):
+    # An insert that omits reorder_level and last_updated: the defaults fill
+    # them. (Where the column is present, its nulls are kept.)
+    omitted = fixtures.op_inventory(spark, sf_dir).drop("reorder_level")
+    filled = quality.apply_defaults(omitted, "inventory", RUN_TS)
+    return filled.select("inventory_id", "product_id", "warehouse_id", "quantity", "reorder_level")

@@ -149,3 +149,133 @@ UNION ALL SELECT 'no_origin', CAST(COUNT_IF(NOT has_origin) AS BIGINT) FROM f
 UNION ALL SELECT 'no_destination', CAST(COUNT_IF(NOT has_destination) AS BIGINT) FROM f"""
     ),
 }
+
+CHECKS_CTE = f""",
+st AS (
+  SELECT COUNT(*) AS n,
+    COUNT_IF(carrier IS NULL) AS null_carrier, COUNT_IF(status IS NULL) AS null_status,
+    COUNT_IF(origin IS NULL) AS null_origin, COUNT_IF(destination IS NULL) AS null_destination,
+    COUNT_IF(NOT (status IN {STATUS_LIST})) AS bad_status, MIN(weight_kg) AS min_weight,
+    COUNT(DISTINCT shipment_id) AS distinct_ids,
+    COALESCE(MAX(CAST(shipment_id IS NULL AS INTEGER)), 0) AS null_id,
+    COUNT_IF(dq_flag = 'FAIL') AS dq_fails
+  FROM silver
+),
+checks AS (
+  SELECT 'Minimum row count >= 50' AS check_name, n >= 50 AS passed, CAST(n AS DOUBLE) AS actual,
+    '>= 50' AS expected FROM st
+  UNION ALL SELECT 'No nulls in carrier', null_carrier = 0, CAST(null_carrier AS DOUBLE), '0' FROM st
+  UNION ALL SELECT 'No nulls in status', null_status = 0, CAST(null_status AS DOUBLE), '0' FROM st
+  UNION ALL SELECT 'No nulls in origin', null_origin = 0, CAST(null_origin AS DOUBLE), '0' FROM st
+  UNION ALL SELECT 'No nulls in destination', null_destination = 0, CAST(null_destination AS DOUBLE), '0'
+    FROM st
+  UNION ALL SELECT 'All status values are valid', bad_status = 0, CAST(bad_status AS DOUBLE), '0' FROM st
+  UNION ALL SELECT 'All weights are positive', COALESCE(min_weight > 0, FALSE), min_weight, '> 0' FROM st
+  UNION ALL SELECT 'No duplicate shipment IDs', n - (distinct_ids + null_id) = 0,
+    CAST(n - (distinct_ids + null_id) AS DOUBLE), '0' FROM st
+  UNION ALL SELECT 'All DQ flags are PASS', dq_fails = 0, CAST(dq_fails AS DOUBLE), '0' FROM st
+)"""
+
+OPS_CTES = f"""
+{RAW_CTE},
+op_suppliers AS (
+  SELECT s_suppkey AS supplier_id, CASE WHEN s_suppkey % 50 = 7 THEN NULL ELSE s_name END AS supplier_name,
+    n_name AS country, r_name AS region, s_acctbal / CAST(900 AS DOUBLE) AS rating_value,
+    s_acctbal > 0 AS is_active
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+),
+op_products AS (
+  SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category, p_retailprice AS unit_price,
+    CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE p_partkey % 105 END AS supplier_id FROM part
+),
+op_inventory AS (
+  SELECT p_partkey AS inventory_id, p_partkey + 5 AS product_id, 'WH-' || p_brand AS warehouse_id,
+    p_size * 20 AS quantity, CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE 100 END AS reorder_level FROM part
+),
+op_orders AS (
+  SELECT o_orderkey AS order_id, o_orderkey % 2003 AS product_id, o_custkey % 101 AS supplier_id,
+    1 + o_orderkey % 100 AS quantity, o_orderstatus AS order_status FROM orders
+)"""
+
+
+def _orphans(child: str, fk: str, parent: str, pk: str, child_tab: str, parent_tab: str) -> str:
+    return (
+        f"SELECT '{child}.{fk} -> {parent}.{pk}' AS constraint_name, COUNT(*) AS n FROM {child_tab} c "
+        f"WHERE c.{fk} IS NOT NULL AND NOT EXISTS "
+        f"(SELECT 1 FROM {parent_tab} p WHERE p.{pk} = c.{fk})"
+    )
+
+
+def _length(table: str, col: str, n: int, tab: str) -> str:
+    return (
+        f"SELECT '{table}.{col}' AS constraint_name, {n} AS max_length, "
+        f"CAST(COUNT_IF(length({col}) > {n}) AS BIGINT) AS n FROM {tab}"
+    )
+
+
+ORACLE.update(
+    {
+        "dq_checks": with_silver(CHECKS_CTE + "\nSELECT * FROM checks"),
+        "dq_tally": with_silver(
+            CHECKS_CTE
+            + "\nSELECT COUNT(*) AS total, CAST(COUNT_IF(passed) AS BIGINT) AS passed, "
+            "CAST(COUNT_IF(NOT passed) AS BIGINT) AS failed FROM checks"
+        ),
+        "pk_violations": f"WITH {OPS_CTES}\n"
+        + "\nUNION ALL ".join(
+            f"SELECT '{t}.{k}' AS constraint_name, COUNT(*) - COUNT(DISTINCT {k}) AS n FROM {tab}"
+            for t, k, tab in [
+                ("suppliers", "supplier_id", "op_suppliers"),
+                ("products", "product_id", "op_products"),
+                ("inventory", "inventory_id", "op_inventory"),
+                ("orders", "order_id", "op_orders"),
+                ("shipments", "shipment_id", "raw"),
+            ]
+        ),
+        "not_null_violations": f"WITH {OPS_CTES}\n"
+        + "\nUNION ALL ".join(
+            f"SELECT '{t}.{c}' AS constraint_name, CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS n FROM {tab}"
+            for t, c, tab in [
+                ("suppliers", "supplier_name", "op_suppliers"),
+                ("products", "product_name", "op_products"),
+                ("inventory", "quantity", "op_inventory"),
+                ("orders", "quantity", "op_orders"),
+            ]
+        ),
+        "fk_orphans": f"WITH {OPS_CTES}\n"
+        + "\nUNION ALL ".join(
+            [
+                _orphans("products", "supplier_id", "suppliers", "supplier_id", "op_products", "op_suppliers"),
+                _orphans("inventory", "product_id", "products", "product_id", "op_inventory", "op_products"),
+                _orphans("orders", "product_id", "products", "product_id", "op_orders", "op_products"),
+                _orphans("orders", "supplier_id", "suppliers", "supplier_id", "op_orders", "op_suppliers"),
+                _orphans("shipments", "order_id", "orders", "order_id", "raw", "op_orders"),
+            ]
+        ),
+        "length_violations": f"WITH {OPS_CTES}\n"
+        + "\nUNION ALL ".join(
+            _length(t, c, n, tab)
+            for t, c, n, tab in [
+                ("suppliers", "supplier_name", 100, "op_suppliers"),
+                ("suppliers", "country", 50, "op_suppliers"),
+                ("suppliers", "region", 50, "op_suppliers"),
+                ("products", "product_name", 100, "op_products"),
+                ("products", "category", 50, "op_products"),
+                ("inventory", "warehouse_id", 20, "op_inventory"),
+                ("orders", "order_status", 20, "op_orders"),
+                ("shipments", "carrier", 50, "raw"),
+                ("shipments", "tracking_number", 100, "raw"),
+                ("shipments", "status", 20, "raw"),
+                ("shipments", "origin", 100, "raw"),
+                ("shipments", "destination", 100, "raw"),
+            ]
+        ),
+        "decimal_violations": f"WITH {OPS_CTES}\n"
+        "SELECT 'suppliers.rating_text decimal(3,2)' AS constraint_name, CAST(COUNT_IF(rating_value IS NOT NULL "
+        "AND TRY_CAST(rating_value AS DECIMAL(3,2)) IS NULL) AS BIGINT) AS n FROM op_suppliers\n"
+        "UNION ALL SELECT 'products.unit_price decimal(10,2)', CAST(COUNT_IF(unit_price IS NOT NULL "
+        "AND TRY_CAST(unit_price AS DECIMAL(10,2)) IS NULL) AS BIGINT) FROM op_products",
+        "apply_defaults": "SELECT p_partkey AS inventory_id, p_partkey + 5 AS product_id, "
+        "'WH-' || p_brand AS warehouse_id, p_size * 20 AS quantity, 100 AS reorder_level FROM part",
+    }
+)
