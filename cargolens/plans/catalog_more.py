@@ -56,3 +56,77 @@ def q_apply_defaults(spark, sf_dir):
     omitted = fixtures.op_inventory(spark, sf_dir).drop("reorder_level")
     filled = quality.apply_defaults(omitted, "inventory", RUN_TS)
     return filled.select("inventory_id", "product_id", "warehouse_id", "quantity", "reorder_level")
+
+
+# --- milestone 5: consumption -------------------------------------------------
+
+from cargolens.operators import consume, gold  # noqa: E402
+
+
+def gold_of(spark, sf_dir):
+    return gold.gold_tables(silver_shipments_df(spark, sf_dir))
+
+
+@register("carrier_detail")
+def q_carrier_detail(spark, sf_dir):
+    return consume.carrier_detail(gold_of(spark, sf_dir)["carrier_performance"])
+
+
+@register("product_detail")
+def q_product_detail(spark, sf_dir):
+    return consume.product_detail(gold_of(spark, sf_dir)["product_summary"])
+
+
+@register("route_detail")
+def q_route_detail(spark, sf_dir):
+    return consume.route_detail(gold_of(spark, sf_dir)["route_analysis"])
+
+
+@register("carriers_by_rate")
+def q_carriers_by_rate(spark, sf_dir):
+    return consume.carriers_by_rate(gold_of(spark, sf_dir)["carrier_performance"])
+
+
+@register("carriers_by_volume")
+def q_carriers_by_volume(spark, sf_dir):
+    return consume.carriers_by_volume(gold_of(spark, sf_dir)["carrier_performance"])
+
+
+@register("top_products")
+def q_top_products(spark, sf_dir):
+    return consume.top_products(gold_of(spark, sf_dir)["product_summary"], 10)
+
+
+@register("top_routes")
+def q_top_routes(spark, sf_dir):
+    return consume.top_routes(gold_of(spark, sf_dir)["route_analysis"], 10)
+
+
+@register("top5_delayed_routes")
+def q_top5_delayed_routes(spark, sf_dir):
+    return consume.top_delayed_routes(gold_of(spark, sf_dir)["route_analysis"], 5)
+
+
+@register("status_share")
+def q_status_share(spark, sf_dir):
+    return consume.status_share(gold_of(spark, sf_dir)["shipment_status_summary"])
+
+
+@register("kpi_cards")
+def q_kpi_cards(spark, sf_dir):
+    return consume.kpi_cards(gold_of(spark, sf_dir)["carrier_performance"])
+
+
+@register("business_questions")
+def q_business_questions(spark, sf_dir):
+    return consume.business_questions(gold_of(spark, sf_dir))
+
+
+@register("weekly_summary")
+def q_weekly_summary(spark, sf_dir):
+    return consume.weekly_summary(gold_of(spark, sf_dir))
+
+
+@register("kpi_report")
+def q_kpi_report(spark, sf_dir):
+    return consume.kpi_report(gold_of(spark, sf_dir))

@@ -279,3 +279,76 @@ ORACLE.update(
         "'WH-' || p_brand AS warehouse_id, p_size * 20 AS quantity, 100 AS reorder_level FROM part",
     }
 )
+
+ROUTE = "origin || ' → ' || destination"
+
+CARDS = """SELECT CAST(SUM(total_shipments) AS BIGINT) AS total_shipments,
+  CAST(SUM(delivered_shipments) AS BIGINT) AS total_delivered,
+  CAST(SUM(delayed_shipments) AS BIGINT) AS total_delayed,
+  ROUND(CAST(SUM(CAST(delay_rate_pct AS DECIMAL(38,6))) AS DOUBLE) / COUNT(delay_rate_pct), 1) AS avg_delay_rate,
+  ROUND(CAST(SUM(delayed_shipments) AS DOUBLE) * 100.0 / NULLIF(SUM(total_shipments), 0), 2)
+    AS weighted_delay_rate
+FROM g_carrier"""
+
+ORACLE.update(
+    {
+        "carrier_detail": with_gold(
+            "SELECT carrier, total_shipments, delivered_shipments, delayed_shipments, delay_rate_pct, "
+            "avg_weight_kg FROM g_carrier"
+        ),
+        "product_detail": with_gold(
+            "SELECT product, total_shipments, total_quantity, delay_rate_pct, avg_weight_kg FROM g_product"
+        ),
+        "route_detail": with_gold(
+            f"SELECT {ROUTE} AS route, total_shipments, delayed_shipments, delay_rate_pct, avg_weight_kg "
+            "FROM g_route"
+        ),
+        "carriers_by_rate": with_gold("SELECT carrier, delay_rate_pct FROM g_carrier"),
+        "carriers_by_volume": with_gold("SELECT carrier, total_shipments FROM g_carrier"),
+        "top_products": with_gold(
+            "SELECT product, total_shipments, delay_rate_pct FROM g_product "
+            "ORDER BY total_shipments DESC, product LIMIT 10"
+        ),
+        "top_routes": with_gold(
+            f"SELECT {ROUTE} AS route, delay_rate_pct, total_shipments FROM g_route "
+            f"ORDER BY delay_rate_pct DESC NULLS LAST, route LIMIT 10"
+        ),
+        "top5_delayed_routes": with_gold(
+            "SELECT origin, destination, delay_rate_pct FROM g_route "
+            "ORDER BY delay_rate_pct DESC NULLS LAST, origin, destination LIMIT 5"
+        ),
+        "status_share": with_gold(
+            "SELECT status, total_shipments, CAST(total_shipments AS DOUBLE) / SUM(total_shipments) OVER () "
+            "AS share FROM g_status"
+        ),
+        "kpi_cards": with_gold(
+            f"""SELECT *, CASE WHEN avg_delay_rate > 20 THEN 'red' WHEN avg_delay_rate > 10 THEN 'amber'
+  ELSE 'green' END AS band FROM ({CARDS}) c"""
+        ),
+        "business_questions": with_gold(
+            f"""(SELECT 1 AS question_id, carrier AS answer_key, delay_rate_pct AS answer_value FROM g_carrier
+  ORDER BY delay_rate_pct DESC NULLS LAST, carrier LIMIT 1)
+UNION ALL SELECT 2, 'IN_TRANSIT', CAST(COALESCE(SUM(total_shipments), 0) AS DOUBLE) FROM g_status
+  WHERE status = 'IN_TRANSIT'
+UNION ALL (SELECT 3, product, CAST(total_shipments AS DOUBLE) FROM g_product
+  ORDER BY total_shipments DESC, product LIMIT 1)
+UNION ALL (SELECT 4, {ROUTE}, delay_rate_pct FROM g_route
+  ORDER BY delay_rate_pct DESC NULLS LAST, origin, destination LIMIT 1)
+UNION ALL SELECT 5, 'DELIVERED',
+  ROUND(CAST(SUM(delivered_shipments) AS DOUBLE) * 100.0 / NULLIF(SUM(total_shipments), 0), 2) FROM g_carrier"""
+        ),
+        "weekly_summary": with_gold(
+            f"""SELECT 1 AS point, 'all carriers' AS key,
+  ROUND(CAST(SUM(delayed_shipments) AS DOUBLE) * 100.0 / NULLIF(SUM(total_shipments), 0), 2) AS value
+  FROM g_carrier
+UNION ALL (SELECT 2, carrier, delay_rate_pct FROM g_carrier ORDER BY delay_rate_pct ASC NULLS LAST, carrier
+  LIMIT 1)
+UNION ALL (SELECT 3, carrier, delay_rate_pct FROM g_carrier ORDER BY delay_rate_pct DESC NULLS LAST, carrier
+  LIMIT 1)
+UNION ALL (SELECT 4, {ROUTE}, delay_rate_pct FROM g_route
+  ORDER BY delay_rate_pct DESC NULLS LAST, origin, destination LIMIT 1)
+UNION ALL (SELECT 5, product, CAST(total_shipments AS DOUBLE) FROM g_product
+  ORDER BY total_shipments DESC, product LIMIT 1)"""
+        ),
+    }
+)
