@@ -98,13 +98,18 @@ def _reason_conditions() -> dict[str, Column]:
     }
 
 
-def quarantine(df: DataFrame) -> DataFrame:
-    """FAIL rows with the array of broken rules (the reference drops them)."""
+def with_reasons(df: DataFrame) -> DataFrame:
+    """Adds the array of broken rules (empty for PASS rows)."""
     reasons = F.filter(
         F.array(*[F.when(cond, F.lit(name)) for name, cond in _reason_conditions().items()]),
         lambda r: r.isNotNull(),
     )
-    return failed(df).withColumn("reasons", reasons)
+    return df.withColumn("reasons", reasons)
+
+
+def quarantine(df: DataFrame) -> DataFrame:
+    """FAIL rows with the array of broken rules (the reference drops them)."""
+    return with_reasons(failed(df))
 
 
 def quarantine_reason_counts(df: DataFrame) -> DataFrame:

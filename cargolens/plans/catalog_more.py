@@ -130,3 +130,75 @@ def q_weekly_summary(spark, sf_dir):
 @register("kpi_report")
 def q_kpi_report(spark, sf_dir):
     return consume.kpi_report(gold_of(spark, sf_dir))
+
+
+# --- milestone 4: landing, readers, end-to-end run -------------------------------
+
+from cargolens import session as SS  # noqa: E402
+from cargolens.plans import medallion  # noqa: E402
+from cargolens.sinks import files  # noqa: E402
+from cargolens.sources import bronze  # noqa: E402
+
+BY_DATE_START, BY_DATE_END = "1996-03-01", "1996-03-31"
+
+
+@register("bronze_by_date")
+def q_bronze_by_date(spark, sf_dir):
+    """Land the shipments by day, read back one month: folder pruning."""
+    root = SS.scratch_path(spark, "bronze_by_date")
+    medallion.land_partitioned(fixtures.raw_shipments(spark, sf_dir), root)
+    month = bronze.read_bronze_by_date(spark, root, BY_DATE_START, BY_DATE_END)
+    return month.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("bronze_scan")
+def q_bronze_scan(spark, sf_dir):
+    """Land in the reference layout (JSON arrays of up to ten events per
+    file) and scan it with the multiline reader: the rows come back whole."""
+    root = SS.scratch_path(spark, "bronze_arrays")
+    files.land_json_arrays(fixtures.raw_shipments(spark, sf_dir), root)
+    good, _ = bronze.split_corrupt(bronze.read_bronze(spark, root, multiline=True))
+    return good.select(*fixtures.S.SHIPMENT_COLUMNS)
+
+
+@register("bronze_inventory")
+def q_bronze_inventory(spark, sf_dir):
+    """File listing of a landed bronze folder: (path, length), content pruned."""
+    root = SS.scratch_path(spark, "bronze_lines")
+    files.land_json_lines(
+        files.with_ingest_date(fixtures.raw_shipments(spark, sf_dir)),
+        root,
+        max_records_per_file=10_000,
+    )
+    return bronze.bronze_inventory(spark, root)
+
+
+@register("schema_report")
+def q_schema_report(spark, sf_dir):
+    return schema_profile(silver_shipments_df(spark, sf_dir).select(*fixtures.S.SILVER_COLUMNS))
+
+
+def schema_profile(df):
+    """(column_name, data_type, non_null): the schema of a table with the
+    non-null count of each column, from one aggregate pass."""
+    counts = df.agg(*[F.count(F.col(f.name)).alias(f"c{i}") for i, f in enumerate(df.schema.fields)])
+    rows = [
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.col(f"c{i}").alias("non_null"),
+        )
+        for i, f in enumerate(df.schema.fields)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+@register("medallion_run")
+def q_medallion_run(spark, sf_dir):
+    """Land, then silver -> checks -> gold through written tables; report
+    the row count of every table the run wrote."""
+    base = SS.scratch_path(spark, "medallion")
+    bronze_root, out_root = f"{base}/bronze", f"{base}/lake"
+    medallion.land_partitioned(fixtures.raw_shipments(spark, sf_dir), bronze_root)
+    medallion.run_medallion(spark, bronze_root, out_root, run_ts=RUN_TS, on_fail="warn")
+    return medallion.layer_counts(spark, bronze_root, out_root)

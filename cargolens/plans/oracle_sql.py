@@ -352,3 +352,43 @@ UNION ALL (SELECT 5, product, CAST(total_shipments AS DOUBLE) FROM g_product
         ),
     }
 )
+
+SILVER_TYPES = [
+    ("shipment_id", "bigint"), ("order_id", "bigint"), ("product", "string"), ("carrier", "string"),
+    ("tracking_number", "string"), ("status", "string"), ("origin", "string"), ("destination", "string"),
+    ("quantity", "bigint"), ("weight_kg", "double"), ("shipped_at", "string"), ("delivered_at", "string"),
+    ("event_timestamp", "string"), ("is_valid_status", "boolean"), ("is_valid_weight", "boolean"),
+    ("has_origin", "boolean"), ("has_destination", "boolean"), ("dq_flag", "string"),
+    ("processed_at", "timestamp"), ("weight_category", "string"), ("is_delayed", "boolean"),
+    ("is_delivered", "boolean"),
+]
+
+
+def _schema_report() -> str:
+    parts = []
+    for name, typ in SILVER_TYPES:
+        expr = "COUNT(*)" if name == "processed_at" else f"COUNT({name})"
+        parts.append(f"SELECT '{name}' AS column_name, '{typ}' AS data_type, {expr} AS non_null FROM silver")
+    return with_silver("\nUNION ALL ".join(parts))
+
+
+ORACLE.update(
+    {
+        "bronze_by_date": with_silver(
+            "SELECT substr(shipped_at, 1, 10) AS ingest_date, COUNT(*) AS n FROM raw "
+            "WHERE substr(shipped_at, 1, 10) BETWEEN '1996-03-01' AND '1996-03-31' GROUP BY 1"
+        ),
+        "bronze_scan": f"WITH {RAW_CTE}\nSELECT {SHIPMENT_COLS} FROM raw",
+        "schema_report": _schema_report(),
+        "medallion_run": with_gold(
+            """SELECT 'bronze' AS table_name, COUNT(*) AS n FROM raw
+UNION ALL SELECT 'silver', COUNT(*) FROM silver
+UNION ALL SELECT 'quarantine', COUNT(*) FROM biz WHERE dq_flag = 'FAIL'
+UNION ALL SELECT 'checks', CAST(9 AS BIGINT)
+UNION ALL SELECT 'carrier_performance', COUNT(*) FROM g_carrier
+UNION ALL SELECT 'shipment_status_summary', COUNT(*) FROM g_status
+UNION ALL SELECT 'route_analysis', COUNT(*) FROM g_route
+UNION ALL SELECT 'product_summary', COUNT(*) FROM g_product"""
+        ),
+    }
+)

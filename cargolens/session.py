@@ -37,6 +37,10 @@ def build_session(
     if master:
         builder = builder.master(master)
         builder = builder.config("spark.ui.enabled", "false")
+        if master.startswith("local"):
+            # One machine: listing folders from the driver beats launching a
+            # listing job. Clusters keep Spark's parallel listing.
+            builder = builder.config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:

@@ -33,3 +33,17 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet")
 def read_layer_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
     """Scan a silver/gold table written by the sinks (a folder per table)."""
     return spark.read.format(fmt).load(f"{root.rstrip('/')}/{name}")
+
+
+def read_silver(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """Silver = the PASS partition of the flagged shipments table; the filter
+    on the partition column prunes the FAIL folder before any file is read."""
+    from pyspark.sql import functions as F
+
+    return read_layer_table(spark, root, "shipments", fmt).filter(F.col("dq_flag") == F.lit("PASS"))
+
+
+def read_quarantine(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    from pyspark.sql import functions as F
+
+    return read_layer_table(spark, root, "shipments", fmt).filter(F.col("dq_flag") == F.lit("FAIL"))
