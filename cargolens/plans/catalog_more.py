@@ -202,3 +202,106 @@ def q_medallion_run(spark, sf_dir):
     medallion.land_partitioned(fixtures.raw_shipments(spark, sf_dir), bronze_root)
     medallion.run_medallion(spark, bronze_root, out_root, run_ts=RUN_TS, on_fail="warn")
     return medallion.layer_counts(spark, bronze_root, out_root)
+
+
+# --- milestone 6: streaming ------------------------------------------------------
+
+from cargolens.sinks import publish  # noqa: E402
+from cargolens.sources import events as EV  # noqa: E402
+from cargolens.streaming import jobs  # noqa: E402
+
+STREAM_FILES_PER_TRIGGER = 2
+DEDUP_DELAY = "3650 days"  # spans the fixture's event times, so no id arrives late
+
+
+def _shipment_input(spark, sf_dir, base):
+    """The fixture's shipments as JSON Lines files: the folder a file stream
+    (or, on a cluster, a topic) delivers."""
+    path = f"{base}/input"
+    files.land_json_lines(
+        fixtures.raw_shipments(spark, sf_dir), path, max_records_per_file=10_000, partition_by=None
+    )
+    return path
+
+
+def _shipment_stream(spark, path):
+    return EV.file_stream(
+        spark, path, fixtures.S.SHIPMENT, "json", max_files_per_trigger=STREAM_FILES_PER_TRIGGER
+    )
+
+
+@register("stream_source")
+def q_stream_source(spark, sf_dir):
+    """The events table read as a stream (drain, then stop) into a table."""
+    base = SS.scratch_path(spark, "stream_source")
+    source = EV.file_stream(
+        spark, sf_dir, spark.read.parquet(f"{sf_dir}/events.parquet").schema, "parquet", glob="events.parquet"
+    )
+    jobs.passthrough_stream(source, f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type", "value")
+
+
+@register("decode_events")
+def q_decode_events(spark, sf_dir):
+    """events -> (key, JSON value) messages -> from_json back to columns."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    messages = EV.as_messages(events, "event_id", ["event_id", "user_id", "event_type", "value", "props"])
+    decoded = EV.decode(messages, EV.EVENT_SCHEMA).filter("_parsed_ok")
+    return decoded.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        F.from_json("props", EV.PROPS_SCHEMA)["k"].alias("prop_k"),
+    )
+
+
+@register("publish_payload")
+def q_publish_payload(spark, sf_dir):
+    payload = publish.shipment_payload(fixtures.raw_shipments(spark, sf_dir))
+    return payload.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
+@register("stream_landing")
+def q_stream_landing(spark, sf_dir):
+    """Count-batched landing: (file, n) per landed file, each n <= 10."""
+    base = SS.scratch_path(spark, "stream_landing")
+    src = _shipment_input(spark, sf_dir, base)
+    jobs.land_stream(_shipment_stream(spark, src), f"{base}/bronze", f"{base}/checkpoint")
+    landed = spark.read.schema(fixtures.S.SHIPMENT).json(f"{base}/bronze")
+    return landed.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_restart")
+def q_stream_restart(spark, sf_dir):
+    """Run the landing twice on one checkpoint: the second run adds nothing."""
+    base = SS.scratch_path(spark, "stream_restart")
+    src = _shipment_input(spark, sf_dir, base)
+    out, ckpt = f"{base}/bronze", f"{base}/checkpoint"
+    seen = []
+    for _ in range(2):
+        jobs.land_stream(_shipment_stream(spark, src), out, ckpt)
+        seen.append(spark.read.schema(fixtures.S.SHIPMENT).json(out).count())
+    return spark.createDataFrame(
+        [(1, seen[0]), (2, seen[1] - seen[0])], "run INT, new_rows BIGINT"
+    )
+
+
+@register("stream_silver")
+def q_stream_silver(spark, sf_dir):
+    """The silver rules on a stream; the result equals batch silver."""
+    base = SS.scratch_path(spark, "stream_silver")
+    src = _shipment_input(spark, sf_dir, base)
+    jobs.silver_stream(_shipment_stream(spark, src), f"{base}/silver", f"{base}/checkpoint", RUN_TS)
+    from cargolens.plans.catalog import SILVER_OUT
+
+    return spark.read.parquet(f"{base}/silver").select(*SILVER_OUT)
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """Shipment ids after dropDuplicatesWithinWatermark: each id once."""
+    base = SS.scratch_path(spark, "stream_dedup")
+    src = _shipment_input(spark, sf_dir, base)
+    jobs.dedup_stream(_shipment_stream(spark, src), f"{base}/dedup", f"{base}/checkpoint", DEDUP_DELAY)
+    return spark.read.parquet(f"{base}/dedup").select("shipment_id")

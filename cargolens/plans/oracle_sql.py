@@ -392,3 +392,13 @@ UNION ALL SELECT 'product_summary', COUNT(*) FROM g_product"""
         ),
     }
 )
+
+ORACLE.update(
+    {
+        "stream_source": "SELECT event_id, user_id, event_type, value FROM events",
+        "decode_events": "SELECT event_id, user_id, event_type, value, "
+        "CAST(json_extract(props, '$.k') AS BIGINT) AS prop_k FROM events",
+        "stream_silver": with_silver(f"SELECT {SILVER_OUT_COLS} FROM silver"),
+        "stream_dedup": f"WITH {RAW_CTE}\nSELECT DISTINCT shipment_id FROM raw",
+    }
+)
