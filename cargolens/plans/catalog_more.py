@@ -8,7 +8,12 @@ from cargolens.operators import quality, silver
 from cargolens.plans import fixtures
 from cargolens.plans.catalog import register, silver_shipments_df
 
-RUN_TS = F.lit("2026-01-01 00:00:00").cast("timestamp")
+RUN_TIMESTAMP = "2026-01-01 00:00:00"
+
+
+def run_ts():
+    """One fixed stamp for reproducible runs (built lazily: needs a session)."""
+    return F.lit(RUN_TIMESTAMP).cast("timestamp")
 
 
 # --- milestone 3: silver checks, DDL constraints -----------------------------
@@ -54,7 +59,7 @@ def q_apply_defaults(spark, sf_dir):
     # An insert that omits reorder_level and last_updated: the defaults fill
     # them. (Where the column is present, its nulls are kept.)
     omitted = fixtures.op_inventory(spark, sf_dir).drop("reorder_level")
-    filled = quality.apply_defaults(omitted, "inventory", RUN_TS)
+    filled = quality.apply_defaults(omitted, "inventory", run_ts())
     return filled.select("inventory_id", "product_id", "warehouse_id", "quantity", "reorder_level")
 
 
@@ -200,7 +205,7 @@ def q_medallion_run(spark, sf_dir):
     base = SS.scratch_path(spark, "medallion")
     bronze_root, out_root = f"{base}/bronze", f"{base}/lake"
     medallion.land_partitioned(fixtures.raw_shipments(spark, sf_dir), bronze_root)
-    medallion.run_medallion(spark, bronze_root, out_root, run_ts=RUN_TS, on_fail="warn")
+    medallion.run_medallion(spark, bronze_root, out_root, run_ts=run_ts(), on_fail="warn")
     return medallion.layer_counts(spark, bronze_root, out_root)
 
 
@@ -292,7 +297,7 @@ def q_stream_silver(spark, sf_dir):
     """The silver rules on a stream; the result equals batch silver."""
     base = SS.scratch_path(spark, "stream_silver")
     src = _shipment_input(spark, sf_dir, base)
-    jobs.silver_stream(_shipment_stream(spark, src), f"{base}/silver", f"{base}/checkpoint", RUN_TS)
+    jobs.silver_stream(_shipment_stream(spark, src), f"{base}/silver", f"{base}/checkpoint", run_ts())
     from cargolens.plans.catalog import SILVER_OUT
 
     return spark.read.parquet(f"{base}/silver").select(*SILVER_OUT)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 EVENT_SCHEMA = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 PROPS_SCHEMA = "k BIGINT"
@@ -26,16 +26,28 @@ def as_messages(df: DataFrame, key: str, value_cols: list[str] | None = None) ->
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _with_corrupt(schema: StructType | str) -> StructType | str:
+    if isinstance(schema, str):
+        return f"{schema}, {CORRUPT} STRING"
+    return StructType(schema.fields + [StructField(CORRUPT, StringType())])
+
+
 def decode(messages: DataFrame, schema: StructType | str, keep_raw: bool = False) -> DataFrame:
-    """Parse the JSON value; ``_parsed_ok`` is false where the value did not
-    parse (null struct), so callers can quarantine those rows."""
+    """Parse the JSON value. A value that does not parse keeps its text in
+    ``_corrupt_record`` and gets ``_parsed_ok`` false, so callers can route it
+    to quarantine instead of failing the job."""
     text = F.col("value").cast("string")
     parsed = messages.select(
         F.col("key").cast("string").alias("key"),
         text.alias("_raw"),
-        F.from_json(text, schema).alias("_m"),
+        F.from_json(text, _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT}).alias("_m"),
     )
-    out = parsed.select("key", "_raw", "_m.*", F.col("_m").isNotNull().alias("_parsed_ok"))
+    out = parsed.select(
+        "key", "_raw", "_m.*", (F.col("_m").isNotNull() & F.col(f"_m.{CORRUPT}").isNull()).alias("_parsed_ok")
+    ).drop(CORRUPT)
     return out if keep_raw else out.drop("_raw")
 
 
