@@ -289,3 +289,15 @@ def kpi_report(gold: dict[str, DataFrame]) -> DataFrame:
             ),
         ]
     )
+
+
+def card_labels(cards: DataFrame) -> DataFrame:
+    """Display text of the KPI cards: counts with thousands separators, the
+    average rate with its percent sign (PRJ14)."""
+    return cards.select(
+        F.format_number("total_shipments", 0).alias("total_shipments"),
+        F.format_number("total_delivered", 0).alias("total_delivered"),
+        F.format_number("total_delayed", 0).alias("total_delayed"),
+        F.format_string("%s%%", F.col("avg_delay_rate").cast("string")).alias("avg_delay_rate"),
+        "band",
+    )

@@ -161,7 +161,9 @@ def q_bronze_scan(spark, sf_dir):
     """Land in the reference layout (JSON arrays of up to ten events per
     file) and scan it with the multiline reader: the rows come back whole."""
     root = SS.scratch_path(spark, "bronze_arrays")
-    files.land_json_arrays(fixtures.raw_shipments(spark, sf_dir), root)
+    files.land_json_arrays(
+        fixtures.raw_shipments(spark, sf_dir), root, writers=spark.sparkContext.defaultParallelism
+    )
     good, _ = bronze.split_corrupt(bronze.read_bronze(spark, root, multiline=True))
     return good.select(*fixtures.S.SHIPMENT_COLUMNS)
 
@@ -215,7 +217,7 @@ from cargolens.sinks import publish  # noqa: E402
 from cargolens.sources import events as EV  # noqa: E402
 from cargolens.streaming import jobs  # noqa: E402
 
-STREAM_FILES_PER_TRIGGER = 2
+STREAM_FILES_PER_TRIGGER = 8
 DEDUP_DELAY = "3650 days"  # spans the fixture's event times, so no id arrives late
 
 
@@ -224,7 +226,10 @@ def _shipment_input(spark, sf_dir, base):
     (or, on a cluster, a topic) delivers."""
     path = f"{base}/input"
     files.land_json_lines(
-        fixtures.raw_shipments(spark, sf_dir), path, max_records_per_file=10_000, partition_by=None
+        fixtures.raw_shipments(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism),
+        path,
+        max_records_per_file=2_000,
+        partition_by=None,
     )
     return path
 

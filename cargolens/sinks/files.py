@@ -36,22 +36,46 @@ def land_json_lines(
     writer.json(path)
 
 
+def _chunk_arrays(batch_size: int):
+    """Join each task's JSON rows, in groups of at most ``batch_size``, into
+    JSON array texts. The grouping never leaves the task, so a retried task
+    rebuilds exactly the files it owns."""
+
+    def chunk(batches):
+        import pandas as pd
+
+        carry: list[str] = []
+        for pdf in batches:
+            carry.extend(pdf["j"].tolist())
+            full = len(carry) - len(carry) % batch_size
+            if full:
+                yield pd.DataFrame(
+                    {"value": ["[" + ",".join(carry[i : i + batch_size]) + "]" for i in range(0, full, batch_size)]}
+                )
+                carry = carry[full:]
+        if carry:
+            yield pd.DataFrame({"value": ["[" + ",".join(carry) + "]"]})
+
+    return chunk
+
+
 def land_json_arrays(
     df: DataFrame,
     path: str,
     batch_size: int = S.BRONZE_BATCH_SIZE,
     mode: str = "append",
+    writers: int | None = None,
 ) -> None:
     """Reference layout: each file one JSON array of at most ``batch_size``
-    events. Rows are grouped by a partition-local batch number, so every
-    group is bounded by ``batch_size``; each array is written as its own file."""
-    batch = F.floor(F.monotonically_increasing_id() / F.lit(batch_size))
-    arrays = (
-        df.withColumn("_batch", batch)
-        .groupBy("_batch")
-        .agg(F.to_json(F.collect_list(F.struct(*[F.col(c) for c in df.columns]))).alias("value"))
-        .select("value")
-    )
+    events. Rows are serialised to JSON in the JVM; a small per-task helper
+    joins them into arrays (groups bounded by ``batch_size``); each array is
+    written as its own file. ``writers`` spreads a small input over that many
+    tasks first (round-robin repartition, which Spark makes deterministic by
+    sorting before it, so retries are safe)."""
+    if writers:
+        df = df.repartition(writers)
+    rows = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("j"))
+    arrays = rows.mapInPandas(_chunk_arrays(batch_size), "value string")
     arrays.write.mode(mode).option("maxRecordsPerFile", 1).text(path)
 
 

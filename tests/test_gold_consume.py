@@ -209,3 +209,20 @@ def test_product_summary_quantity(spark):
     ]
     r = gold.product_summary(_silver_of(spark, rows)).collect()[0]
     assert (r["total_quantity"], r["delayed_shipments"], r["delay_rate_pct"]) == (7, 1, 50.0)
+
+
+def test_card_labels_format_numbers(spark):
+    cards = spark.createDataFrame(
+        [(1234567, 19, 21, 21.3, "red")],
+        "total_shipments long, total_delivered long, total_delayed long, avg_delay_rate double, band string",
+    )
+    r = consume.card_labels(cards).collect()[0]
+    assert r["total_shipments"] == "1,234,567" and r["avg_delay_rate"] == "21.3%"
+
+
+def test_bounded_copy_to_pandas(logged_gold):
+    from cargolens.sinks.console import TooManyRowsError, to_pandas_bounded
+
+    assert len(to_pandas_bounded(logged_gold["carrier_performance"], 5)) == 5
+    with pytest.raises(TooManyRowsError):
+        to_pandas_bounded(logged_gold["carrier_performance"], 4)

@@ -128,3 +128,27 @@ def test_stream_dedup_keeps_each_id_once(spark, sf_small):
     ids = registry()["stream_dedup"](spark, sf_small)
     distinct = fixtures.raw_shipments(spark, sf_small).select("shipment_id").distinct().count()
     assert ids.count() == distinct == ids.distinct().count()
+
+
+def test_inferred_schema_gains_corrupt_column(spark):
+    # T18: with inference a malformed line adds _corrupt_record to the schema;
+    # the declared schema keeps the shape fixed and isolates the bad line.
+    root = scratch_path(spark, "infer")
+    os.makedirs(local_os_path(root))
+    with open(os.path.join(local_os_path(root), "part.json"), "w") as f:
+        f.write(json.dumps(dict(zip(S.SHIPMENT_COLUMNS, shipment()))) + "\n{bad\n")
+    inferred = bronze.read_bronze(spark, root, infer=True)
+    assert "_corrupt_record" in inferred.columns
+    declared = bronze.read_bronze(spark, root)
+    assert declared.columns == S.SHIPMENT_COLUMNS + ["_corrupt_record"]
+
+
+def test_operational_reader_types_columns(spark, sf_small):
+    from cargolens.sources import operational
+
+    root = scratch_path(spark, "ops")
+    fixtures.op_orders(spark, sf_small).write.parquet(f"{root}/orders")
+    df = operational.read_operational(spark, "orders", root=root)
+    types = dict(df.dtypes)
+    assert types["order_id"] == "int" and types["expected_delivery"] == "date"
+    assert df.count() == fixtures.op_orders(spark, sf_small).count()
