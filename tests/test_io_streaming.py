@@ -152,3 +152,13 @@ def test_operational_reader_types_columns(spark, sf_small):
     types = dict(df.dtypes)
     assert types["order_id"] == "int" and types["expected_delivery"] == "date"
     assert df.count() == fixtures.op_orders(spark, sf_small).count()
+
+
+def test_first_per_key_drops_copies_inside_a_task(spark):
+    from cargolens.streaming.jobs import first_per_key
+
+    df = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e"), (1, "f")], "k long, v string"
+    ).coalesce(1)
+    got = sorted(first_per_key(df, "k").collect(), key=lambda r: r["v"])
+    assert [(r["k"], r["v"]) for r in got] == [(1, "a"), (2, "c"), (None, "d"), (None, "e")]
