@@ -162,7 +162,7 @@ def q_bronze_scan(spark, sf_dir):
     file) and scan it with the multiline reader: the rows come back whole."""
     root = SS.scratch_path(spark, "bronze_arrays")
     files.land_json_arrays(
-        fixtures.raw_shipments(spark, sf_dir), root, writers=spark.sparkContext.defaultParallelism
+        fixtures.raw_shipments(spark, sf_dir), root, writers=SS.parallelism(spark)
     )
     good, _ = bronze.split_corrupt(bronze.read_bronze(spark, root, multiline=True))
     return good.select(*fixtures.S.SHIPMENT_COLUMNS)
@@ -226,7 +226,7 @@ def _shipment_input(spark, sf_dir, base):
     (or, on a cluster, a topic) delivers."""
     path = f"{base}/input"
     files.land_json_lines(
-        fixtures.raw_shipments(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism),
+        fixtures.raw_shipments(spark, sf_dir).repartition(SS.parallelism(spark)),
         path,
         max_records_per_file=2_000,
         partition_by=None,

@@ -97,3 +97,12 @@ def local_os_path(path: str) -> str:
 def ensure_local_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_os_path(path), exist_ok=True)
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task slots to spread a small write over (shuffle partitions where the
+    SparkContext is not reachable, as on Spark Connect)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # pragma: no cover
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
