@@ -108,11 +108,17 @@ def write_flagged(flagged: DataFrame, root: str, fmt: str = "parquet") -> tuple[
 
 
 def write_text_report(lines: DataFrame, path: str) -> None:
-    """The report as one text file (its size is bounded by the gold tables)."""
-    (
-        lines.orderBy("section_no", "pos")
-        .select("line")
-        .coalesce(1)
-        .write.mode("overwrite")
-        .text(path)
+    """The report as text, in order. The global sort range-partitions the
+    lines, so part files read in name order give the report in order; no
+    single task has to hold it (a small report is one part file anyway)."""
+    lines.orderBy("section_no", "pos").select("line").write.mode("overwrite").text(path)
+
+
+def read_text_parts(spark, path: str) -> DataFrame:
+    """Lines of a multi-part text output in file-name order, then line order."""
+    return (
+        spark.read.text(path)
+        .select(F.input_file_name().alias("_f"), F.monotonically_increasing_id().alias("_i"), "value")
+        .orderBy("_f", "_i")
+        .select("value")
     )

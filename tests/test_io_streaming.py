@@ -162,3 +162,24 @@ def test_first_per_key_drops_copies_inside_a_task(spark):
     ).coalesce(1)
     got = sorted(first_per_key(df, "k").collect(), key=lambda r: r["v"])
     assert [(r["k"], r["v"]) for r in got] == [(1, "a"), (2, "c"), (None, "d"), (None, "e")]
+
+
+def test_cli_stages_in_order(spark, sf_small):
+    from cargolens import cli
+
+    base = scratch_path(spark, "cli")
+    src = f"{base}/incoming"
+    fixtures.raw_shipments(spark, sf_small).write.json(src)
+    common = ["--master", "local[2]"]
+    assert cli.main(["land", "--source", src, "--bronze", f"{base}/bronze", *common]) == 0
+    assert cli.main(["silver", "--bronze", f"{base}/bronze", "--lake", f"{base}/lake", *common]) == 0
+    # the fixture has duplicate ids: warn passes, raise stops with exit code 2
+    assert cli.main(["checks", "--lake", f"{base}/lake", *common]) == 0
+    assert cli.main(["checks", "--lake", f"{base}/lake", "--on-fail", "raise", *common]) == 2
+    assert cli.main(["gold", "--lake", f"{base}/lake", *common]) == 0
+    assert cli.main(["report", "--lake", f"{base}/lake", "--out", f"{base}/report", *common]) == 0
+    lines = files.read_text_parts(spark, f"{base}/report").collect()
+    assert lines[0]["value"].startswith("Carrier: ")
+    silver_n = tables.read_silver(spark, f"{base}/lake").count()
+    carriers = tables.read_layer_table(spark, f"{base}/lake", "carrier_performance")
+    assert carriers.agg(F.sum("total_shipments")).first()[0] == silver_n
