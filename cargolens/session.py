@@ -12,11 +12,20 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job wants; anything already set on the cluster wins.
+# Settings every job wants.
+#
+# Broadcast policy: before a query runs, Spark only knows compressed file
+# sizes, which understate a table's in-memory size several times over, so
+# the static threshold admits only tiny tables (nation, region). Everything
+# else is broadcast only when AQE has *measured* the side at run time (shuffle
+# statistics) and found it under the adaptive threshold; above it the join
+# stays a sort-merge join, with skewed partitions split by AQE.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
