@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from cargolens import schemas as S
 from cargolens.operators import consume, gold, quality, silver
 from cargolens.plans import medallion
-from cargolens.session import build_session, checkpoint_root
+from cargolens.session import build_session
 from cargolens.sinks import files
 from cargolens.sources import bronze, events, tables
 
@@ -36,7 +36,9 @@ def cmd_land(spark, args):
     from cargolens.streaming import jobs
 
     source = events.file_stream(spark, args.source, S.SHIPMENT, args.source_format)
-    checkpoint = args.checkpoint or f"{checkpoint_root(spark)}/cargolens/land"
+    # The checkpoint belongs to this landing (one per destination), hidden
+    # under the bronze root, so a restart resumes exactly where it stopped.
+    checkpoint = args.checkpoint or f"{args.bronze.rstrip('/')}/_landing_checkpoint"
     jobs.land_stream(source, args.bronze, checkpoint, max_records_per_file=args.records_per_file)
     return {"bronze": args.bronze}
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cargolens.functions import columns as C
+from cargolens.session import ensure_checkpoint_dir
 
 
 def _stamp(df: DataFrame, run_ts: Column | None) -> DataFrame:
@@ -94,3 +95,74 @@ def gold_tables(silver: DataFrame, avg_digits: int | None = None, run_ts: Column
         "route_analysis": route_analysis(silver, avg_digits, run_ts),
         "product_summary": product_summary(silver, avg_digits, run_ts),
     }
+
+
+# Grouping sets of the one-pass KPI aggregate, with their grouping_id values
+# (a bit is set for each key column *not* in the set; key order below).
+_KPI_KEYS = ["carrier", "status", "origin", "destination", "product"]
+_KPI_SETS = {
+    "carrier_performance": ["carrier"],
+    "shipment_status_summary": ["status"],
+    "route_analysis": ["origin", "destination"],
+    "product_summary": ["product"],
+}
+
+
+def _gid(keys: list[str]) -> int:
+    n = len(_KPI_KEYS)
+    return sum(1 << (n - 1 - i) for i, k in enumerate(_KPI_KEYS) if k not in keys)
+
+
+def kpi_cube(silver: DataFrame, avg_digits: int | None = None) -> DataFrame:
+    """All four KPI groupings in ONE aggregate over silver (GROUPING SETS):
+    one scan, one partial aggregate per task, one shuffle. ``_gid`` tells the
+    grouping of each row. The status grouping carries no distinct order
+    count (that needs its own distinct aggregate; see
+    ``shipment_status_summary``)."""
+    total = F.count("shipment_id")
+    delayed = F.count_if(F.col("is_delayed"))
+    return silver.groupingSets(
+        [[F.col(k) for k in keys] for keys in _KPI_SETS.values()], *[F.col(k) for k in _KPI_KEYS]
+    ).agg(
+        F.grouping_id().alias("_gid"),
+        total.alias("total_shipments"),
+        delayed.alias("delayed_shipments"),
+        F.count_if(F.col("is_delivered")).alias("delivered_shipments"),
+        F.sum("quantity").alias("total_quantity"),
+        C.round_avg(C.exact_mean("weight_kg"), avg_digits).alias("avg_weight_kg"),
+        C.rate_pct(delayed, total).alias("delay_rate_pct"),
+    )
+
+
+_KPI_COLUMNS = {
+    "carrier_performance": ["carrier", "total_shipments", "delayed_shipments", "delivered_shipments",
+                            "avg_weight_kg", "delay_rate_pct"],
+    "shipment_status_summary": ["status", "total_shipments"],
+    "route_analysis": ["origin", "destination", "total_shipments", "delayed_shipments",
+                       "delay_rate_pct", "avg_weight_kg"],
+    "product_summary": ["product", "total_shipments", "total_quantity", "delayed_shipments",
+                        "delay_rate_pct", "avg_weight_kg"],
+}
+
+
+def split_kpis(cube: DataFrame) -> dict[str, DataFrame]:
+    """The four KPI tables out of a (materialised) ``kpi_cube``."""
+    return {
+        name: cube.filter(F.col("_gid") == F.lit(_gid(keys))).select(*_KPI_COLUMNS[name])
+        for name, keys in _KPI_SETS.items()
+    }
+
+
+def kpi_tables(silver: DataFrame, avg_digits: int | None = None, materialize: bool = True) -> dict[str, DataFrame]:
+    """All four KPI tables for consumers that read several in one plan.
+
+    The cube is checkpointed (eagerly, into the shared checkpoint folder):
+    otherwise each consumer branch would push its own filter and column
+    pruning below the aggregate and rebuild silver once per branch. The cube
+    holds one row per carrier, status, route and product, so the checkpoint
+    is small, and it also cuts the lineage a retry would have to replay."""
+    cube = kpi_cube(silver, avg_digits)
+    if materialize:
+        ensure_checkpoint_dir(silver.sparkSession)
+        cube = cube.checkpoint(eager=True)
+    return split_kpis(cube)

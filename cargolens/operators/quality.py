@@ -111,18 +111,39 @@ def pk_violations(tables: dict[str, DataFrame], keys: dict[str, str] | None = No
     return _union(frames)
 
 
-def not_null_violations(tables: dict[str, DataFrame], rules=None) -> DataFrame:
-    rules = rules or S.NOT_NULL
-    frames = [
-        tables[t]
-        .agg(F.count_if(F.col(c).isNull()).alias("n"))
-        .select(F.lit(f"{t}.{c}").alias("constraint_name"), "n")
-        for t, c in rules
-        if t in tables and c in tables[t].columns
-    ]
+def _per_table_counts(tables, rules, label, condition, extra=None) -> DataFrame:
+    """Count rows matching ``condition(rule)`` for every rule, with ONE
+    aggregate per table (all of a table's rules side by side), unpivoted to
+    one row per rule: each table is scanned once, however many rules it has."""
+    by_table: dict[str, list] = {}
+    for rule in rules:
+        t, c = rule[0], rule[1]
+        if t in tables and c in tables[t].columns:
+            by_table.setdefault(t, []).append(rule)
+    frames = []
+    for t, trs in by_table.items():
+        wide = tables[t].agg(*[F.count_if(condition(r)).alias(f"n{i}") for i, r in enumerate(trs)])
+        rows = [
+            F.struct(
+                F.lit(label(r)).alias("constraint_name"),
+                *([F.lit(extra(r)).alias("max_length")] if extra else []),
+                F.col(f"n{i}").alias("n"),
+            )
+            for i, r in enumerate(trs)
+        ]
+        frames.append(wide.select(F.inline(F.array(*rows))))
     return _union(frames)
 
 
+def not_null_violations(tables: dict[str, DataFrame], rules=None) -> DataFrame:
+    return _per_table_counts(
+        tables,
+        rules or S.NOT_NULL,
+        label=lambda r: f"{r[0]}.{r[1]}",
+        condition=lambda r: F.col(r[1]).isNull(),
+    )
+
+
 def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-null foreign key has no parent row.
 
@@ -152,16 +173,14 @@ def fk_orphans(tables: dict[str, DataFrame], rules=None) -> DataFrame:
 
 def length_violations(tables: dict[str, DataFrame], limits=None) -> DataFrame:
     """VARCHAR(n) limits: values longer than n characters. Columns absent
-    from a table are skipped."""
-    limits = limits or S.VARCHAR_LIMITS
-    frames = [
-        tables[t]
-        .agg(F.count_if(F.char_length(F.col(c)) > F.lit(n)).alias("n"))
-        .select(F.lit(f"{t}.{c}").alias("constraint_name"), F.lit(n).alias("max_length"), "n")
-        for t, c, n in limits
-        if t in tables and c in tables[t].columns
-    ]
-    return _union(frames)
+    from a table are skipped; each table is scanned once for all its limits."""
+    return _per_table_counts(
+        tables,
+        limits or S.VARCHAR_LIMITS,
+        label=lambda r: f"{r[0]}.{r[1]}",
+        condition=lambda r: F.char_length(F.col(r[1])) > F.lit(r[2]),
+        extra=lambda r: r[2],
+    )
 
 
 def decimal_violations(tables: dict[str, DataFrame], columns=None) -> DataFrame:

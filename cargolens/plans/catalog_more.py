@@ -72,6 +72,11 @@ def gold_of(spark, sf_dir):
     return gold.gold_tables(silver_shipments_df(spark, sf_dir))
 
 
+def kpis_of(spark, sf_dir):
+    """All four KPI tables from one pass (for consumers of several tables)."""
+    return gold.kpi_tables(silver_shipments_df(spark, sf_dir))
+
+
 @register("carrier_detail")
 def q_carrier_detail(spark, sf_dir):
     return consume.carrier_detail(gold_of(spark, sf_dir)["carrier_performance"])
@@ -124,17 +129,17 @@ def q_kpi_cards(spark, sf_dir):
 
 @register("business_questions")
 def q_business_questions(spark, sf_dir):
-    return consume.business_questions(gold_of(spark, sf_dir))
+    return consume.business_questions(kpis_of(spark, sf_dir))
 
 
 @register("weekly_summary")
 def q_weekly_summary(spark, sf_dir):
-    return consume.weekly_summary(gold_of(spark, sf_dir))
+    return consume.weekly_summary(kpis_of(spark, sf_dir))
 
 
 @register("kpi_report")
 def q_kpi_report(spark, sf_dir):
-    return consume.kpi_report(gold_of(spark, sf_dir))
+    return consume.kpi_report(kpis_of(spark, sf_dir))
 
 
 # --- milestone 4: landing, readers, end-to-end run -------------------------------

@@ -115,3 +115,16 @@ def parallelism(spark: SparkSession) -> int:
         return int(spark.sparkContext.defaultParallelism)
     except Exception:  # pragma: no cover
         return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make DataFrame.checkpoint() usable: point the SparkContext at the
+    shared checkpoint folder when it has none yet."""
+    root = checkpoint_root(spark)
+    try:
+        sc = spark.sparkContext
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)
+    except Exception:  # pragma: no cover - Spark Connect manages this itself
+        pass
+    return root
