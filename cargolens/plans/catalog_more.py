@@ -58,7 +58,7 @@ def q_decimal_violations(spark, sf_dir):
 def q_apply_defaults(spark, sf_dir):
     # An insert that omits reorder_level and last_updated: the defaults fill
     # them. (Where the column is present, its nulls are kept.)
-    omitted = fixtures.op_inventory(spark, sf_dir).drop("reorder_level")
+    omitted = fixtures.oltp_inventory(spark, sf_dir).drop("reorder_level")
     filled = quality.apply_defaults(omitted, "inventory", run_ts())
     return filled.select("inventory_id", "product_id", "warehouse_id", "quantity", "reorder_level")
 

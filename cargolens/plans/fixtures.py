@@ -117,7 +117,7 @@ def raw_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def op_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def oltp_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read_table(spark, sf_dir, "supplier")
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
@@ -137,7 +137,7 @@ def op_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def oltp_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
     return part.select(
         F.col("p_partkey").alias("product_id"),
@@ -150,7 +150,7 @@ def op_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+def oltp_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
     return part.select(
         F.col("p_partkey").alias("inventory_id"),
@@ -163,7 +163,7 @@ def op_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def oltp_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders")
     return orders.select(
         F.col("o_orderkey").alias("order_id"),
@@ -178,9 +178,9 @@ def op_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def operational_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
-        "suppliers": op_suppliers(spark, sf_dir),
-        "products": op_products(spark, sf_dir),
-        "inventory": op_inventory(spark, sf_dir),
-        "orders": op_orders(spark, sf_dir),
+        "suppliers": oltp_suppliers(spark, sf_dir),
+        "products": oltp_products(spark, sf_dir),
+        "inventory": oltp_inventory(spark, sf_dir),
+        "orders": oltp_orders(spark, sf_dir),
         "shipments": raw_shipments(spark, sf_dir),
     }

@@ -178,21 +178,21 @@ checks AS (
 
 OPS_CTES = f"""
 {RAW_CTE},
-op_suppliers AS (
+oltp_suppliers AS (
   SELECT s_suppkey AS supplier_id, CASE WHEN s_suppkey % 50 = 7 THEN NULL ELSE s_name END AS supplier_name,
     n_name AS country, r_name AS region, s_acctbal / CAST(900 AS DOUBLE) AS rating_value,
     s_acctbal > 0 AS is_active
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 ),
-op_products AS (
+oltp_products AS (
   SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category, p_retailprice AS unit_price,
     CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE p_partkey % 105 END AS supplier_id FROM part
 ),
-op_inventory AS (
+oltp_inventory AS (
   SELECT p_partkey AS inventory_id, p_partkey + 5 AS product_id, 'WH-' || p_brand AS warehouse_id,
     p_size * 20 AS quantity, CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE 100 END AS reorder_level FROM part
 ),
-op_orders AS (
+oltp_orders AS (
   SELECT o_orderkey AS order_id, o_orderkey % 2003 AS product_id, o_custkey % 101 AS supplier_id,
     1 + o_orderkey % 100 AS quantity, o_orderstatus AS order_status FROM orders
 )"""
@@ -225,10 +225,10 @@ ORACLE.update(
         + "\nUNION ALL ".join(
             f"SELECT '{t}.{k}' AS constraint_name, COUNT(*) - COUNT(DISTINCT {k}) AS n FROM {tab}"
             for t, k, tab in [
-                ("suppliers", "supplier_id", "op_suppliers"),
-                ("products", "product_id", "op_products"),
-                ("inventory", "inventory_id", "op_inventory"),
-                ("orders", "order_id", "op_orders"),
+                ("suppliers", "supplier_id", "oltp_suppliers"),
+                ("products", "product_id", "oltp_products"),
+                ("inventory", "inventory_id", "oltp_inventory"),
+                ("orders", "order_id", "oltp_orders"),
                 ("shipments", "shipment_id", "raw"),
             ]
         ),
@@ -236,33 +236,33 @@ ORACLE.update(
         + "\nUNION ALL ".join(
             f"SELECT '{t}.{c}' AS constraint_name, CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS n FROM {tab}"
             for t, c, tab in [
-                ("suppliers", "supplier_name", "op_suppliers"),
-                ("products", "product_name", "op_products"),
-                ("inventory", "quantity", "op_inventory"),
-                ("orders", "quantity", "op_orders"),
+                ("suppliers", "supplier_name", "oltp_suppliers"),
+                ("products", "product_name", "oltp_products"),
+                ("inventory", "quantity", "oltp_inventory"),
+                ("orders", "quantity", "oltp_orders"),
             ]
         ),
         "fk_orphans": f"WITH {OPS_CTES}\n"
         + "\nUNION ALL ".join(
             [
-                _orphans("products", "supplier_id", "suppliers", "supplier_id", "op_products", "op_suppliers"),
-                _orphans("inventory", "product_id", "products", "product_id", "op_inventory", "op_products"),
-                _orphans("orders", "product_id", "products", "product_id", "op_orders", "op_products"),
-                _orphans("orders", "supplier_id", "suppliers", "supplier_id", "op_orders", "op_suppliers"),
-                _orphans("shipments", "order_id", "orders", "order_id", "raw", "op_orders"),
+                _orphans("products", "supplier_id", "suppliers", "supplier_id", "oltp_products", "oltp_suppliers"),
+                _orphans("inventory", "product_id", "products", "product_id", "oltp_inventory", "oltp_products"),
+                _orphans("orders", "product_id", "products", "product_id", "oltp_orders", "oltp_products"),
+                _orphans("orders", "supplier_id", "suppliers", "supplier_id", "oltp_orders", "oltp_suppliers"),
+                _orphans("shipments", "order_id", "orders", "order_id", "raw", "oltp_orders"),
             ]
         ),
         "length_violations": f"WITH {OPS_CTES}\n"
         + "\nUNION ALL ".join(
             _length(t, c, n, tab)
             for t, c, n, tab in [
-                ("suppliers", "supplier_name", 100, "op_suppliers"),
-                ("suppliers", "country", 50, "op_suppliers"),
-                ("suppliers", "region", 50, "op_suppliers"),
-                ("products", "product_name", 100, "op_products"),
-                ("products", "category", 50, "op_products"),
-                ("inventory", "warehouse_id", 20, "op_inventory"),
-                ("orders", "order_status", 20, "op_orders"),
+                ("suppliers", "supplier_name", 100, "oltp_suppliers"),
+                ("suppliers", "country", 50, "oltp_suppliers"),
+                ("suppliers", "region", 50, "oltp_suppliers"),
+                ("products", "product_name", 100, "oltp_products"),
+                ("products", "category", 50, "oltp_products"),
+                ("inventory", "warehouse_id", 20, "oltp_inventory"),
+                ("orders", "order_status", 20, "oltp_orders"),
                 ("shipments", "carrier", 50, "raw"),
                 ("shipments", "tracking_number", 100, "raw"),
                 ("shipments", "status", 20, "raw"),
@@ -272,9 +272,9 @@ ORACLE.update(
         ),
         "decimal_violations": f"WITH {OPS_CTES}\n"
         "SELECT 'suppliers.rating_text decimal(3,2)' AS constraint_name, CAST(COUNT_IF(rating_value IS NOT NULL "
-        "AND TRY_CAST(rating_value AS DECIMAL(3,2)) IS NULL) AS BIGINT) AS n FROM op_suppliers\n"
+        "AND TRY_CAST(rating_value AS DECIMAL(3,2)) IS NULL) AS BIGINT) AS n FROM oltp_suppliers\n"
         "UNION ALL SELECT 'products.unit_price decimal(10,2)', CAST(COUNT_IF(unit_price IS NOT NULL "
-        "AND TRY_CAST(unit_price AS DECIMAL(10,2)) IS NULL) AS BIGINT) FROM op_products",
+        "AND TRY_CAST(unit_price AS DECIMAL(10,2)) IS NULL) AS BIGINT) FROM oltp_products",
         "apply_defaults": "SELECT p_partkey AS inventory_id, p_partkey + 5 AS product_id, "
         "'WH-' || p_brand AS warehouse_id, p_size * 20 AS quantity, 100 AS reorder_level FROM part",
     }

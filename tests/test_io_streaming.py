@@ -147,11 +147,11 @@ def test_operational_reader_types_columns(spark, sf_small):
     from cargolens.sources import operational
 
     root = scratch_path(spark, "ops")
-    fixtures.op_orders(spark, sf_small).write.parquet(f"{root}/orders")
+    fixtures.oltp_orders(spark, sf_small).write.parquet(f"{root}/orders")
     df = operational.read_operational(spark, "orders", root=root)
     types = dict(df.dtypes)
     assert types["order_id"] == "int" and types["expected_delivery"] == "date"
-    assert df.count() == fixtures.op_orders(spark, sf_small).count()
+    assert df.count() == fixtures.oltp_orders(spark, sf_small).count()
 
 
 def test_first_per_key_drops_copies_inside_a_task(spark):

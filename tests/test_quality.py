@@ -71,7 +71,7 @@ def test_tally_and_gate(spark):
 
 
 @pytest.fixture(scope="module")
-def op_tables(spark):
+def oltp_tables(spark):
     suppliers = spark.createDataFrame(
         [(1, "Acme", "1.5"), (2, None, "12.5"), (2, "Dup", "5.999"), (None, "NoKey", None)],
         "supplier_id long, supplier_name string, rating_text string",
@@ -83,16 +83,16 @@ def op_tables(spark):
     return {"suppliers": suppliers, "products": products}
 
 
-def test_pk_and_not_null(op_tables):
-    pk = {r["constraint_name"]: r["n"] for r in quality.pk_violations(op_tables).collect()}
+def test_pk_and_not_null(oltp_tables):
+    pk = {r["constraint_name"]: r["n"] for r in quality.pk_violations(oltp_tables).collect()}
     # one duplicate of id 2 and one null key
     assert pk == {"suppliers.supplier_id": 2, "products.product_id": 0}
-    nn = {r["constraint_name"]: r["n"] for r in quality.not_null_violations(op_tables).collect()}
+    nn = {r["constraint_name"]: r["n"] for r in quality.not_null_violations(oltp_tables).collect()}
     assert nn == {"suppliers.supplier_name": 1, "products.product_name": 0}
 
 
-def test_fk_orphans_count_rows_and_allow_null(op_tables):
-    fk = {r["constraint_name"]: r["n"] for r in quality.fk_orphans(op_tables).collect()}
+def test_fk_orphans_count_rows_and_allow_null(oltp_tables):
+    fk = {r["constraint_name"]: r["n"] for r in quality.fk_orphans(oltp_tables).collect()}
     # supplier 3 is missing twice; a null key is allowed
     assert fk == {"products.supplier_id -> suppliers.supplier_id": 2}
 
@@ -104,13 +104,13 @@ def test_fk_orphans_hot_key(spark):
     assert n == 1500
 
 
-def test_length_and_decimal(op_tables):
+def test_length_and_decimal(oltp_tables):
     lv = {
         r["constraint_name"]: r["n"]
-        for r in quality.length_violations(op_tables, [("products", "product_name", 4)]).collect()
+        for r in quality.length_violations(oltp_tables, [("products", "product_name", 4)]).collect()
     }
     assert lv == {"products.product_name": 1}
-    dv = {r["constraint_name"]: r["n"] for r in quality.decimal_violations(op_tables).collect()}
+    dv = {r["constraint_name"]: r["n"] for r in quality.decimal_violations(oltp_tables).collect()}
     # '12.5' overflows DECIMAL(3,2); '5.999' rounds to 6.00 and fits.
     assert dv == {"suppliers.rating_text decimal(3,2)": 1}
 
