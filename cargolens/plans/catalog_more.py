@@ -156,7 +156,7 @@ BY_DATE_START, BY_DATE_END = "1996-03-01", "1996-03-31"
 def q_bronze_by_date(spark, sf_dir):
     """Land the shipments by day, read back one month: folder pruning."""
     root = SS.scratch_path(spark, "bronze_by_date")
-    medallion.land_partitioned(fixtures.raw_shipments(spark, sf_dir), root)
+    medallion.land_partitioned(fixtures.raw_shipments(spark, sf_dir), root, by_event_date=True)
     month = bronze.read_bronze_by_date(spark, root, BY_DATE_START, BY_DATE_END)
     return month.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
 

@@ -18,18 +18,26 @@ from cargolens.sinks import files
 from cargolens.sources import bronze, tables
 
 
-def land_partitioned(df: DataFrame, path: str, records_per_file: int = 1_000_000) -> None:
+def land_partitioned(
+    df: DataFrame, path: str, records_per_file: int = 1_000_000, by_event_date: bool = False
+) -> None:
     """Land events as JSON Lines under ingest_date=... folders.
 
-    ``repartitionByRange`` on (ingest_date, shipment_id) gives each task a
-    contiguous run of days, so a task writes few folders, and a day that
+    By default the folder is the arrival day (as the reference lands): one
+    folder per run, and every writer adds its own files to it, so no shuffle
+    is needed. ``by_event_date`` files each event under its own day instead;
+    then ``repartitionByRange`` on (ingest_date, shipment_id) gives each task
+    a contiguous run of days, so a task writes few folders, and a day that
     holds a third of all rows is split across many tasks by id range instead
     of landing in one."""
-    dated = files.with_ingest_date(df, F.try_to_timestamp(F.col("shipped_at")))
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if by_event_date:
+        dated = files.with_ingest_date(df, F.try_to_timestamp(F.col("shipped_at")))
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dated = dated.repartitionByRange(n, "ingest_date", "shipment_id")
+    else:
+        dated = files.with_ingest_date(df)
     files.land_json_lines(
-        dated.repartitionByRange(n, "ingest_date", "shipment_id"),
+        dated,
         path,
         max_records_per_file=records_per_file,
         partition_by="ingest_date",

@@ -55,7 +55,7 @@ def test_json_lines_landing_respects_file_size(spark, sf_small):
 
 def test_partition_pruning_by_date(spark, sf_small):
     root = scratch_path(spark, "by_date")
-    medallion.land_partitioned(fixtures.raw_shipments(spark, sf_small), root)
+    medallion.land_partitioned(fixtures.raw_shipments(spark, sf_small), root, by_event_date=True)
     month = bronze.read_bronze_by_date(spark, root, "1996-03-01", "1996-03-31")
     import contextlib
     import io
