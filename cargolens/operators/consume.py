@@ -217,19 +217,15 @@ REPORT_SECTIONS = [
 ]
 
 
-def _numbered(df: DataFrame, section: int, order: list[Column], lines: list[Column]) -> DataFrame:
-    """One or more text lines per row, numbered by the section's sort order.
-    The window runs over an aggregate (one row per carrier/status/route/product)."""
-    w = Window.orderBy(*order)
-    rows = df.withColumn("_row", F.row_number().over(w))
-    exploded = rows.select(
-        "_row", F.posexplode(F.array(*lines)).alias("_sub", "line")
-    )
-    return exploded.select(
+def _section(df: DataFrame, section: int, k1: Column, k2: Column, k3: Column, lines: list[Column]) -> DataFrame:
+    """One section's rows with a common sort key: k1 descending (nulls last),
+    then k2, k3 ascending, plus the row's text lines."""
+    return df.select(
         F.lit(section).alias("section_no"),
-        F.lit(REPORT_SECTIONS[section - 1]).alias("section"),
-        (F.col("_row") * 100 + F.col("_sub")).alias("pos"),
-        "line",
+        k1.cast("double").alias("_k1"),
+        k2.cast("string").alias("_k2"),
+        k3.cast("string").alias("_k3"),
+        F.array(*lines).alias("_lines"),
     )
 
 
@@ -240,9 +236,14 @@ def _num(c: str) -> Column:
 def kpi_report(gold: dict[str, DataFrame]) -> DataFrame:
     """Text context: a block per carrier, a line per status, the top five
     routes and a line per product, under four headings in fixed order.
-    Columns: section_no, section, pos, line."""
+    Columns: section_no, section, pos, line.
+
+    All four sections share one window partitioned by section, so each
+    section is numbered by its own task; the rows are KPI rows (one per
+    carrier, status, route or product), never shipments."""
     carrier, status = gold["carrier_performance"], gold["shipment_status_summary"]
     route, product = gold["route_analysis"], gold["product_summary"]
+    no_key = F.lit(None).cast("string")
     carrier_lines = [
         F.format_string("Carrier: %s", F.col("carrier")),
         F.format_string("- Total Shipments: %s", _num("total_shipments")),
@@ -251,19 +252,23 @@ def kpi_report(gold: dict[str, DataFrame]) -> DataFrame:
         F.format_string("- Delay Rate: %s%%", _num("delay_rate_pct")),
         F.format_string("- Avg Weight: %s kg", F.round("avg_weight_kg", 2).cast("string")),
     ]
-    return _union(
+    rows = _union(
         [
-            _numbered(carrier, 1, [F.col("delay_rate_pct").desc_nulls_last(), F.col("carrier")], carrier_lines),
-            _numbered(
+            _section(carrier, 1, F.col("delay_rate_pct"), F.col("carrier"), no_key, carrier_lines),
+            _section(
                 status,
                 2,
-                [F.col("total_shipments").desc(), F.col("status")],
+                F.col("total_shipments"),
+                F.col("status"),
+                no_key,
                 [F.format_string("Status %s: %s shipments", F.col("status"), _num("total_shipments"))],
             ),
-            _numbered(
+            _section(
                 top_delayed_routes(route),
                 3,
-                [F.col("delay_rate_pct").desc_nulls_last(), F.col("origin"), F.col("destination")],
+                F.col("delay_rate_pct"),
+                F.col("origin"),
+                F.col("destination"),
                 [
                     F.format_string(
                         "%s%s%s: %s%% delay rate",
@@ -274,10 +279,12 @@ def kpi_report(gold: dict[str, DataFrame]) -> DataFrame:
                     )
                 ],
             ),
-            _numbered(
+            _section(
                 product,
                 4,
-                [F.col("total_shipments").desc(), F.col("product")],
+                F.col("total_shipments"),
+                F.col("product"),
+                no_key,
                 [
                     F.format_string(
                         "%s: %s shipments, %s%% delay rate",
@@ -289,6 +296,18 @@ def kpi_report(gold: dict[str, DataFrame]) -> DataFrame:
             ),
         ]
     )
+    w = Window.partitionBy("section_no").orderBy(
+        F.col("_k1").desc_nulls_last(), F.col("_k2").asc_nulls_first(), F.col("_k3").asc_nulls_first()
+    )
+    numbered = rows.withColumn("_row", F.row_number().over(w))
+    lines = numbered.select("section_no", "_row", F.posexplode("_lines").alias("_sub", "line"))
+    heading = F.element_at(F.array(*[F.lit(h) for h in REPORT_SECTIONS]), F.col("section_no"))
+    return lines.select(
+        "section_no",
+        heading.alias("section"),
+        (F.col("_row") * 100 + F.col("_sub")).alias("pos"),
+        "line",
+    )
 
 
 def card_labels(cards: DataFrame) -> DataFrame:
