@@ -228,3 +228,16 @@ def test_bounded_copy_to_pandas(logged_gold):
     assert len(to_pandas_bounded(logged_gold["carrier_performance"], 5)) == 5
     with pytest.raises(TooManyRowsError):
         to_pandas_bounded(logged_gold["carrier_performance"], 4)
+
+
+def test_kpi_cube_equals_separate_aggregates(spark, sf_small):
+    from cargolens.plans.catalog import silver_shipments_df
+
+    sv = silver_shipments_df(spark, sf_small)
+    cube = gold.kpi_tables(sv)
+    separate = gold.gold_tables(sv)
+    for name, table in cube.items():
+        cols = table.columns
+        want = separate[name].select(*cols)
+        assert table.exceptAll(want).count() == 0, name
+        assert want.exceptAll(table).count() == 0, name
