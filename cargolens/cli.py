@@ -49,8 +49,7 @@ def cmd_silver(spark, args):
         if args.start and args.end
         else bronze.read_bronze_partitioned(spark, args.bronze)
     )
-    good, _ = bronze.split_corrupt(raw)
-    _, counts = files.write_flagged(silver.flagged(good.drop("ingest_date")), args.lake)
+    _, counts = files.write_flagged(silver.flagged(raw.drop("ingest_date")), args.lake)
     return {"dq_counts": counts}
 
 

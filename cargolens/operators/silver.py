@@ -99,9 +99,13 @@ def _reason_conditions() -> dict[str, Column]:
 
 
 def with_reasons(df: DataFrame) -> DataFrame:
-    """Adds the array of broken rules (empty for PASS rows)."""
+    """Adds the array of broken rules (empty for PASS rows). A record that did
+    not parse (``_corrupt_record`` set) also carries the reason 'malformed'."""
+    conds = _reason_conditions()
+    if S.CORRUPT_RECORD in df.columns:
+        conds["malformed"] = F.col(S.CORRUPT_RECORD).isNotNull()
     reasons = F.filter(
-        F.array(*[F.when(cond, F.lit(name)) for name, cond in _reason_conditions().items()]),
+        F.array(*[F.when(cond, F.lit(name)) for name, cond in conds.items()]),
         lambda r: r.isNotNull(),
     )
     return df.withColumn("reasons", reasons)

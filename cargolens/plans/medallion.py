@@ -60,8 +60,9 @@ def run_medallion(
         raw = bronze.read_bronze_by_date(spark, bronze_root, start, end)
     else:
         raw = bronze.read_bronze_partitioned(spark, bronze_root)
-    good, _malformed = bronze.split_corrupt(raw)
-    flagged = silver.flagged(good.drop("ingest_date"), run_ts)
+    # Malformed records are not split off: they fail validation and are
+    # written to quarantine with their raw text, in the same single pass.
+    flagged = silver.flagged(raw.drop("ingest_date"), run_ts)
     _, counts = files.write_flagged(flagged, out_root, fmt)
 
     silver_df = tables.read_silver(spark, out_root, fmt)

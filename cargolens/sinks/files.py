@@ -96,7 +96,10 @@ def write_flagged(flagged: DataFrame, root: str, fmt: str = "parquet") -> tuple[
     from cargolens.operators import silver as SV
 
     obs = Observation("dq_counts")
-    rows = SV.with_reasons(flagged).select(*S.SILVER_COLUMNS, "reasons")
+    # A malformed bronze record keeps its raw text: it fails validation (all
+    # fields null) and lands in the quarantine folder, never dropped.
+    extra = [S.CORRUPT_RECORD] if S.CORRUPT_RECORD in flagged.columns else []
+    rows = SV.with_reasons(flagged).select(*S.SILVER_COLUMNS, *extra, "reasons")
     observed = rows.observe(
         obs,
         F.count_if(F.col("dq_flag") == F.lit(S.PASS)).alias("pass"),

@@ -183,3 +183,19 @@ def test_cli_stages_in_order(spark, sf_small):
     silver_n = tables.read_silver(spark, f"{base}/lake").count()
     carriers = tables.read_layer_table(spark, f"{base}/lake", "carrier_performance")
     assert carriers.agg(F.sum("total_shipments")).first()[0] == silver_n
+
+
+def test_malformed_bronze_goes_to_quarantine_not_dropped(spark):
+    base = scratch_path(spark, "malformed")
+    day = os.path.join(local_os_path(base), "bronze", "ingest_date=2026-05-13")
+    os.makedirs(day)
+    with open(os.path.join(day, "part-0.json"), "w") as f:
+        for i in range(3):
+            f.write(json.dumps(dict(zip(S.SHIPMENT_COLUMNS, shipment(shipment_id=i)))) + "\n")
+        f.write("{this is not json\n")
+    summary = medallion.run_medallion(spark, f"{base}/bronze", f"{base}/lake")
+    assert summary["dq_counts"] == {"pass": 3, "fail": 1}
+    q = tables.read_quarantine(spark, f"{base}/lake").collect()
+    assert len(q) == 1 and "malformed" in q[0]["reasons"]
+    assert q[0]["_corrupt_record"] == "{this is not json"
+    assert tables.read_silver(spark, f"{base}/lake").count() == 3
