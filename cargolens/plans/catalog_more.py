@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cargolens.operators import quality
-from cargolens.plans import fixtures
-from cargolens.plans.catalog import register, silver_shipments_df
+from cargolens import session as SS
+from cargolens.operators import consume, gold, quality
+from cargolens.plans import fixtures, medallion
+from cargolens.plans.catalog import SILVER_OUT, register, silver_shipments_df
+from cargolens.sinks import files, publish
+from cargolens.sources import bronze
+from cargolens.sources import events as EV
+from cargolens.streaming import jobs
 
 RUN_TIMESTAMP = "2026-01-01 00:00:00"
 
@@ -65,8 +70,6 @@ def q_apply_defaults(spark, sf_dir):
 
 # --- milestone 5: consumption -------------------------------------------------
 
-from cargolens.operators import consume, gold  # noqa: E402
-
 
 def gold_of(spark, sf_dir):
     return gold.gold_tables(silver_shipments_df(spark, sf_dir))
@@ -144,10 +147,6 @@ def q_kpi_report(spark, sf_dir):
 
 # --- milestone 4: landing, readers, end-to-end run -------------------------------
 
-from cargolens import session as SS  # noqa: E402
-from cargolens.plans import medallion  # noqa: E402
-from cargolens.sinks import files  # noqa: E402
-from cargolens.sources import bronze  # noqa: E402
 
 BY_DATE_START, BY_DATE_END = "1996-03-01", "1996-03-31"
 
@@ -218,9 +217,6 @@ def q_medallion_run(spark, sf_dir):
 
 # --- milestone 6: streaming ------------------------------------------------------
 
-from cargolens.sinks import publish  # noqa: E402
-from cargolens.sources import events as EV  # noqa: E402
-from cargolens.streaming import jobs  # noqa: E402
 
 STREAM_FILES_PER_TRIGGER = 8
 DEDUP_DELAY = "3650 days"  # spans the fixture's event times, so no id arrives late
@@ -308,8 +304,6 @@ def q_stream_silver(spark, sf_dir):
     base = SS.scratch_path(spark, "stream_silver")
     src = _shipment_input(spark, sf_dir, base)
     jobs.silver_stream(_shipment_stream(spark, src), f"{base}/silver", f"{base}/checkpoint", run_ts())
-    from cargolens.plans.catalog import SILVER_OUT
-
     return spark.read.parquet(f"{base}/silver").select(*SILVER_OUT)
 
 
