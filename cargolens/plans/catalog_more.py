@@ -314,3 +314,24 @@ def q_stream_dedup(spark, sf_dir):
     src = _shipment_input(spark, sf_dir, base)
     jobs.dedup_stream(_shipment_stream(spark, src), f"{base}/dedup", f"{base}/checkpoint", DEDUP_DELAY)
     return spark.read.parquet(f"{base}/dedup").select("shipment_id")
+
+
+@register("stream_messages")
+def q_stream_messages(spark, sf_dir):
+    """Shipments as keyed JSON messages, decoded on a stream and landed:
+    every message comes back as the event it encoded."""
+    base = SS.scratch_path(spark, "stream_messages")
+    payload = publish.shipment_payload(fixtures.raw_shipments(spark, sf_dir))
+    payload.select(F.col("key").cast("string"), F.col("value").cast("string")).repartition(
+        SS.parallelism(spark)
+    ).write.json(f"{base}/topic")
+    messages = EV.file_stream(
+        spark, f"{base}/topic", "key STRING, value STRING", "json",
+        max_files_per_trigger=STREAM_FILES_PER_TRIGGER,
+    ).select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
+    jobs.land_messages(
+        messages, f"{base}/bronze", f"{base}/quarantine", f"{base}/checkpoint",
+        max_records_per_file=10_000,
+    )
+    landed = spark.read.schema(fixtures.S.SHIPMENT).json(f"{base}/bronze")
+    return landed.select(*fixtures.S.SHIPMENT_COLUMNS)

@@ -402,3 +402,5 @@ ORACLE.update(
         "stream_dedup": f"WITH {RAW_CTE}\nSELECT DISTINCT shipment_id FROM raw",
     }
 )
+
+ORACLE["stream_messages"] = f"WITH {RAW_CTE}\nSELECT {SHIPMENT_COLS} FROM raw"

@@ -199,3 +199,20 @@ def test_malformed_bronze_goes_to_quarantine_not_dropped(spark):
     assert len(q) == 1 and "malformed" in q[0]["reasons"]
     assert q[0]["_corrupt_record"] == "{this is not json"
     assert tables.read_silver(spark, f"{base}/lake").count() == 3
+
+
+def test_message_landing_quarantines_bad_values(spark):
+    from cargolens.streaming import jobs
+
+    base = scratch_path(spark, "messages")
+    good = [json.dumps(dict(zip(S.SHIPMENT_COLUMNS, shipment(shipment_id=i)))) for i in range(4)]
+    rows = [(str(i), v) for i, v in enumerate(good)] + [("9", "{broken")]
+    spark.createDataFrame(rows, "key string, value string").write.json(f"{base}/topic")
+    messages = events.file_stream(spark, f"{base}/topic", "key STRING, value STRING", "json").select(
+        F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value")
+    )
+    jobs.land_messages(messages, f"{base}/bronze", f"{base}/quarantine", f"{base}/ckpt")
+    landed = spark.read.schema(S.SHIPMENT).json(f"{base}/bronze")
+    assert sorted(r["shipment_id"] for r in landed.collect()) == [0, 1, 2, 3]
+    bad = spark.read.json(f"{base}/quarantine").collect()
+    assert [(r["key"], r["value"]) for r in bad] == [("9", "{broken")]

@@ -19,6 +19,7 @@ IO_QUERIES = {
     "stream_restart",
     "stream_silver",
     "stream_dedup",
+    "stream_messages",
 }
 FORBIDDEN = [
     "CartesianProduct",
