@@ -1,6 +1,7 @@
 """Command line: the reference's jobs as subcommands on one library.
 
-    python -m cargolens.cli land   --source <json|events dir> --bronze <root>
+    python -m cargolens.cli land   --source <events dir> --bronze <root>
+    python -m cargolens.cli land   --kafka-bootstrap <host:port> --topic <t> --bronze <root>
     python -m cargolens.cli silver --bronze <root> --lake <root> [--start D --end D]
     python -m cargolens.cli checks --lake <root> [--on-fail warn|raise]
     python -m cargolens.cli gold   --lake <root>
@@ -32,13 +33,21 @@ def _session(args):
 
 
 def cmd_land(spark, args):
-    """Drain a folder of new event files into bronze (ten per file by default)."""
+    """Drain new events into bronze (ten per file by default): from a Kafka
+    topic (decoded, bad values to quarantine) or from a folder of event files."""
     from cargolens.streaming import jobs
 
-    source = events.file_stream(spark, args.source, S.SHIPMENT, args.source_format)
     # The checkpoint belongs to this landing (one per destination), hidden
     # under the bronze root, so a restart resumes exactly where it stopped.
     checkpoint = args.checkpoint or f"{args.bronze.rstrip('/')}/_landing_checkpoint"
+    if args.kafka_bootstrap:
+        messages = events.kafka_stream(spark, args.kafka_bootstrap, args.topic).select("key", "value")
+        quarantine = args.quarantine or f"{args.bronze.rstrip('/')}_quarantine"
+        jobs.land_messages(
+            messages, args.bronze, quarantine, checkpoint, max_records_per_file=args.records_per_file
+        )
+        return {"bronze": args.bronze, "quarantine": quarantine}
+    source = events.file_stream(spark, args.source, S.SHIPMENT, args.source_format)
     jobs.land_stream(source, args.bronze, checkpoint, max_records_per_file=args.records_per_file)
     return {"bronze": args.bronze}
 
@@ -102,6 +111,9 @@ def parse(argv=None):
     p.add_argument("command", choices=sorted(COMMANDS))
     p.add_argument("--master", default=None, help="only for local runs, e.g. local[*]")
     p.add_argument("--source")
+    p.add_argument("--kafka-bootstrap", help="read a topic instead of a folder (needs the Kafka package)")
+    p.add_argument("--topic", default="shipment-events")
+    p.add_argument("--quarantine")
     p.add_argument("--source-format", default="json")
     p.add_argument("--bronze")
     p.add_argument("--lake")
