@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cargolens.llm import packing, wavelet
+from cargolens.llm import exact, mixing, packing, pii, secret_scan, wavelet
 from cargolens.llm.staging import table
 from cargolens.session import scratch_path
 
@@ -20,11 +20,49 @@ def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(spark, path)
 
 
+def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: rules and bootstrapped contexts."""
+    return pii.report(pii.scan(table(spark, sf_dir, "documents")))
+
+
 def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_heavy_hitter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact dedup of all documents; of equal texts the largest doc_id stays."""
+    return exact.mark(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op6_heavy_hitter_dedup"] = """
+WITH d AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS s
+  FROM documents
+)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY s) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY s) AS kept, s AS text_sha256
+FROM d
+"""
+
+
+def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mix all documents to the sources' target sizes."""
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
+
+
+def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: rules and character Markov models."""
+    return secret_scan.report(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_wavelet_tokens, op5_best_two_fit)
+    f.__name__: f for f in (
+        op2_wavelet_tokens,
+        op3_contextual_pii,
+        op5_best_two_fit,
+        op6_heavy_hitter_dedup,
+        op8_pareto_mix,
+        op10_markov_secrets,
+    )
 }

@@ -8,9 +8,15 @@ of the whole lineage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cargolens.session import scratch_path
 
+#: White space as the operators' word rules know it.
+SPACE = r"[\x20\x09-\x0D]"
+WORD = r"[^\x20\x09-\x0D]"
+SPACE_CHARS = " \t\n\x0b\f\r"
+
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return it reread."""
@@ -22,3 +28,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not use (Spark ignores case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` written with a row number that stays the same in every later
+    read, and that number's column: repeated rows can be told apart."""
+    row = fresh(docs, "_row")
+    return staged(docs.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
+def word_count(text):
+    """Number of words of a text column; null counts as none."""
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE_CHARS))
+    return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, SPACE + "+"))).cast("long")
