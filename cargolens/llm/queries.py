@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cargolens.llm import exact, mixing, packing, pii, secret_scan, wavelet
+from cargolens.llm import exact, langid, link_graph, mixing, outliers, packing, pii, secret_scan, wavelet
 from cargolens.llm.staging import table
 from cargolens.session import scratch_path
 
@@ -25,6 +25,11 @@ def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.scan(table(spark, sf_dir, "documents")))
 
 
+def op4_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents: base rules and robust multivariate outliers."""
+    return outliers.judge(table(spark, sf_dir, "documents"))
+
+
 def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -46,11 +51,21 @@ FROM d
 """
 
 
+def op7_link_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of all page urls: rules, then trust and distrust over host links."""
+    return link_graph.judge(table(spark, sf_dir, "pages"))
+
+
 def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents to the sources' target sizes."""
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op9_recurrent_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents by a bidirectional gated recurrent network."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents: rules and character Markov models."""
     return secret_scan.report(secret_scan.scan(table(spark, sf_dir, "documents")))
@@ -60,9 +75,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_wavelet_tokens,
         op3_contextual_pii,
+        op4_robust_outliers,
         op5_best_two_fit,
         op6_heavy_hitter_dedup,
+        op7_link_propagation,
         op8_pareto_mix,
+        op9_recurrent_langid,
         op10_markov_secrets,
     )
 }
