@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cargolens.llm import exact, langid, link_graph, mixing, outliers, packing, pii, secret_scan, wavelet
+from cargolens.llm import exact, langid, link_graph, mixing, near, outliers, packing, pii, secret_scan, wavelet
 from cargolens.llm.staging import table
 from cargolens.session import scratch_path
 
 ORACLE_SQL: dict[str, str] = {}
 
 
+def op1_weighted_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents."""
+    return near.classes(table(spark, sf_dir, "documents"))
+
+
 def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents into wavelet-matrix shards and read them back."""
     path = scratch_path(spark, "wavelet")
@@ -73,6 +78,7 @@ def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
+        op1_weighted_near_dedup,
         op2_wavelet_tokens,
         op3_contextual_pii,
         op4_robust_outliers,
