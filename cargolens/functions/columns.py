@@ -28,7 +28,10 @@ def is_valid_status(c: Column | str = "status") -> Column:
 
 
 def is_valid_weight(c: Column | str = "weight_kg") -> Column:
-    return col_or_name(c) > F.lit(0)
+    """Positive and finite: NaN and infinity, which Spark orders above every
+    number, are not weights and go to quarantine."""
+    w = col_or_name(c)
+    return (w > F.lit(0)) & (w < F.lit(float("inf")))
 
 
 def dq_flag(*conditions: Column) -> Column:
@@ -69,15 +72,23 @@ def kpi_band(rate: Column | str) -> Column:
     )
 
 
+EXACT_BELOW = 1e15
+
+
 def exact_mean(c: Column | str, scale: int = 6) -> Column:
-    """Mean of a double column from an exact DECIMAL sum.
-
-    A floating-point sum depends on the order rows arrive in, which changes
-    with partitioning and task retries; the decimal sum does not, so the
-    mean is the same double on every run, cluster size and engine. Nulls are
-    skipped, as in avg(); an all-null group gives null."""
-    x = col_or_name(c)
-    return F.try_divide(F.sum(x.cast(f"decimal(38,{scale})")).cast("double"), F.count(x))
+    """Mean of a double column that does not depend on the order of its rows.
+
+    Each value is split into a DECIMAL part of ``scale`` digits, whose sum is
+    exact, and the small rest, whose floating-point sum is far below the last
+    digit of the total; nothing is cut off. Values of ``EXACT_BELOW`` and more,
+    NaN and infinity have no DECIMAL part and go through the floating-point sum
+    whole, so the mean is that of avg(). Nulls are skipped; an all-null group
+    gives null."""
+    x = col_or_name(c).cast("double")
+    exact = F.when(F.abs(x) < F.lit(EXACT_BELOW), x.try_cast(f"decimal(38,{scale})"))
+    rest = x - F.coalesce(exact.cast("double"), F.lit(0.0))
+    total = F.coalesce(F.sum(exact).cast("double"), F.lit(0.0)) + F.sum(rest)
+    return F.try_divide(total, F.count(x))
 
 
 def round_avg(c: Column, digits: int | None) -> Column:

@@ -209,23 +209,15 @@ def weekly_summary(gold: dict[str, DataFrame]) -> DataFrame:
 
 # --- text report (C1) -----------------------------------------------------------
 
-REPORT_SECTIONS = [
-    "CARRIER PERFORMANCE DATA",
-    "SHIPMENT STATUS SUMMARY",
-    "TOP DELAYED ROUTES",
-    "PRODUCT SUMMARY",
-]
-
-
 def _section(df: DataFrame, section: int, k1: Column, k2: Column, k3: Column, lines: list[Column]) -> DataFrame:
-    """One section's rows with a common sort key: k1 descending (nulls last),
-    then k2, k3 ascending, plus the row's text lines."""
+    """One section's lines with a common sort key: k1 descending (nulls last),
+    then k2, k3 ascending, then the line's place in its row."""
     return df.select(
         F.lit(section).alias("section_no"),
-        k1.cast("double").alias("_k1"),
-        k2.cast("string").alias("_k2"),
-        k3.cast("string").alias("_k3"),
-        F.array(*lines).alias("_lines"),
+        k1.cast("double").alias("k1"),
+        k2.cast("string").alias("k2"),
+        k3.cast("string").alias("k3"),
+        F.posexplode(F.array(*lines)).alias("sub", "line"),
     )
 
 
@@ -235,79 +227,44 @@ def _num(c: str) -> Column:
 
 def kpi_report(gold: dict[str, DataFrame]) -> DataFrame:
     """Text context: a block per carrier, a line per status, the top five
-    routes and a line per product, under four headings in fixed order.
-    Columns: section_no, section, pos, line.
+    routes and a line per product, each under its heading line, in fixed order.
+    Columns: section_no, k1, k2, k3, sub, line.
 
-    All four sections share one window partitioned by section, so each
-    section is numbered by its own task; the rows are KPI rows (one per
-    carrier, status, route or product), never shipments."""
+    Lines carry their sort key instead of a number: the writer's range sort
+    puts them in order, and no section has to pass through one task."""
     carrier, status = gold["carrier_performance"], gold["shipment_status_summary"]
     route, product = gold["route_analysis"], gold["product_summary"]
     no_key = F.lit(None).cast("string")
-    carrier_lines = [
-        F.format_string("Carrier: %s", F.col("carrier")),
-        F.format_string("- Total Shipments: %s", _num("total_shipments")),
-        F.format_string("- Delayed: %s", _num("delayed_shipments")),
-        F.format_string("- Delivered: %s", _num("delivered_shipments")),
-        F.format_string("- Delay Rate: %s%%", _num("delay_rate_pct")),
-        F.format_string("- Avg Weight: %s kg", F.round("avg_weight_kg", 2).cast("string")),
+    values = [
+        F.col("carrier"),
+        _num("total_shipments"),
+        _num("delayed_shipments"),
+        _num("delivered_shipments"),
+        _num("delay_rate_pct"),
+        F.round("avg_weight_kg", 2).cast("string"),
     ]
-    rows = _union(
+    carrier_lines = [F.format_string(t, v) for t, v in zip(S.REPORT_CARRIER_LINES, values, strict=True)]
+    spark = carrier.sparkSession
+    heads = [(i, float("inf"), None, None, -1, h) for i, h in enumerate(S.REPORT_SECTIONS, start=1)]
+    headings = spark.createDataFrame(heads, "section_no INT, k1 DOUBLE, k2 STRING, k3 STRING, sub INT, line STRING")
+    routes = F.format_string(
+        S.REPORT_ROUTE_LINE, F.col("origin"), F.lit(S.ROUTE_SEPARATOR), F.col("destination"), _num("delay_rate_pct")
+    )
+    statuses = F.format_string(S.REPORT_STATUS_LINE, F.col("status"), _num("total_shipments"))
+    products = F.format_string(
+        S.REPORT_PRODUCT_LINE, F.col("product"), _num("total_shipments"), _num("delay_rate_pct")
+    )
+    return _union(
         [
+            headings,
             _section(carrier, 1, F.col("delay_rate_pct"), F.col("carrier"), no_key, carrier_lines),
+            _section(status, 2, F.col("total_shipments"), F.col("status"), no_key, [statuses]),
             _section(
-                status,
-                2,
-                F.col("total_shipments"),
-                F.col("status"),
-                no_key,
-                [F.format_string("Status %s: %s shipments", F.col("status"), _num("total_shipments"))],
-            ),
-            _section(
-                top_delayed_routes(route),
-                3,
-                F.col("delay_rate_pct"),
-                F.col("origin"),
-                F.col("destination"),
-                [
-                    F.format_string(
-                        "%s%s%s: %s%% delay rate",
-                        F.col("origin"),
-                        F.lit(S.ROUTE_SEPARATOR),
-                        F.col("destination"),
-                        _num("delay_rate_pct"),
-                    )
-                ],
-            ),
-            _section(
-                product,
-                4,
-                F.col("total_shipments"),
-                F.col("product"),
-                no_key,
-                [
-                    F.format_string(
-                        "%s: %s shipments, %s%% delay rate",
-                        F.col("product"),
-                        _num("total_shipments"),
-                        _num("delay_rate_pct"),
-                    )
-                ],
+                top_delayed_routes(route), 3, F.col("delay_rate_pct"), F.col("origin"), F.col("destination"), [routes]
             ),
+            _section(product, 4, F.col("total_shipments"), F.col("product"), no_key, [products]),
         ]
     )
-    w = Window.partitionBy("section_no").orderBy(
-        F.col("_k1").desc_nulls_last(), F.col("_k2").asc_nulls_first(), F.col("_k3").asc_nulls_first()
-    )
-    numbered = rows.withColumn("_row", F.row_number().over(w))
-    lines = numbered.select("section_no", "_row", F.posexplode("_lines").alias("_sub", "line"))
-    heading = F.element_at(F.array(*[F.lit(h) for h in REPORT_SECTIONS]), F.col("section_no"))
-    return lines.select(
-        "section_no",
-        heading.alias("section"),
-        (F.col("_row") * 100 + F.col("_sub")).alias("pos"),
-        "line",
-    )
 
 
 def card_labels(cards: DataFrame) -> DataFrame:

@@ -98,35 +98,51 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _absent(name: str, df: DataFrame, extra: dict[str, Column]) -> DataFrame:
+    """The row of a rule whose table or column is not there: its count is null."""
+    columns = [F.lit(name).alias("constraint_name"), *[v.alias(k) for k, v in extra.items()]]
+    return df.sparkSession.range(1).select(*columns, F.lit(None).cast("bigint").alias("n"))
+
+
 def pk_violations(tables: dict[str, DataFrame], keys: dict[str, str] | None = None) -> DataFrame:
-    """Rows beyond the first per key, plus rows with a null key, per table."""
+    """Rows beyond the first per key, plus rows with a null key, per table
+    (n is null where the table or column is absent)."""
     keys = keys or S.PRIMARY_KEYS
-    frames = [
-        tables[t]
-        .agg((F.count(F.lit(1)) - F.count_distinct(F.col(k))).alias("n"))
-        .select(F.lit(f"{t}.{k}").alias("constraint_name"), "n")
-        for t, k in keys.items()
-        if t in tables
-    ]
+    some = next(iter(tables.values()))
+    frames = []
+    for t, k in keys.items():
+        name = f"{t}.{k}"
+        if t not in tables or k not in tables[t].columns:
+            frames.append(_absent(name, some, {}))
+            continue
+        n = (F.count(F.lit(1)) - F.count_distinct(F.col(k))).alias("n")
+        frames.append(tables[t].agg(n).select(F.lit(name).alias("constraint_name"), "n"))
     return _union(frames)
 
 
 def _per_table_counts(tables, rules, label, condition, extra=None) -> DataFrame:
     """Count rows matching ``condition(rule)`` for every rule, with ONE
     aggregate per table (all of a table's rules side by side), unpivoted to
-    one row per rule: each table is scanned once, however many rules it has."""
+    one row per rule: each table is scanned once, however many rules it has.
+    A rule whose table or column is absent gives a row with a null count."""
     by_table: dict[str, list] = {}
+    some, frames = next(iter(tables.values())), []
+
+    def more(rule) -> dict[str, Column]:
+        return {"max_length": F.lit(extra(rule))} if extra else {}
+
     for rule in rules:
         t, c = rule[0], rule[1]
         if t in tables and c in tables[t].columns:
             by_table.setdefault(t, []).append(rule)
-    frames = []
+        else:
+            frames.append(_absent(label(rule), some, more(rule)))
     for t, trs in by_table.items():
         wide = tables[t].agg(*[F.count_if(condition(r)).alias(f"n{i}") for i, r in enumerate(trs)])
         rows = [
             F.struct(
                 F.lit(label(r)).alias("constraint_name"),
-                *([F.lit(extra(r)).alias("max_length")] if extra else []),
+                *[v.alias(k) for k, v in more(r).items()],
                 F.col(f"n{i}").alias("n"),
             )
             for i, r in enumerate(trs)
@@ -163,20 +179,20 @@ def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataF
 
 
 def fk_orphans(tables: dict[str, DataFrame], rules=None) -> DataFrame:
-    rules = rules or S.FOREIGN_KEYS
-    frames = [
-        orphan_count(tables[c], fk, tables[p], pk).select(
-            F.lit(f"{c}.{fk} -> {p}.{pk}").alias("constraint_name"), "n"
-        )
-        for c, fk, p, pk in rules
-        if c in tables and p in tables
-    ]
+    frames = []
+    for c, fk, p, pk in rules or S.FOREIGN_KEYS:
+        name = f"{c}.{fk} -> {p}.{pk}"
+        if c in tables and p in tables and fk in tables[c].columns and pk in tables[p].columns:
+            found = orphan_count(tables[c], fk, tables[p], pk)
+            frames.append(found.select(F.lit(name).alias("constraint_name"), "n"))
+        else:
+            frames.append(_absent(name, next(iter(tables.values())), {}))
     return _union(frames)
 
 
 def length_violations(tables: dict[str, DataFrame], limits=None) -> DataFrame:
-    """VARCHAR(n) limits: values longer than n characters. Columns absent
-    from a table are skipped; each table is scanned once for all its limits."""
+    """VARCHAR(n) limits: values longer than n characters. Each table is
+    scanned once for all its limits."""
     return _per_table_counts(
         tables,
         limits or S.VARCHAR_LIMITS,
@@ -189,19 +205,37 @@ def length_violations(tables: dict[str, DataFrame], limits=None) -> DataFrame:
 def decimal_violations(tables: dict[str, DataFrame], columns=None) -> DataFrame:
     """Values that do not fit DECIMAL(p, s): try_cast rounds to the scale and
     gives null on overflow, so a non-null value that casts to null violates."""
-    columns = columns or [("suppliers", "rating_text", 3, 2), ("products", "unit_price", 10, 2)]
-    frames = []
-    for t, c, p, s in columns:
-        if t not in tables or c not in tables[t].columns:
-            continue
-        value = F.col(c)
-        bad = value.isNotNull() & value.try_cast(f"decimal({p},{s})").isNull()
-        frames.append(
-            tables[t]
-            .agg(F.count_if(bad).alias("n"))
-            .select(F.lit(f"{t}.{c} decimal({p},{s})").alias("constraint_name"), "n")
-        )
-    return _union(frames)
+    return _per_table_counts(
+        tables,
+        columns or S.DECIMAL_COLUMNS,
+        label=lambda r: f"{r[0]}.{r[1]} decimal({r[2]},{r[3]})",
+        condition=lambda r: F.col(r[1]).isNotNull() & F.col(r[1]).try_cast(f"decimal({r[2]},{r[3]})").isNull(),
+    )
+
+
+def cast_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """Per declared column: values of the raw table that its DDL type cannot
+    hold (out of range, not a number, not a date). A column that is missing
+    gives a row with a null count."""
+    rules = [(t, f.name, f.dataType) for t, schema in S.OPERATIONAL_SCHEMAS.items() if t in tables for f in schema.fields]
+    return _per_table_counts(
+        tables,
+        rules,
+        label=lambda r: f"{r[0]}.{r[1]} {r[2].simpleString()}",
+        condition=lambda r: F.col(r[1]).isNotNull() & F.col(r[1]).try_cast(r[2]).isNull(),
+    )
+
+
+def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """(rule, constraint_name, n): every declared constraint in one table."""
+    checks = {
+        "primary key": pk_violations(tables),
+        "not null": not_null_violations(tables),
+        "foreign key": fk_orphans(tables),
+        "length": length_violations(tables).drop("max_length"),
+        "type": cast_violations(tables),
+    }
+    return _union([df.select(F.lit(rule).alias("rule"), "constraint_name", "n") for rule, df in checks.items()])
 
 
 def apply_defaults(df: DataFrame, table: str, run_ts: Column | None = None) -> DataFrame:

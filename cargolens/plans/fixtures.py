@@ -25,15 +25,7 @@ from cargolens.sources.tables import read_table
 # Fixed fixture values: carrier by l_suppkey % 5 and status by
 # (l_orderkey + l_linenumber) % 7, in this order.
 FIXTURE_CARRIERS = ["FedEx", "DHL", " Blue Dart ", "DTDC", "Delhivery"]
-FIXTURE_STATUS_CYCLE = [
-    "ORDER_PLACED",
-    "PROCESSING",
-    "SHIPPED",
-    "IN_TRANSIT",
-    "OUT_FOR_DELIVERY",
-    "DELIVERED",
-    "DELAYED",
-]
+FIXTURE_STATUS_CYCLE = S.VALID_STATUSES
 
 
 def _pick(index: F.Column, values: list[str]) -> F.Column:
@@ -113,67 +105,105 @@ def raw_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Operational tables with planted constraint violations.
+# Operational tables as stored (raw types), with a violation of every declared
+# constraint planted by key arithmetic.
 # ---------------------------------------------------------------------------
 
 
+def _planted(key: F.Column, step: int, place: int) -> F.Column:
+    return key % step == place
+
+
+def _too_long(value: F.Column, key: F.Column, step: int, place: int, limit: int) -> F.Column:
+    """The value, or ``limit`` + 1 letters at the planted keys."""
+    return F.when(_planted(key, step, place), F.lit("x" * (limit + 1))).otherwise(value)
+
+
+def _with_copies(df: DataFrame, key: str, step: int, place: int) -> DataFrame:
+    """The rows, those at the planted keys twice."""
+    return df.unionByName(df.filter(_planted(F.col(key), step, place)))
+
+
 def oltp_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read_table(spark, sf_dir, "supplier")
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    return (
+    k = F.col("s_suppkey")
+    name = F.when(_planted(k, 50, 7), F.lit(None).cast("string")).otherwise(F.col("s_name"))
+    email = F.concat(F.lit("s"), k.cast("string"), F.lit("@example.com"))
+    rows = (
         supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
         .join(region, nation.n_regionkey == region.r_regionkey)
         .select(
-            F.col("s_suppkey").alias("supplier_id"),
-            F.when(F.col("s_suppkey") % 50 == 7, F.lit(None).cast("string"))
-            .otherwise(F.col("s_name"))
-            .alias("supplier_name"),
-            F.col("n_name").alias("country"),
-            F.col("r_name").alias("region"),
-            (F.col("s_acctbal") / F.lit(900.0)).cast("string").alias("rating_text"),
+            k.alias("supplier_id"),
+            _too_long(name, k, 50, 8, 100).alias("supplier_name"),
+            _too_long(F.col("n_name"), k, 50, 9, 50).alias("country"),
+            _too_long(F.col("r_name"), k, 50, 10, 50).alias("region"),
+            _too_long(email, k, 50, 11, 100).alias("contact_email"),
+            (F.col("s_acctbal") / F.lit(900.0)).cast("string").alias("rating"),
             (F.col("s_acctbal") > 0).alias("is_active"),
         )
     )
+    return _with_copies(rows, "supplier_id", 50, 12)
 
 
 def oltp_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
-    return part.select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").alias("unit_price"),
-        F.when(F.col("p_partkey") % 40 == 0, F.lit(None).cast("bigint"))
-        .otherwise(F.col("p_partkey") % 105)
-        .alias("supplier_id"),
+    k = F.col("p_partkey")
+    name = F.when(_planted(k, 500, 3), F.lit(None).cast("string")).otherwise(F.col("p_name"))
+    rows = part.select(
+        k.alias("product_id"),
+        _too_long(name, k, 500, 4, 100).alias("product_name"),
+        _too_long(F.col("p_type"), k, 500, 5, 50).alias("category"),
+        F.when(_planted(k, 500, 6), F.lit(123456789012.5)).otherwise(F.col("p_retailprice")).alias("unit_price"),
+        F.when(k % 40 == 0, F.lit(None).cast("bigint")).otherwise(k % 105).alias("supplier_id"),
     )
+    return _with_copies(rows, "product_id", 500, 7)
 
 
 def oltp_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
-    return part.select(
-        F.col("p_partkey").alias("inventory_id"),
-        (F.col("p_partkey") + 5).alias("product_id"),
-        F.concat(F.lit("WH-"), F.col("p_brand")).alias("warehouse_id"),
-        (F.col("p_size") * 20).alias("quantity"),
-        F.when(F.col("p_partkey") % 10 == 0, F.lit(None).cast("int"))
-        .otherwise(F.lit(100))
-        .alias("reorder_level"),
+    k = F.col("p_partkey")
+    rows = part.select(
+        k.alias("inventory_id"),
+        (k + 5).alias("product_id"),
+        _too_long(F.concat(F.lit("WH-"), F.col("p_brand")), k, 500, 4, 20).alias("warehouse_id"),
+        F.when(~_planted(k, 500, 3), F.col("p_size") * 20).alias("quantity"),
+        F.when(k % 10 == 0, F.lit(None).cast("int")).otherwise(F.lit(100)).alias("reorder_level"),
     )
+    return _with_copies(rows, "inventory_id", 500, 7)
 
 
 def oltp_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders")
-    return orders.select(
-        F.col("o_orderkey").alias("order_id"),
-        (F.col("o_orderkey") % 2003).alias("product_id"),
+    k = F.col("o_orderkey")
+    rows = orders.select(
+        k.alias("order_id"),
+        (k % 2003).alias("product_id"),
         (F.col("o_custkey") % 101).alias("supplier_id"),
-        (F.lit(1) + F.col("o_orderkey") % 100).alias("quantity"),
-        F.col("o_orderstatus").alias("order_status"),
+        F.when(~_planted(k, 500, 3), F.lit(1) + k % 100).alias("quantity"),
+        _too_long(F.col("o_orderstatus"), k, 500, 4, 20).alias("order_status"),
         F.col("o_orderdate").alias("order_date"),
         F.date_add(F.col("o_orderdate").cast("date"), 7).alias("expected_delivery"),
     )
+    return _with_copies(rows, "order_id", 500, 7)
+
+
+def oltp_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_shipments(spark, sf_dir)
+    k = F.col("shipment_id")
+    return raw.select(
+        # past the INTEGER range at the planted keys
+        F.when(_planted(k, 5000, 11), k + F.lit(3_000_000_000)).otherwise(k).alias("shipment_id"),
+        F.when(_planted(k, 5000, 12), -F.col("order_id")).otherwise(F.col("order_id")).alias("order_id"),
+        _too_long(F.col("carrier"), k, 5000, 13, 50).alias("carrier"),
+        _too_long(F.col("tracking_number"), k, 5000, 14, 100).alias("tracking_number"),
+        _too_long(F.col("status"), k, 5000, 15, 20).alias("status"),
+        _too_long(F.col("origin"), k, 5000, 16, 100).alias("origin"),
+        _too_long(F.col("destination"), k, 5000, 17, 100).alias("destination"),
+        F.when(_planted(k, 5000, 21), F.lit("soon")).otherwise(F.col("shipped_at")).alias("shipped_at"),
+        "delivered_at",
+    )
 
 
 def operational_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -182,5 +212,5 @@ def operational_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
         "products": oltp_products(spark, sf_dir),
         "inventory": oltp_inventory(spark, sf_dir),
         "orders": oltp_orders(spark, sf_dir),
-        "shipments": raw_shipments(spark, sf_dir),
+        "shipments": oltp_shipments(spark, sf_dir),
     }

@@ -13,13 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cargolens import schemas as S
 from cargolens.operators import gold, quality, silver
 from cargolens.sinks import files
 from cargolens.sources import bronze, tables
 
 
 def land_partitioned(
-    df: DataFrame, path: str, records_per_file: int = 1_000_000, by_event_date: bool = False
+    df: DataFrame, path: str, records_per_file: int = S.FILE_RECORDS, by_event_date: bool = False
 ) -> None:
     """Land events as JSON Lines under ingest_date=... folders.
 
@@ -54,16 +55,14 @@ def run_medallion(
     start: str | None = None,
     end: str | None = None,
     fmt: str = "parquet",
+    layout: str = "lines",
 ) -> dict:
-    """Run silver, checks and gold over landed bronze; return a summary."""
-    if start and end:
-        raw = bronze.read_bronze_by_date(spark, bronze_root, start, end)
-    else:
-        raw = bronze.read_bronze_partitioned(spark, bronze_root)
-    # Malformed records are not split off: they fail validation and are
-    # written to quarantine with their raw text, in the same single pass.
-    flagged = silver.flagged(raw.drop("ingest_date"), run_ts)
-    _, counts = files.write_flagged(flagged, out_root, fmt)
+    """Run silver, checks and gold over landed bronze; return a summary.
+
+    ``start`` and ``end`` (either may be left open) limit silver to those
+    ingest days and replace only them; checks and gold always cover all of
+    silver. ``layout`` is "lines" or "arrays" (dated folders of JSON arrays)."""
+    counts = run_silver(spark, bronze_root, out_root, run_ts, start, end, fmt, layout)
 
     silver_df = tables.read_silver(spark, out_root, fmt)
     files.write_table(quality.silver_checks(silver_df), out_root, "checks", fmt)
@@ -75,6 +74,25 @@ def run_medallion(
     return {"dq_counts": counts, "failed_checks": [r["check_name"] for r in failed_checks]}
 
 
+def run_silver(
+    spark: SparkSession,
+    bronze_root: str,
+    out_root: str,
+    run_ts: Column | None = None,
+    start: str | None = None,
+    end: str | None = None,
+    fmt: str = "parquet",
+    layout: str = "lines",
+) -> dict:
+    """Bronze to silver and quarantine for some ingest days or all; the counts."""
+    raw = bronze.LAYOUTS[layout](spark, bronze_root, start, end)
+    # Malformed records are not split off: they fail validation and are
+    # written to quarantine with their raw text, in the same single pass.
+    days = (start, end) if start or end else None
+    _, counts = files.write_flagged(silver.flagged(raw, run_ts), out_root, fmt, days)
+    return counts
+
+
 LAYER_TABLES = [
     "checks",
     "carrier_performance",

@@ -8,7 +8,9 @@ are cast to BIGINT because DuckDB sums to HUGEINT.
 
 from __future__ import annotations
 
-STATUS_LIST = "('ORDER_PLACED','PROCESSING','SHIPPED','IN_TRANSIT','OUT_FOR_DELIVERY','DELIVERED','DELAYED')"
+from cargolens import schemas as S
+
+STATUS_LIST = "(" + ",".join(f"'{s}'" for s in S.VALID_STATUSES) + ")"
 
 RAW_CTE = """
 raw_base AS (
@@ -57,9 +59,9 @@ norm AS (
   FROM raw
 ),
 val AS (
-  SELECT *, status IN {STATUS_LIST} AS is_valid_status, weight_kg > 0 AS is_valid_weight,
+  SELECT *, status IN {STATUS_LIST} AS is_valid_status, weight_kg > 0 AND weight_kg < CAST('inf' AS DOUBLE) AS is_valid_weight,
     origin IS NOT NULL AS has_origin, destination IS NOT NULL AS has_destination,
-    CASE WHEN (status IN {STATUS_LIST}) AND weight_kg > 0 AND origin IS NOT NULL
+    CASE WHEN (status IN {STATUS_LIST}) AND weight_kg > 0 AND weight_kg < CAST('inf' AS DOUBLE) AND origin IS NOT NULL
               AND destination IS NOT NULL THEN 'PASS' ELSE 'FAIL' END AS dq_flag
   FROM norm
 ),
@@ -79,6 +81,12 @@ def _rate(d: str, n: str) -> str:
     return RATE.format(d=d, n=n)
 
 
+# decimal part summed exactly, the rest in floating point
+MEAN_WEIGHT = (
+    "(CAST(SUM(CAST(weight_kg AS DECIMAL(38,6))) AS DOUBLE) "
+    "+ SUM(weight_kg - CAST(CAST(weight_kg AS DECIMAL(38,6)) AS DOUBLE))) / COUNT(weight_kg)"
+)
+
 GOLD_CTES = (
     SILVER_CTES
     + f""",
@@ -86,7 +94,7 @@ g_carrier AS (
   SELECT carrier, COUNT(shipment_id) AS total_shipments,
     CAST(COUNT_IF(is_delayed) AS BIGINT) AS delayed_shipments,
     CAST(COUNT_IF(is_delivered) AS BIGINT) AS delivered_shipments,
-    CAST(SUM(CAST(weight_kg AS DECIMAL(38,6))) AS DOUBLE) / COUNT(weight_kg) AS avg_weight_kg,
+    {MEAN_WEIGHT} AS avg_weight_kg,
     {_rate("COUNT_IF(is_delayed)", "COUNT(shipment_id)")} AS delay_rate_pct
   FROM silver GROUP BY carrier
 ),
@@ -98,14 +106,14 @@ g_route AS (
   SELECT origin, destination, COUNT(shipment_id) AS total_shipments,
     CAST(COUNT_IF(is_delayed) AS BIGINT) AS delayed_shipments,
     {_rate("COUNT_IF(is_delayed)", "COUNT(shipment_id)")} AS delay_rate_pct,
-    CAST(SUM(CAST(weight_kg AS DECIMAL(38,6))) AS DOUBLE) / COUNT(weight_kg) AS avg_weight_kg
+    {MEAN_WEIGHT} AS avg_weight_kg
   FROM silver GROUP BY origin, destination
 ),
 g_product AS (
   SELECT product, COUNT(shipment_id) AS total_shipments, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
     CAST(COUNT_IF(is_delayed) AS BIGINT) AS delayed_shipments,
     {_rate("COUNT_IF(is_delayed)", "COUNT(shipment_id)")} AS delay_rate_pct,
-    CAST(SUM(CAST(weight_kg AS DECIMAL(38,6))) AS DOUBLE) / COUNT(weight_kg) AS avg_weight_kg
+    {MEAN_WEIGHT} AS avg_weight_kg
   FROM silver GROUP BY product
 )"""
 )
@@ -150,7 +158,8 @@ UNION ALL SELECT 'no_destination', CAST(COUNT_IF(NOT has_destination) AS BIGINT)
     ),
 }
 
-CHECKS_CTE = f""",
+def checks_cte(table: str) -> str:
+    return f""",
 st AS (
   SELECT COUNT(*) AS n,
     COUNT_IF(carrier IS NULL) AS null_carrier, COUNT_IF(status IS NULL) AS null_status,
@@ -159,7 +168,7 @@ st AS (
     COUNT(DISTINCT shipment_id) AS distinct_ids,
     COALESCE(MAX(CAST(shipment_id IS NULL AS INTEGER)), 0) AS null_id,
     COUNT_IF(dq_flag = 'FAIL') AS dq_fails
-  FROM silver
+  FROM {table}
 ),
 checks AS (
   SELECT 'Minimum row count >= 50' AS check_name, n >= 50 AS passed, CAST(n AS DOUBLE) AS actual,
@@ -176,26 +185,83 @@ checks AS (
   UNION ALL SELECT 'All DQ flags are PASS', dq_fails = 0, CAST(dq_fails AS DOUBLE), '0' FROM st
 )"""
 
-OPS_CTES = f"""
-{RAW_CTE},
-oltp_suppliers AS (
-  SELECT s_suppkey AS supplier_id, CASE WHEN s_suppkey % 50 = 7 THEN NULL ELSE s_name END AS supplier_name,
-    n_name AS country, r_name AS region, s_acctbal / CAST(900 AS DOUBLE) AS rating_value,
-    s_acctbal > 0 AS is_active
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-),
-oltp_products AS (
-  SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category, p_retailprice AS unit_price,
-    CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE p_partkey % 105 END AS supplier_id FROM part
-),
-oltp_inventory AS (
-  SELECT p_partkey AS inventory_id, p_partkey + 5 AS product_id, 'WH-' || p_brand AS warehouse_id,
-    p_size * 20 AS quantity, CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE 100 END AS reorder_level FROM part
-),
-oltp_orders AS (
-  SELECT o_orderkey AS order_id, o_orderkey % 2003 AS product_id, o_custkey % 101 AS supplier_id,
-    1 + o_orderkey % 100 AS quantity, o_orderstatus AS order_status FROM orders
-)"""
+
+CHECKS_CTE = checks_cte("silver")
+
+
+def _long(value: str, key: str, step: int, place: int, limit: int) -> str:
+    return f"CASE WHEN {key} % {step} = {place} THEN repeat('x', {limit + 1}) ELSE {value} END"
+
+
+def _copies(name: str, select: str, key: str, step: int, place: int) -> str:
+    """A table whose rows at the planted keys appear twice."""
+    return (
+        f"{name}_once AS ({select}),\n"
+        f"{name} AS (SELECT * FROM {name}_once UNION ALL SELECT * FROM {name}_once WHERE {key} % {step} = {place})"
+    )
+
+
+OPS_CTES = RAW_CTE + ",\n" + ",\n".join(
+    [
+        _copies(
+            "oltp_suppliers",
+            "SELECT s_suppkey AS supplier_id, "
+            + _long("CASE WHEN s_suppkey % 50 = 7 THEN NULL ELSE s_name END", "s_suppkey", 50, 8, 100)
+            + f" AS supplier_name, {_long('n_name', 's_suppkey', 50, 9, 50)} AS country, "
+            + f"{_long('r_name', 's_suppkey', 50, 10, 50)} AS region, "
+            + _long("'s' || s_suppkey || '@example.com'", "s_suppkey", 50, 11, 100)
+            + " AS contact_email, s_acctbal / CAST(900 AS DOUBLE) AS rating, s_acctbal > 0 AS is_active "
+            "FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
+            "supplier_id",
+            50,
+            12,
+        ),
+        _copies(
+            "oltp_products",
+            "SELECT p_partkey AS product_id, "
+            + _long("CASE WHEN p_partkey % 500 = 3 THEN NULL ELSE p_name END", "p_partkey", 500, 4, 100)
+            + f" AS product_name, {_long('p_type', 'p_partkey', 500, 5, 50)} AS category, "
+            "CASE WHEN p_partkey % 500 = 6 THEN CAST(123456789012.5 AS DOUBLE) ELSE p_retailprice END AS unit_price, "
+            "CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE p_partkey % 105 END AS supplier_id FROM part",
+            "product_id",
+            500,
+            7,
+        ),
+        _copies(
+            "oltp_inventory",
+            "SELECT p_partkey AS inventory_id, p_partkey + 5 AS product_id, "
+            + _long("'WH-' || p_brand", "p_partkey", 500, 4, 20)
+            + " AS warehouse_id, CASE WHEN p_partkey % 500 <> 3 THEN p_size * 20 END AS quantity, "
+            "CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE 100 END AS reorder_level FROM part",
+            "inventory_id",
+            500,
+            7,
+        ),
+        _copies(
+            "oltp_orders",
+            "SELECT o_orderkey AS order_id, o_orderkey % 2003 AS product_id, o_custkey % 101 AS supplier_id, "
+            "CASE WHEN o_orderkey % 500 <> 3 THEN 1 + o_orderkey % 100 END AS quantity, "
+            + _long("o_orderstatus", "o_orderkey", 500, 4, 20)
+            + " AS order_status FROM orders",
+            "order_id",
+            500,
+            7,
+        ),
+        "oltp_shipments AS (SELECT CASE WHEN shipment_id % 5000 = 11 THEN shipment_id + 3000000000 ELSE shipment_id END "
+        "AS shipment_id, CASE WHEN shipment_id % 5000 = 12 THEN -order_id ELSE order_id END AS order_id, "
+        + ", ".join(
+            f"{_long(c, 'shipment_id', 5000, place, limit)} AS {c}"
+            for c, place, limit in [
+                ("carrier", 13, 50),
+                ("tracking_number", 14, 100),
+                ("status", 15, 20),
+                ("origin", 16, 100),
+                ("destination", 17, 100),
+            ]
+        )
+        + ", CASE WHEN shipment_id % 5000 = 21 THEN 'soon' ELSE shipped_at END AS shipped_at, delivered_at FROM raw)",
+    ]
+)
 
 
 def _orphans(child: str, fk: str, parent: str, pk: str, child_tab: str, parent_tab: str) -> str:
@@ -221,6 +287,7 @@ ORACLE.update(
             + "\nSELECT COUNT(*) AS total, CAST(COUNT_IF(passed) AS BIGINT) AS passed, "
             "CAST(COUNT_IF(NOT passed) AS BIGINT) AS failed FROM checks"
         ),
+        "dq_checks_flagged": with_silver(checks_cte("biz") + "\nSELECT * FROM checks"),
         "pk_violations": f"WITH {OPS_CTES}\n"
         + "\nUNION ALL ".join(
             f"SELECT '{t}.{k}' AS constraint_name, COUNT(*) - COUNT(DISTINCT {k}) AS n FROM {tab}"
@@ -229,7 +296,7 @@ ORACLE.update(
                 ("products", "product_id", "oltp_products"),
                 ("inventory", "inventory_id", "oltp_inventory"),
                 ("orders", "order_id", "oltp_orders"),
-                ("shipments", "shipment_id", "raw"),
+                ("shipments", "shipment_id", "oltp_shipments"),
             ]
         ),
         "not_null_violations": f"WITH {OPS_CTES}\n"
@@ -249,7 +316,7 @@ ORACLE.update(
                 _orphans("inventory", "product_id", "products", "product_id", "oltp_inventory", "oltp_products"),
                 _orphans("orders", "product_id", "products", "product_id", "oltp_orders", "oltp_products"),
                 _orphans("orders", "supplier_id", "suppliers", "supplier_id", "oltp_orders", "oltp_suppliers"),
-                _orphans("shipments", "order_id", "orders", "order_id", "raw", "oltp_orders"),
+                _orphans("shipments", "order_id", "orders", "order_id", "oltp_shipments", "oltp_orders"),
             ]
         ),
         "length_violations": f"WITH {OPS_CTES}\n"
@@ -259,24 +326,57 @@ ORACLE.update(
                 ("suppliers", "supplier_name", 100, "oltp_suppliers"),
                 ("suppliers", "country", 50, "oltp_suppliers"),
                 ("suppliers", "region", 50, "oltp_suppliers"),
+                ("suppliers", "contact_email", 100, "oltp_suppliers"),
                 ("products", "product_name", 100, "oltp_products"),
                 ("products", "category", 50, "oltp_products"),
                 ("inventory", "warehouse_id", 20, "oltp_inventory"),
                 ("orders", "order_status", 20, "oltp_orders"),
-                ("shipments", "carrier", 50, "raw"),
-                ("shipments", "tracking_number", 100, "raw"),
-                ("shipments", "status", 20, "raw"),
-                ("shipments", "origin", 100, "raw"),
-                ("shipments", "destination", 100, "raw"),
+                ("shipments", "carrier", 50, "oltp_shipments"),
+                ("shipments", "tracking_number", 100, "oltp_shipments"),
+                ("shipments", "status", 20, "oltp_shipments"),
+                ("shipments", "origin", 100, "oltp_shipments"),
+                ("shipments", "destination", 100, "oltp_shipments"),
             ]
         ),
         "decimal_violations": f"WITH {OPS_CTES}\n"
-        "SELECT 'suppliers.rating_text decimal(3,2)' AS constraint_name, CAST(COUNT_IF(rating_value IS NOT NULL "
-        "AND TRY_CAST(rating_value AS DECIMAL(3,2)) IS NULL) AS BIGINT) AS n FROM oltp_suppliers\n"
+        "SELECT 'suppliers.rating decimal(3,2)' AS constraint_name, CAST(COUNT_IF(rating IS NOT NULL "
+        "AND TRY_CAST(rating AS DECIMAL(3,2)) IS NULL) AS BIGINT) AS n FROM oltp_suppliers\n"
         "UNION ALL SELECT 'products.unit_price decimal(10,2)', CAST(COUNT_IF(unit_price IS NOT NULL "
         "AND TRY_CAST(unit_price AS DECIMAL(10,2)) IS NULL) AS BIGINT) FROM oltp_products",
-        "apply_defaults": "SELECT p_partkey AS inventory_id, p_partkey + 5 AS product_id, "
-        "'WH-' || p_brand AS warehouse_id, p_size * 20 AS quantity, 100 AS reorder_level FROM part",
+        # omitted columns take their default, nulls of a present column stay
+        "apply_defaults": f"""WITH {OPS_CTES}
+SELECT 'inventory.reorder_level omitted' AS case_name, COUNT(*) AS n, COUNT(*) AS filled FROM oltp_inventory
+UNION ALL SELECT 'inventory.reorder_level present', COUNT(*), COUNT(reorder_level) FROM oltp_inventory
+UNION ALL SELECT 'inventory.last_updated omitted', COUNT(*), COUNT(*) FROM oltp_inventory
+UNION ALL SELECT 'suppliers.is_active omitted', COUNT(*), COUNT(*) FROM oltp_suppliers
+UNION ALL SELECT 'suppliers.created_at omitted', COUNT(*), COUNT(*) FROM oltp_suppliers
+UNION ALL SELECT 'products.created_at omitted', COUNT(*), COUNT(*) FROM oltp_products
+UNION ALL SELECT 'orders.order_status omitted', COUNT(*), COUNT(*) FROM oltp_orders
+UNION ALL SELECT 'orders.order_date omitted', COUNT(*), COUNT(*) FROM oltp_orders
+UNION ALL SELECT 'shipments.status omitted', COUNT(*), COUNT(*) FROM oltp_shipments
+UNION ALL SELECT 'shipments.status present', COUNT(*), CAST(COUNT_IF(status = 'IN_TRANSIT') AS BIGINT) FROM oltp_shipments
+UNION ALL SELECT 'shipments.shipped_at omitted', COUNT(*), COUNT(*) FROM oltp_shipments""",
+        # declared columns of the fixture tables that can fail their type, and those that are missing
+        "cast_violations": f"""WITH {OPS_CTES}
+SELECT 'suppliers.rating decimal(3,2)' AS constraint_name, CAST(COUNT_IF(rating IS NOT NULL
+  AND TRY_CAST(rating AS DECIMAL(3,2)) IS NULL) AS BIGINT) AS n FROM oltp_suppliers
+UNION ALL SELECT 'products.unit_price decimal(10,2)', CAST(COUNT_IF(unit_price IS NOT NULL
+  AND TRY_CAST(unit_price AS DECIMAL(10,2)) IS NULL) AS BIGINT) FROM oltp_products
+UNION ALL SELECT 'shipments.shipment_id int', CAST(COUNT_IF(TRY_CAST(shipment_id AS INTEGER) IS NULL) AS BIGINT) FROM oltp_shipments
+UNION ALL SELECT 'shipments.shipped_at timestamp', CAST(COUNT_IF(shipped_at IS NOT NULL
+  AND TRY_CAST(shipped_at AS TIMESTAMP) IS NULL) AS BIGINT) FROM oltp_shipments
+UNION ALL SELECT c, CAST(NULL AS BIGINT) FROM (VALUES ('suppliers.created_at timestamp'), ('products.created_at timestamp'),
+  ('inventory.last_updated timestamp'), ('orders.actual_delivery date')) m(c)
+UNION ALL SELECT c, CAST(0 AS BIGINT) FROM (VALUES ('suppliers.supplier_id int'), ('suppliers.supplier_name string'),
+  ('suppliers.country string'), ('suppliers.region string'), ('suppliers.contact_email string'),
+  ('suppliers.is_active boolean'), ('products.product_id int'), ('products.product_name string'),
+  ('products.category string'), ('products.supplier_id int'), ('inventory.inventory_id int'),
+  ('inventory.product_id int'), ('inventory.warehouse_id string'), ('inventory.quantity int'),
+  ('inventory.reorder_level int'), ('orders.order_id int'), ('orders.product_id int'), ('orders.supplier_id int'),
+  ('orders.quantity int'), ('orders.order_status string'), ('orders.order_date timestamp'),
+  ('orders.expected_delivery date'), ('shipments.order_id int'), ('shipments.carrier string'),
+  ('shipments.tracking_number string'), ('shipments.status string'), ('shipments.origin string'),
+  ('shipments.destination string'), ('shipments.delivered_at timestamp')) z(c)""",
     }
 )
 
@@ -380,16 +480,21 @@ ORACLE.update(
         ),
         "bronze_scan": f"WITH {RAW_CTE}\nSELECT {SHIPMENT_COLS} FROM raw",
         "schema_report": _schema_report(),
+        # rows of every written table, and the stored gold values
         "medallion_run": with_gold(
-            """SELECT 'bronze' AS table_name, COUNT(*) AS n FROM raw
-UNION ALL SELECT 'silver', COUNT(*) FROM silver
-UNION ALL SELECT 'quarantine', COUNT(*) FROM biz WHERE dq_flag = 'FAIL'
-UNION ALL SELECT 'checks', CAST(9 AS BIGINT)
-UNION ALL SELECT 'carrier_performance', COUNT(*) FROM g_carrier
-UNION ALL SELECT 'shipment_status_summary', COUNT(*) FROM g_status
-UNION ALL SELECT 'route_analysis', COUNT(*) FROM g_route
-UNION ALL SELECT 'product_summary', COUNT(*) FROM g_product"""
+            """SELECT 'bronze' AS table_name, '' AS key, COUNT(*) AS n, CAST(NULL AS DOUBLE) AS value FROM raw
+UNION ALL SELECT 'silver', '', COUNT(*), NULL FROM silver
+UNION ALL SELECT 'quarantine', '', COUNT(*), NULL FROM biz WHERE dq_flag = 'FAIL'
+UNION ALL SELECT 'checks', '', CAST(9 AS BIGINT), NULL
+UNION ALL SELECT 'carrier_performance', carrier, total_shipments, avg_weight_kg FROM g_carrier
+UNION ALL SELECT 'carrier_performance rate', carrier, delayed_shipments, delay_rate_pct FROM g_carrier
+UNION ALL SELECT 'shipment_status_summary', status, total_shipments, CAST(unique_orders AS DOUBLE) FROM g_status
+UNION ALL SELECT 'route_analysis', origin || ' → ' || destination, total_shipments, avg_weight_kg FROM g_route
+UNION ALL SELECT 'route_analysis rate', origin || ' → ' || destination, delayed_shipments, delay_rate_pct FROM g_route
+UNION ALL SELECT 'product_summary', product, total_shipments, avg_weight_kg FROM g_product
+UNION ALL SELECT 'product_summary rate', product, total_quantity, delay_rate_pct FROM g_product"""
         ),
+        "bronze_inventory": f"WITH {RAW_CTE}\nSELECT COUNT(*) AS landed_rows, TRUE AS files_not_empty FROM raw",
     }
 )
 
@@ -403,4 +508,76 @@ ORACLE.update(
     }
 )
 
+DAY_TWO = "shipment_id % 3 = 0"
+BROKEN = "shipment_id % 1000 = 7"
+
+ORACLE.update(
+    {
+        # every line of both landings is there, and the rejects of both
+        "landing_two_runs": f"""WITH {RAW_CTE}
+SELECT 'bronze' AS place, COUNT(*) AS n FROM raw WHERE NOT ({BROKEN})
+UNION ALL SELECT 'quarantine', COUNT(*) FROM raw WHERE {BROKEN}""",
+        # one day replaced, the other untouched
+        "silver_two_days": with_silver(
+            f"""SELECT CASE WHEN {DAY_TWO} THEN '2026-01-02' ELSE '2026-01-01' END AS ingest_date, dq_flag, COUNT(*) AS n
+FROM biz GROUP BY 1, 2"""
+        ),
+        "landing_malformed": f"""WITH {RAW_CTE}
+SELECT 'bronze' AS place, COUNT(*) AS n, CAST(NULL AS VARCHAR) AS first_text FROM raw WHERE NOT ({BROKEN})
+UNION ALL SELECT 'quarantine', COUNT(*), MIN('broken {{ ' || shipment_id) FROM raw WHERE {BROKEN}""",
+        "stream_quarantine": with_silver(
+            """SELECT shipment_id, status, weight_kg, COALESCE(array_to_string(list_filter([
+  CASE WHEN NOT COALESCE(is_valid_status, FALSE) THEN 'bad_status' END,
+  CASE WHEN NOT COALESCE(is_valid_weight, FALSE) THEN 'bad_weight' END,
+  CASE WHEN NOT has_origin THEN 'no_origin' END,
+  CASE WHEN NOT has_destination THEN 'no_destination' END], x -> x IS NOT NULL), ','), '') AS reasons
+FROM biz WHERE dq_flag = 'FAIL'"""
+        ),
+        "arrays_one_day": with_silver(f"SELECT dq_flag, COUNT(*) AS n FROM biz WHERE {DAY_TWO} GROUP BY 1"),
+        "stream_landing": f"""WITH {RAW_CTE}
+SELECT COUNT(*) AS total, TRUE AS at_most_ten FROM raw""",
+        "stream_restart": f"""WITH {RAW_CTE}
+SELECT 1 AS run, COUNT(*) AS new_rows FROM raw UNION ALL SELECT 2, CAST(0 AS BIGINT)""",
+        # ids once; rows without an id and rows older than the delay are kept apart
+        "stream_dedup_outputs": f"""WITH {RAW_CTE}
+SELECT 'new' AS place, COUNT(DISTINCT shipment_id) AS n FROM raw WHERE shipment_id % 50 <> 2 AND shipment_id % 50 <> 1
+UNION ALL SELECT 'no_key', COUNT(*) FROM raw WHERE shipment_id % 50 = 2
+UNION ALL SELECT 'late', COUNT(*) FROM raw WHERE shipment_id % 50 = 1""",
+        "publish_payload": f"""WITH {RAW_CTE}
+SELECT CAST(order_id AS VARCHAR) AS key, {SHIPMENT_COLS} FROM raw""",
+        "kpi_cards_text": with_gold(
+            f"""SELECT format('{{:,}}', total_shipments) AS total_shipments, format('{{:,}}', total_delivered) AS total_delivered,
+  format('{{:,}}', total_delayed) AS total_delayed, CAST(avg_delay_rate AS VARCHAR) || '%' AS avg_delay_rate,
+  CASE WHEN avg_delay_rate > 20 THEN 'red' WHEN avg_delay_rate > 10 THEN 'amber' ELSE 'green' END AS band
+FROM ({CARDS}) c"""
+        ),
+        "kpi_report": with_gold(
+            """, r AS (SELECT * FROM g_route ORDER BY delay_rate_pct DESC NULLS LAST, origin, destination LIMIT 5),
+l AS (
+  SELECT 1 AS section_no, CAST('inf' AS DOUBLE) AS k1, CAST(NULL AS VARCHAR) AS k2, CAST(NULL AS VARCHAR) AS k3,
+    -1 AS sub, 'CARRIER PERFORMANCE DATA' AS line
+  UNION ALL SELECT 2, CAST('inf' AS DOUBLE), NULL, NULL, -1, 'SHIPMENT STATUS SUMMARY'
+  UNION ALL SELECT 3, CAST('inf' AS DOUBLE), NULL, NULL, -1, 'TOP DELAYED ROUTES'
+  UNION ALL SELECT 4, CAST('inf' AS DOUBLE), NULL, NULL, -1, 'PRODUCT SUMMARY'
+  UNION ALL SELECT 1, delay_rate_pct, carrier, NULL, sub, CASE sub WHEN 0 THEN 'Carrier: ' || carrier
+    WHEN 1 THEN '- Total Shipments: ' || total_shipments WHEN 2 THEN '- Delayed: ' || delayed_shipments
+    WHEN 3 THEN '- Delivered: ' || delivered_shipments WHEN 4 THEN '- Delay Rate: ' || delay_rate_pct || '%'
+    ELSE '- Avg Weight: ' || ROUND(avg_weight_kg, 2) || ' kg' END
+  FROM g_carrier, (SELECT CAST(range AS INTEGER) AS sub FROM range(6)) s
+  UNION ALL SELECT 2, CAST(total_shipments AS DOUBLE), status, NULL, 0, 'Status ' || status || ': ' || total_shipments || ' shipments' FROM g_status
+  UNION ALL SELECT 3, delay_rate_pct, origin, destination, 0, origin || ' → ' || destination || ': ' || delay_rate_pct || '% delay rate' FROM r
+  UNION ALL SELECT 4, CAST(total_shipments AS DOUBLE), product, NULL, 0,
+    product || ': ' || total_shipments || ' shipments, ' || delay_rate_pct || '% delay rate' FROM g_product
+)
+SELECT row_number() OVER (ORDER BY section_no, k1 DESC NULLS LAST, k2 NULLS FIRST, k3 NULLS FIRST, sub) AS pos, line FROM l"""
+        ),
+        "gold_order": with_gold(
+            """SELECT 'carrier_performance' AS table_name, row_number() OVER (ORDER BY delay_rate_pct DESC NULLS LAST, carrier) AS pos, carrier AS key FROM g_carrier
+UNION ALL SELECT 'shipment_status_summary', row_number() OVER (ORDER BY total_shipments DESC, status), status FROM g_status
+UNION ALL SELECT 'route_analysis', row_number() OVER (ORDER BY delay_rate_pct DESC NULLS LAST, origin, destination), origin || ' → ' || destination FROM g_route
+UNION ALL SELECT 'product_summary', row_number() OVER (ORDER BY total_shipments DESC, product), product FROM g_product"""
+        ),
+    }
+)
+
 ORACLE["stream_messages"] = f"WITH {RAW_CTE}\nSELECT {SHIPMENT_COLS} FROM raw"

@@ -41,6 +41,24 @@ KPI_BAND_RED_ABOVE = 20
 KPI_BAND_AMBER_ABOVE = 10
 ROUTE_SEPARATOR = " → "
 BRONZE_BATCH_SIZE = 10
+# The text report: headings, and the line templates of each section.
+REPORT_SECTIONS = [
+    "CARRIER PERFORMANCE DATA",
+    "SHIPMENT STATUS SUMMARY",
+    "TOP DELAYED ROUTES",
+    "PRODUCT SUMMARY",
+]
+REPORT_CARRIER_LINES = [
+    "Carrier: %s",
+    "- Total Shipments: %s",
+    "- Delayed: %s",
+    "- Delivered: %s",
+    "- Delay Rate: %s%%",
+    "- Avg Weight: %s kg",
+]
+REPORT_STATUS_LINE = "Status %s: %s shipments"
+REPORT_ROUTE_LINE = "%s%s%s: %s%% delay rate"
+REPORT_PRODUCT_LINE = "%s: %s shipments, %s%% delay rate"
 # Check names of the silver checks, in the reference's order.
 CHECK_MIN_ROWS = "Minimum row count >= 50"
 CHECK_NULLS = "No nulls in {}"
@@ -51,6 +69,13 @@ CHECK_DQ_FLAG = "All DQ flags are PASS"
 NULL_CHECK_COLUMNS = ["carrier", "status", "origin", "destination"]
 # ---------------------------------------------------------------------------
 
+# Defaults of this library: events per landed file, messages per micro-batch.
+FILE_RECORDS = 1_000_000
+MESSAGES_PER_TRIGGER = 5_000_000
+FILES_PER_TRIGGER = 1_000
+# Sort columns of a report line (k1 descending with nulls last).
+REPORT_ORDER = ["section_no", "k1", "k2", "k3", "sub"]
+
 # One bronze shipment event (13 flat fields). Timestamps stay ISO-8601 text,
 # as they arrive; typed copies are derived with try_to_timestamp.
 SHIPMENT = StructType(
@@ -81,15 +106,6 @@ VALIDATION_COLUMNS = ["is_valid_status", "is_valid_weight", "has_origin", "has_d
 BUSINESS_COLUMNS = ["weight_category", "is_delayed", "is_delivered"]
 SILVER_COLUMNS = SHIPMENT_COLUMNS + VALIDATION_COLUMNS + ["processed_at"] + BUSINESS_COLUMNS
 
-CHECK_RESULT = StructType(
-    [
-        StructField("check_name", StringType()),
-        StructField("passed", BooleanType()),
-        StructField("actual", DoubleType()),
-        StructField("expected", StringType()),
-    ]
-)
-
 # Operational (OLTP) tables, typed as declared by the source database DDL.
 SUPPLIERS = StructType(
     [

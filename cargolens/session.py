@@ -6,7 +6,9 @@ settings come from the cluster's own configuration.
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -61,39 +63,76 @@ def build_session(
     return spark
 
 
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir`` of the session or of its submit-time configuration."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        try:
+            root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except AttributeError:  # Spark Connect has no SparkContext
+            return None
+    return root
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     The cluster names a folder every executor can reach; we only read it.
-    When it is unset (a laptop or a test), a local folder is created and
-    registered once, so later calls agree on it.
+    Without one, a single-machine session (``local``, ``local[n]``) gets a
+    temporary folder that goes when the process ends; any other master fails
+    here, since its executors would each write to a disk of their own.
     """
-    root = None
-    try:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # pragma: no cover - conf access differs on Connect
-        root = None
-    if not root:
-        try:
-            root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        except Exception:  # pragma: no cover
-            root = None
+    root = configured_checkpoint_dir(spark)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(
+                f"master {master or 'unknown'}: set spark.checkpoint.dir to a folder that all executors share"
+            )
         root = tempfile.mkdtemp(prefix="cargolens-checkpoints-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # pragma: no cover
-            pass
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/cargolens/{spark.conf.get('spark.app.id', 'session')}"
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
-    base = f"{checkpoint_root(spark)}/cargolens/{uuid.uuid4().hex}"
+    base = f"{_scratch_root(spark)}/{uuid.uuid4().hex}"
     return "/".join([base, *parts]) if parts else base
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables; DataFrames that read them end here."""
+    delete_path(spark, _scratch_root(spark))
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a Hadoop path, for any store Spark can reach."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, target = _hadoop(spark, path)
+    fs.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _hadoop(spark, path)
+    return fs.exists(target)
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a Hadoop glob (folder names only: no file is opened)."""
+    fs, target = _hadoop(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(target) or [])
+
+
 def is_local_path(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:")
 
@@ -103,17 +142,12 @@ def local_os_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_os_path(path), exist_ok=True)
-
-
 def parallelism(spark: SparkSession) -> int:
     """Task slots to spread a small write over (shuffle partitions where the
     SparkContext is not reachable, as on Spark Connect)."""
     try:
         return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # pragma: no cover
+    except AttributeError:  # Spark Connect has no SparkContext
         return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
@@ -123,8 +157,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = checkpoint_root(spark)
     try:
         sc = spark.sparkContext
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(root)
-    except Exception:  # pragma: no cover - Spark Connect manages this itself
-        pass
+    except AttributeError:  # Spark Connect manages this itself
+        return root
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root

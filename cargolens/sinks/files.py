@@ -3,10 +3,14 @@ task-retry safe: a lost executor's half-written files are never committed."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+import re
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from cargolens import schemas as S
+from cargolens.session import delete_path, glob_paths
 
 
 def with_ingest_date(df: DataFrame, ts: Column | None = None) -> DataFrame:
@@ -19,20 +23,25 @@ def with_ingest_date(df: DataFrame, ts: Column | None = None) -> DataFrame:
 def land_json_lines(
     df: DataFrame,
     path: str,
-    max_records_per_file: int = S.BRONZE_BATCH_SIZE,
+    max_records_per_file: int = S.FILE_RECORDS,
     partition_by: str | None = "ingest_date",
     mode: str = "append",
+    landing: str | None = None,
 ) -> None:
     """Bronze landing: JSON Lines, at most ``max_records_per_file`` events per
-    file (the reference lands batches of ten), one folder per ingest day.
+    file (``S.BRONZE_BATCH_SIZE`` gives the small files of a message consumer),
+    one folder per ingest day and, inside it, one per landing. Stream landings
+    (``streaming.jobs``) use the same two levels, so both can share a root.
     Null fields are written as nulls so every file carries all keys."""
+    if partition_by:
+        df = df.withColumn("landing", F.lit(landing or uuid.uuid4().hex[:12]))
     writer = (
         df.write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
         .option("ignoreNullFields", "false")
     )
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        writer = writer.partitionBy(partition_by, "landing")
     writer.json(path)
 
 
@@ -65,13 +74,16 @@ def land_json_arrays(
     batch_size: int = S.BRONZE_BATCH_SIZE,
     mode: str = "append",
     writers: int | None = None,
+    day: str | None = None,
 ) -> None:
     """Reference layout: each file one JSON array of at most ``batch_size``
-    events. Rows are serialised to JSON in the JVM; a small per-task helper
+    events, below ``YYYY/MM/DD`` where a ``day`` is given. Rows are serialised to JSON in the JVM; a small per-task helper
     joins them into arrays (groups bounded by ``batch_size``); each array is
     written as its own file. ``writers`` spreads a small input over that many
     tasks first (round-robin repartition, which Spark makes deterministic by
     sorting before it, so retries are safe)."""
+    if day:
+        path = f"{path.rstrip('/')}/{day.replace('-', '/')}"
     if writers:
         df = df.repartition(writers)
     rows = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("j"))
@@ -86,42 +98,67 @@ def write_table(df: DataFrame, root: str, name: str, fmt: str = "parquet", mode:
     return path
 
 
-def write_flagged(flagged: DataFrame, root: str, fmt: str = "parquet") -> tuple[str, dict]:
-    """Write every validated row once, partitioned by dq_flag: the PASS folder
-    is the silver table, the FAIL folder the quarantine (with reasons).
-
-    One scan of bronze feeds both (no cache, no second pass), and the
-    PASS/FAIL counts come from an Observation on that same write instead of
-    extra count() actions."""
+def write_flagged(
+    flagged: DataFrame,
+    root: str,
+    fmt: str = "parquet",
+    days: tuple[str | None, str | None] | None = None,
+) -> tuple[str, dict]:
+    """Write every validated row once, partitioned by ingest_date (where the
+    rows carry it) and dq_flag: the PASS folders are the silver table, the FAIL
+    folders the quarantine (with reasons).
+
+    Without ``days`` the whole table is replaced. With ``days`` (first, last;
+    None leaves an end open) only those ingest days are: each of their folders
+    is overwritten, and folders that this run did not write are removed. Other
+    days stay. One scan of bronze feeds both tables (no cache, no second pass),
+    and the PASS/FAIL counts come from an Observation on that same write."""
     from cargolens.operators import silver as SV
 
     obs = Observation("dq_counts")
     # A malformed bronze record keeps its raw text: it fails validation (all
     # fields null) and lands in the quarantine folder, never dropped.
     extra = [S.CORRUPT_RECORD] if S.CORRUPT_RECORD in flagged.columns else []
-    rows = SV.with_reasons(flagged).select(*S.SILVER_COLUMNS, *extra, "reasons")
+    dated = ["ingest_date"] if "ingest_date" in flagged.columns else []
+    if days and not dated:
+        raise ValueError("replacing days needs rows with an ingest_date")
+    folder = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in [*dated, "dq_flag"]])
+    rows = SV.with_reasons(flagged).select(*S.SILVER_COLUMNS, *extra, "reasons", *dated)
     observed = rows.observe(
         obs,
         F.count_if(F.col("dq_flag") == F.lit(S.PASS)).alias("pass"),
         F.count_if(F.col("dq_flag") == F.lit(S.FAIL)).alias("fail"),
+        F.collect_set(folder).alias("folders"),  # two a day at most
     )
     path = f"{root.rstrip('/')}/shipments"
-    observed.write.mode("overwrite").partitionBy("dq_flag").format(fmt).save(path)
-    return path, obs.get
+    writer = observed.write.mode("overwrite").partitionBy(*dated, "dq_flag").format(fmt)
+    if days:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.save(path)
+    counts = dict(obs.get)
+    written = set(counts.pop("folders"))
+    if days:
+        first, last = days
+        for found in glob_paths(flagged.sparkSession, f"{path}/ingest_date=*/dq_flag=*"):
+            day = re.search(r"ingest_date=([^/]+)/", found)[1]
+            inside = (first is None or day >= first) and (last is None or day <= last)
+            if inside and "/".join(found.split("/")[-2:]) not in written:
+                delete_path(flagged.sparkSession, found)
+    return path, counts
 
 
 def write_text_report(lines: DataFrame, path: str) -> None:
     """The report as text, in order. The global sort range-partitions the
     lines, so part files read in name order give the report in order; no
     single task has to hold it (a small report is one part file anyway)."""
-    lines.orderBy("section_no", "pos").select("line").write.mode("overwrite").text(path)
+    order = [F.col(c).desc_nulls_last() if c == "k1" else F.col(c).asc_nulls_first() for c in S.REPORT_ORDER]
+    lines.orderBy(*order).select("line").write.mode("overwrite").text(path)
 
 
 def read_text_parts(spark, path: str) -> DataFrame:
-    """Lines of a multi-part text output in file-name order, then line order."""
-    return (
-        spark.read.text(path)
-        .select(F.input_file_name().alias("_f"), F.monotonically_increasing_id().alias("_i"), "value")
-        .orderBy("_f", "_i")
-        .select("value")
+    """(pos, value): lines of a multi-part text output, numbered in file-name
+    order, then line order. Few lines: a report, not data."""
+    lines = spark.read.text(path, wholetext=False).select(
+        F.input_file_name().alias("_f"), F.monotonically_increasing_id().alias("_i"), "value"
     )
+    return lines.select(F.row_number().over(Window.orderBy("_f", "_i")).cast("bigint").alias("pos"), "value")

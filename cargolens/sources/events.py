@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from cargolens import schemas as S
+
 EVENT_SCHEMA = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 PROPS_SCHEMA = "k BIGINT"
 
@@ -56,19 +58,18 @@ def kafka_stream(
     bootstrap_servers: str,
     topic: str,
     starting_offsets: str = "earliest",
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int = S.MESSAGES_PER_TRIGGER,
 ) -> DataFrame:
     """Kafka topic as a stream (needs the spark-sql-kafka package on the
-    cluster). Offsets are kept in the query checkpoint, not auto-committed."""
+    cluster). Offsets are kept in the query checkpoint, not auto-committed;
+    a micro-batch reads ``max_offsets_per_trigger`` messages at most."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
     )
-    if max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    return reader.load()
+    return reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger)).load()
 
 
 def file_stream(
@@ -77,13 +78,11 @@ def file_stream(
     schema: StructType | str,
     fmt: str = "json",
     glob: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = S.FILES_PER_TRIGGER,
 ) -> DataFrame:
     """A folder as a stream: new files are new data. Stands in for the topic
     where no broker is configured."""
     reader = spark.readStream.format(fmt).schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+    return reader.option("maxFilesPerTrigger", str(max_files_per_trigger)).load(path)

@@ -18,14 +18,13 @@ from cargolens import schemas as S
 
 
 def typed(df: DataFrame, table: str) -> DataFrame:
-    """Cast present columns to the DDL types (try_cast: bad values become
-    null and are caught by the constraint checks, not by a failed job)."""
+    """Cast present columns to the DDL types. A value that does not fit becomes
+    null here; ``quality.cast_violations`` counts those on the raw table."""
     schema = S.OPERATIONAL_SCHEMAS[table]
-    cols = []
-    for field in schema.fields:
-        if field.name in df.columns:
-            cols.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
-    return df.select(*cols)
+    present = {c.lower() for c in df.columns}
+    return df.select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields if f.name in present]
+    )
 
 
 def jdbc_properties() -> dict[str, str]:
@@ -60,17 +59,19 @@ def read_jdbc(
     )
 
 
-def read_operational(
-    spark: SparkSession,
-    table: str,
-    root: str | None = None,
-    url: str | None = None,
-) -> DataFrame:
-    """One operational table, typed. ``url`` (or CARGOLENS_JDBC_URL) selects
+def read_raw(spark: SparkSession, table: str, root: str | None = None, url: str | None = None) -> DataFrame:
+    """One operational table as stored. ``url`` (or CARGOLENS_JDBC_URL) selects
     JDBC; otherwise ``root/<table>`` is read as Parquet."""
     url = url or os.environ.get("CARGOLENS_JDBC_URL")
     if url:
-        return typed(read_jdbc(spark, url, table), table)
+        return read_jdbc(spark, url, table)
     if not root:
         raise ValueError("either a JDBC url or a Parquet root is needed")
-    return typed(spark.read.parquet(f"{root.rstrip('/')}/{table}"), table)
+    return spark.read.parquet(f"{root.rstrip('/')}/{table}")
+
+
+def read_operational(
+    spark: SparkSession, table: str, root: str | None = None, url: str | None = None
+) -> DataFrame:
+    """One operational table, typed as the DDL declares it."""
+    return typed(read_raw(spark, table, root, url), table)

@@ -4,16 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAR_TABLES = [
-    "region",
-    "nation",
-    "customer",
-    "supplier",
-    "part",
-    "orders",
-    "lineitem",
-    "events",
-]
+GOLD_TABLES = ["carrier_performance", "shipment_status_summary", "route_analysis", "product_summary"]
 
 
 def table_path(root: str, name: str) -> str:
@@ -43,6 +34,11 @@ def read_silver(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFra
     return read_layer_table(spark, root, "shipments", fmt).filter(F.col("dq_flag") == F.lit("PASS"))
 
 
+def read_gold(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The stored gold tables by name, for the consumers."""
+    return {name: read_layer_table(spark, root, name, fmt) for name in GOLD_TABLES}
+
+
 def read_quarantine(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
     from pyspark.sql import functions as F
 

@@ -13,8 +13,12 @@ from cargolens.plans.catalog import registry
 from cargolens.session import local_os_path, scratch_path
 from cargolens.sinks import files, publish
 from cargolens.sources import bronze, events, tables
+from pyspark.sql.types import StringType, StructField, StructType
+
 from tests.helpers import shipment
 
+DATED = StructType([*S.SHIPMENT.fields, StructField("ingest_date", StringType())])
+
 
 def _data_files(path):
     out = []
@@ -109,10 +113,8 @@ def test_decode_quarantines_bad_json(spark):
 
 def test_stream_landing_shape_and_restart(spark, sf_small):
     q = registry()
-    landed = q["stream_landing"](spark, sf_small).collect()
     total = fixtures.raw_shipments(spark, sf_small).count()
-    assert sum(r["n"] for r in landed) == total
-    assert max(r["n"] for r in landed) <= S.BRONZE_BATCH_SIZE
+    assert q["stream_landing"](spark, sf_small).first().asDict() == {"total": total, "at_most_ten": True}
     restart = {r["run"]: r["new_rows"] for r in q["stream_restart"](spark, sf_small).collect()}
     assert restart == {1: total, 2: 0}
 
@@ -154,14 +156,85 @@ def test_operational_reader_types_columns(spark, sf_small):
     assert df.count() == fixtures.oltp_orders(spark, sf_small).count()
 
 
-def test_first_per_key_drops_copies_inside_a_task(spark):
+def test_first_per_key_keeps_ids_exact(spark):
     from cargolens.streaming.jobs import first_per_key
 
-    df = spark.createDataFrame(
-        [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e"), (1, "f")], "k long, v string"
-    ).coalesce(1)
-    got = sorted(first_per_key(df, "k").collect(), key=lambda r: r["v"])
-    assert [(r["k"], r["v"]) for r in got] == [(1, "a"), (2, "c"), (None, "d"), (None, "e")]
+    big = 9007199254740993  # not a double
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (big, "c"), (big, "d"), (2, None)], "k long, v string")
+    assert sorted(tuple(r) for r in first_per_key(df, "k", ["v"]).collect()) == [(1, "a"), (2, None), (big, "c")]
+
+
+def test_a_cluster_without_a_shared_folder_fails():
+    from cargolens import session
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf({"spark.master": master})
+
+    for master in ("yarn", "spark://host:7077", "k8s://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.checkpoint_root(Session(master))
+
+
+def test_a_replayed_day_keeps_the_others(spark):
+    base = scratch_path(spark, "replay")
+
+    def land(day, ids, status="IN_TRANSIT"):
+        rows = [(*shipment(shipment_id=i, status=status), day) for i in ids]
+        frame = spark.createDataFrame(rows, DATED)
+        files.land_json_lines(frame, f"{base}/bronze-{day}-{status}")
+
+    def state():
+        rows = tables.read_layer_table(spark, f"{base}/lake", "shipments").collect()
+        return sorted((str(r["ingest_date"]), r["dq_flag"], r["shipment_id"]) for r in rows)
+
+    land("2026-01-01", [1, 2])
+    land("2026-01-02", [3])
+    land("2026-01-02", [3, 4], "LOST")
+    for folder, day in (("2026-01-01-IN_TRANSIT", "2026-01-01"), ("2026-01-02-IN_TRANSIT", "2026-01-02")):
+        medallion.run_silver(spark, f"{base}/bronze-{folder}", f"{base}/lake", start=day, end=day)
+    assert state() == [("2026-01-01", "PASS", 1), ("2026-01-01", "PASS", 2), ("2026-01-02", "PASS", 3)]
+    # the second day again, now without a PASS row: its old PASS folder goes
+    medallion.run_silver(spark, f"{base}/bronze-2026-01-02-LOST", f"{base}/lake", start="2026-01-02")
+    assert [x for x in state() if x[0] == "2026-01-02"] == [("2026-01-02", "FAIL", 3), ("2026-01-02", "FAIL", 4)]
+    assert len([x for x in state() if x[0] == "2026-01-01"]) == 2
+
+
+def test_half_given_ranges(spark):
+    root = scratch_path(spark, "half")
+    rows = [(*shipment(shipment_id=i), f"2026-01-0{i}") for i in (1, 2, 3)]
+    files.land_json_lines(spark.createDataFrame(rows, DATED), root)
+    read = lambda *days: sorted(r["shipment_id"] for r in bronze.read_bronze_by_date(spark, root, *days).collect())
+    assert (read(), read("2026-01-02"), read(None, "2026-01-02"), read("2026-01-02", "2026-01-02")) == ([1, 2, 3], [2, 3], [1, 2], [2])
+
+
+def test_mean_equals_avg(spark):
+    from cargolens.functions.columns import exact_mean
+
+    for values in ([5.0, float("nan")], [1e-7, 3e-7], [1e33, 1e33, -5.0], [0.1, 0.2, None], [float("inf"), 1.0], [None]):
+        df = spark.createDataFrame([(v,) for v in values], "w double")
+        got, want = df.select(exact_mean("w"), F.avg("w")).first()
+        assert (got is None and want is None) or got == pytest.approx(want, rel=1e-12, nan_ok=True), values
+
+
+def test_weights_that_are_not_finite_are_quarantined(spark):
+    from cargolens.operators import silver
+
+    rows = [shipment(shipment_id=i, weight_kg=w) for i, w in enumerate([1.0, float("nan"), float("inf"), -1.0])]
+    flags = {r["shipment_id"]: r["dq_flag"] for r in silver.flagged(spark.createDataFrame(rows, S.SHIPMENT)).collect()}
+    assert flags == {0: "PASS", 1: "FAIL", 2: "FAIL", 3: "FAIL"}
+
+
+def test_rules_on_absent_columns_are_reported(spark):
+    frames = {"suppliers": spark.createDataFrame([(3000000000, "50.5")], "supplier_id long, rating string")}
+    got = {r["constraint_name"]: r["n"] for r in quality.cast_violations(frames).collect()}
+    assert got["suppliers.supplier_id int"] == got["suppliers.rating decimal(3,2)"] == 1
+    assert got["suppliers.country string"] is None
+    assert {r["n"] for r in quality.fk_orphans(frames).collect()} == {None}
 
 
 def test_cli_stages_in_order(spark, sf_small):
@@ -179,7 +252,9 @@ def test_cli_stages_in_order(spark, sf_small):
     assert cli.main(["gold", "--lake", f"{base}/lake", *common]) == 0
     assert cli.main(["report", "--lake", f"{base}/lake", "--out", f"{base}/report", *common]) == 0
     lines = files.read_text_parts(spark, f"{base}/report").collect()
-    assert lines[0]["value"].startswith("Carrier: ")
+    assert [r["value"] for r in lines][:2][0] == S.REPORT_SECTIONS[0] and lines[1]["value"].startswith("Carrier: ")
+    assert spark.read.json(f"{base}/report_weekly_summary").count() == 5
+    assert spark.read.json(f"{base}/report_business_questions").count() == 5
     silver_n = tables.read_silver(spark, f"{base}/lake").count()
     carriers = tables.read_layer_table(spark, f"{base}/lake", "carrier_performance")
     assert carriers.agg(F.sum("total_shipments")).first()[0] == silver_n

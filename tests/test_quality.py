@@ -74,7 +74,7 @@ def test_tally_and_gate(spark):
 def oltp_tables(spark):
     suppliers = spark.createDataFrame(
         [(1, "Acme", "1.5"), (2, None, "12.5"), (2, "Dup", "5.999"), (None, "NoKey", None)],
-        "supplier_id long, supplier_name string, rating_text string",
+        "supplier_id long, supplier_name string, rating string",
     )
     products = spark.createDataFrame(
         [(10, "P10", 1), (11, "P11", 3), (12, "P12", None), (13, "A product name", 3)],
@@ -112,7 +112,7 @@ def test_length_and_decimal(oltp_tables):
     assert lv == {"products.product_name": 1}
     dv = {r["constraint_name"]: r["n"] for r in quality.decimal_violations(oltp_tables).collect()}
     # '12.5' overflows DECIMAL(3,2); '5.999' rounds to 6.00 and fits.
-    assert dv == {"suppliers.rating_text decimal(3,2)": 1}
+    assert dv == {"suppliers.rating decimal(3,2)": 1}
 
 
 def test_defaults_fill_omitted_columns_only(spark):
