@@ -264,7 +264,8 @@ def q_bronze_inventory(spark, sf_dir):
     )
     rows = bronze.read_bronze_partitioned(spark, root).agg(F.count("*").alias("landed_rows"))
     # two one-row results side by side
-    both = rows.withColumn("one", F.lit(1)).join(listing.withColumn("one", F.lit(1)), "one")
+    both = rows.unionByName(listing, allowMissingColumns=True)
+    both = both.agg(*[F.max(c).alias(c) for c in both.columns])
     full = (F.col("files") > 0) & (F.col("least") > 0) & (F.col("bytes") > F.col("landed_rows"))
     return both.select("landed_rows", full.alias("files_not_empty"))
 

@@ -2,6 +2,7 @@
 reference logged for its 100-event run (golden values)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from cargolens.operators import consume, gold, silver
 from tests.helpers import frame, shipment
@@ -128,8 +129,10 @@ def test_status_share_sums_to_one(logged_gold):
 
 def test_kpi_report_text(logged_gold, spark):
     report = consume.kpi_report(logged_gold)
-    lines = [r["line"] for r in report.orderBy("section_no", "pos").collect()]
-    assert lines[:6] == [
+    ordered = report.orderBy("section_no", F.col("k1").desc_nulls_last(), "k2", "k3", "sub")
+    lines = [r["line"] for r in ordered.collect()]
+    assert lines[0] == "CARRIER PERFORMANCE DATA"
+    assert lines[1:7] == [
         "Carrier: Delhivery",
         "- Total Shipments: 22",
         "- Delayed: 6",
@@ -140,7 +143,7 @@ def test_kpi_report_text(logged_gold, spark):
     assert "Status DELAYED: 21 shipments" in lines
     assert "Delhi → Pune: 50.0% delay rate" in lines
     assert "Phone: 26 shipments, 15.38% delay rate" in lines
-    assert len(lines) == 5 * 6 + 7 + 5 + 7
+    assert len(lines) == 4 + 5 * 6 + 7 + 5 + 7
 
     from cargolens.sinks.files import write_text_report
 
