@@ -36,8 +36,9 @@ MIN_GROUP = 100
 STEPS = 4
 CUTOFF = 0.9999
 UNIT = 256  # fixed-point steps per unit of a statistic
-#: statistic -> standard deviation that is added as measurement noise
-NOISE = {"words": 0.3, "word_length": 0.1, "symbols": 0.1, "dup_lines": 0.1, "repeats": 0.1}
+#: statistic -> standard deviation that is added as measurement noise; one line
+#: that occurs twice in a short text stays within it
+NOISE = {"words": 0.3, "word_length": 0.1, "symbols": 0.1, "dup_lines": 0.2, "repeats": 0.2}
 DIMS = len(NOISE)
 
 
