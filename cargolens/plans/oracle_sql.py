@@ -526,11 +526,11 @@ FROM biz GROUP BY 1, 2"""
 SELECT 'bronze' AS place, COUNT(*) AS n, CAST(NULL AS VARCHAR) AS first_text FROM raw WHERE NOT ({BROKEN})
 UNION ALL SELECT 'quarantine', COUNT(*), MIN('broken {{ ' || shipment_id) FROM raw WHERE {BROKEN}""",
         "stream_quarantine": with_silver(
-            """SELECT shipment_id, status, weight_kg, COALESCE(array_to_string(list_filter([
+            """SELECT shipment_id, status, weight_kg, concat_ws(',',
   CASE WHEN NOT COALESCE(is_valid_status, FALSE) THEN 'bad_status' END,
   CASE WHEN NOT COALESCE(is_valid_weight, FALSE) THEN 'bad_weight' END,
   CASE WHEN NOT has_origin THEN 'no_origin' END,
-  CASE WHEN NOT has_destination THEN 'no_destination' END], x -> x IS NOT NULL), ','), '') AS reasons
+  CASE WHEN NOT has_destination THEN 'no_destination' END) AS reasons
 FROM biz WHERE dq_flag = 'FAIL'"""
         ),
         "arrays_one_day": with_silver(f"SELECT dq_flag, COUNT(*) AS n FROM biz WHERE {DAY_TWO} GROUP BY 1"),
