@@ -45,26 +45,30 @@ ROWS = 4
 SAMPLES = BANDS * ROWS
 MIN_SHARED = 0.5
 LEADERS = 64
+#: Rows (of 64 bytes) of documents to verify that are broadcast at most.
+BROADCAST_ROWS = 200_000
 RARE = 0.001
 WIDTH = 1 << 19
 BLOCK = 1 << 14
 ID_BITS = 44
-CHUNK = 1 << 17
+CHUNK = 1 << 15
 NO_WORDS = "cast(array() as array<bigint>)"
 
 _C1, _C2, _C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
-def words(text: Column) -> Column:
-    """Hashes of the lower-cased words of a text column."""
-    split = F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE + "+")
-    return F.transform(F.filter(split, lambda w: w != ""), lambda w: F.xxhash64(w))
+def split_words(text: Column) -> Column:
+    """The lower-cased words of a text column."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE + "+"), lambda w: w != "")
 
 
-def same_words(text: Column) -> Column:
+def hashed(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def key_of(words: Column) -> Column:
     """A key that texts share exactly when their lower-cased words are equal."""
-    split = F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE + "+")
-    return F.unhex(F.sha2(F.array_join(F.filter(split, lambda w: w != ""), " "), 256))
+    return F.unhex(F.sha2(F.array_join(words, " "), 256))
 
 
 def shingles(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,7 +140,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         return frame.iloc[:1].assign(counts=[zlib.compress(total.tobytes(), 1)])
 
     schema = "block int, salt int, counts binary"
-    parts = docs.select(words(F.col("text"))).mapInArrow(count, schema)
+    parts = docs.select(hashed(split_words(F.col("text")))).mapInArrow(count, schema)
     # first within salts, so that no task adds up the tables of all tasks
     parts = parts.groupBy("block", "salt").applyInPandas(add, schema).groupBy("block").applyInPandas(add, schema)
     table = np.zeros(2 * WIDTH, np.int64)
@@ -158,23 +162,39 @@ def weigh(ids: np.ndarray, times: np.ndarray, idf: np.ndarray) -> np.ndarray:
 _RNG = np.random.default_rng(20)
 _R = _RNG.gamma(2, 1, 1 << 16).astype(np.float32)
 _LN_C = np.log(_RNG.gamma(2, 1, 1 << 16)).astype(np.float32)
-_BETA = ((np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.float32)
 _SEEDS = _RNG.integers(1, 1 << 63, SAMPLES).astype(np.uint64) | np.uint64(1)
 
 
-def draw(ids: np.ndarray, ln_w: np.ndarray, k: int) -> np.ndarray:
-    """Sample k of weighted elements: (order of a) << 32 | fingerprint of (element, t)."""
+_PLACE = np.arange(1 << 20, dtype=np.uint64)
+
+
+def draw(ids: np.ndarray, ln_w: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
+    """Fingerprints of sample k of the weighted sets that begin at ``starts``.
+
+    ln a lies far above -64, so ln a + 64 is a positive float, whose bits sort
+    as an integer; the place of the element below them names the least one.
+    """
     u = ids * _SEEDS[k]
     u ^= u >> np.uint64(31)
     u *= _C2
-    r = _R[(u >> np.uint64(48)).astype(np.intp)]
-    beta = _BETA[(u >> np.uint64(16) & np.uint64(0xFFFF)).astype(np.intp)]
-    t = np.floor(ln_w / r + beta)
-    ln_a = _LN_C[(u >> np.uint64(32) & np.uint64(0xFFFF)).astype(np.intp)] - r * (t - beta + np.float32(1))
-    bits = ln_a.astype(np.float32, copy=False).view(np.int32)
-    order = (bits ^ (bits >> 31 & np.int32(0x7FFFFFFF))).astype(np.int64) + (1 << 31)
-    mark = (ids ^ t.astype(np.int64).view(np.uint64) * _C3) * _C1
-    return order.view(np.uint64) << np.uint64(32) | mark >> np.uint64(32)
+    r = _R.take((u >> np.uint64(48)).view(np.int64))
+    t = (u >> np.uint64(16) & np.uint64(0xFFFF)).astype(np.float32)
+    t += np.float32(0.5)
+    t *= np.float32(1 / (1 << 16))
+    beta = t.copy()
+    t += ln_w / r
+    np.floor(t, out=t)
+    beta -= t
+    beta -= np.float32(1)  # -(t - beta + 1)
+    beta *= r
+    beta += _LN_C.take((u >> np.uint64(32) & np.uint64(0xFFFF)).view(np.int64))
+    beta += np.float32(64)
+    order = beta.view(np.uint32).astype(np.uint64)
+    order <<= np.uint64(32)
+    order |= _PLACE[: len(ids)] if len(ids) <= len(_PLACE) else np.arange(len(ids), dtype=np.uint64)
+    least = (np.minimum.reduceat(order, starts) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    mark = (ids[least] ^ t[least].astype(np.int64).view(np.uint64) * _C3) * _C1
+    return (mark >> np.uint64(32)).astype(np.uint32)
 
 
 def sign(doc: np.ndarray, ids: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
@@ -186,10 +206,8 @@ def sign(doc: np.ndarray, ids: np.ndarray, weights: np.ndarray, n: int) -> np.nd
     while at < len(starts):  # some documents at a time, so that the arrays stay in the cache
         to = max(at + 1, int(np.searchsorted(starts, starts[at] + CHUNK)))
         a, b = starts[at], starts[to] if to < len(starts) else len(doc)
-        own = starts[at:to] - a
         for k in range(SAMPLES):
-            least = np.minimum.reduceat(draw(ids[a:b], ln_w[a:b], k), own)
-            out[doc[starts[at:to]], k] = (least & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            out[doc[starts[at:to]], k] = draw(ids[a:b], ln_w[a:b], starts[at:to] - a, k)
         at = to
     return out
 
@@ -222,8 +240,8 @@ def signatures(docs: DataFrame, idf, row: Column) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["row", "doc_id", "key", "signs", "bands"])
 
-    text = F.col("text")
-    source = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), same_words(text).alias("key"), words(text).alias("w"))
+    source = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), split_words(F.col("text")).alias("w"))
+    source = source.select("row", "doc_id", key_of(F.col("w")).alias("key"), hashed(F.col("w")).alias("h"))
     return source.mapInArrow(compute, schema)
 
 
@@ -253,7 +271,7 @@ def verified(pairs: DataFrame, texts: DataFrame, idf, similarity: float) -> Data
 
     one, two = (texts.select(F.col("row").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     both = pairs.join(one, "a").join(two, "b")
-    return both.select("a", "b", words(F.col("text_a")), words(F.col("text_b"))).mapInArrow(compare, "a long, b long, similar boolean")
+    return both.select("a", "b", *[hashed(split_words(F.col(t))).alias(t) for t in ("text_a", "text_b")]).mapInArrow(compare, "a long, b long, similar boolean")
 
 
 def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -303,14 +321,32 @@ def classes(docs: DataFrame, row: str | None = None, similarity: float = SIMILAR
         found = pairs.distinct().join(one, "a").join(two, "b")
         return found.where(shared >= int(MIN_SHARED * SAMPLES)).select("a", "b")
 
+    fetched: list[DataFrame] = []  # (row, text) of the nodes verified so far
+
+    def fetch(wanted: DataFrame) -> None:
+        """Texts of the wanted nodes that were not fetched before, in one scan of all documents."""
+        for have in fetched:
+            wanted = wanted.join(have.select("row"), "row", "left_anti")
+        named = nodes.select(F.col("node").alias("_node"), F.col("key").alias("_key"), F.col("doc_id").alias("_doc"))
+        wanted = staged(wanted.join(named, F.col("row") == F.col("_node")).drop("row"), "wanted")
+        n = wanted.count()
+        if n:
+            wanted = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted  # beyond it, texts are shuffled
+            texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+            texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("_node", "_key", "text")
+            texts = staged(texts, "candidates")
+            # an id may stand for several texts
+            texts = texts.where(key_of(split_words(F.col("text"))) == F.col("_key"))
+            texts = texts.select(F.col("_node").alias("row"), "text").dropDuplicates(["row"])
+            fetched.append(staged(texts, "texts"))
+
     def compared(pairs: DataFrame) -> DataFrame:
         pairs = staged(pairs, "pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-        wanted = wanted.join(nodes, F.col("row") == F.col("node")).select(F.col("row").alias("_node"), F.col("key").alias("_key"), F.col("doc_id").alias("_doc"))
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-        texts = texts.join(wanted, (same_words(F.col("text")) == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
-        texts = texts.select(F.col("_node").alias("row"), "text").dropDuplicates(["row"])
-        return staged(verified(pairs, staged(texts, "texts"), idf, similarity), "compared")
+        fetch(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct())
+        texts = spark.createDataFrame([], "row long, text string")
+        for part in fetched:
+            texts = texts.unionByName(part)
+        return staged(verified(pairs, texts, idf, similarity), "compared")
 
     seen = compared(promising(members.where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b"))))
     led = None
