@@ -361,7 +361,7 @@ def q_arrays_one_day(spark, sf_dir):
 # --- milestone 6: streaming ------------------------------------------------------
 
 
-STREAM_FILES_PER_TRIGGER = 8
+STREAM_FILES_PER_TRIGGER = 32
 FIXTURE_SPAN = "3000 days"  # the fixture's files hold its seven years in no order, so none of it is late
 
 
