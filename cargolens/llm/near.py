@@ -52,6 +52,7 @@ WIDTH = 1 << 19
 BLOCK = 1 << 14
 ID_BITS = 44
 CHUNK = 1 << 15
+WORDS_AT_ONCE = 1 << 19
 NO_WORDS = "cast(array() as array<bigint>)"
 
 _C1, _C2, _C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -111,6 +112,20 @@ def listed(column) -> tuple[np.ndarray, np.ndarray]:
     return values, offsets - offsets[0]
 
 
+def slices(batch, *lists: int):
+    """Parts of an Arrow batch whose list columns hold ``WORDS_AT_ONCE`` values
+    at most (or one row): a batch of long texts must not fill the memory."""
+    import pyarrow.compute as pc
+
+    values = sum(pc.list_value_length(batch.column(i)).to_numpy(zero_copy_only=False) for i in lists)
+    ends, a = np.cumsum(values), 0
+    while a < batch.num_rows:
+        before = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, before + WORDS_AT_ONCE, side="right")))
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """The count-min table over all documents, and their number."""
 
@@ -118,11 +133,9 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        table, n = np.zeros(2 * WIDTH, np.int64), 0
-        for batch in batches:
-            values, offsets = listed(batch.column(0))
-            _, ids, _ = shingles(values, offsets)
-            n += batch.num_rows
+        table = np.zeros(2 * WIDTH, np.int64)
+        for part in (part for batch in batches for part in slices(batch, 0)):
+            _, ids, _ = shingles(*listed(part.column(0)))
             for place in cells(ids):
                 table += np.bincount(place, minlength=2 * WIDTH)
         salt = TaskContext.get().partitionId() % 16
@@ -227,10 +240,10 @@ def signatures(docs: DataFrame, idf, row: Column) -> DataFrame:
     def compute(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            values, offsets = listed(batch.column(3))
+        for part in (part for batch in batches for part in slices(batch, 3)):
+            values, offsets = listed(part.column(3))
             doc, ids, times = shingles(values, offsets)
-            n = batch.num_rows
+            n = part.num_rows
             signs = sign(doc, ids, weigh(ids, times, idf.value), n)
             some = np.diff(offsets) > 0
             keep = np.concatenate([[0], np.cumsum(some)])
@@ -238,7 +251,7 @@ def signatures(docs: DataFrame, idf, row: Column) -> DataFrame:
                 pa.ListArray.from_arrays(pa.array(keep * width, pa.int32()), pa.array(flat[some].ravel(), kind))
                 for flat, width, kind in ((signs.view(np.int32), SAMPLES, pa.int32()), (bands_of(signs), BANDS, pa.int64()))
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["row", "doc_id", "key", "signs", "bands"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], *columns], names=["row", "doc_id", "key", "signs", "bands"])
 
     source = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), split_words(F.col("text")).alias("w"))
     source = source.select("row", "doc_id", key_of(F.col("w")).alias("key"), hashed(F.col("w")).alias("h"))
@@ -265,9 +278,9 @@ def verified(pairs: DataFrame, texts: DataFrame, idf, similarity: float) -> Data
     def compare(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            similar = similarities(batch.column(2), batch.column(3), idf.value) >= similarity
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(similar)], names=["a", "b", "similar"])
+        for part in (part for batch in batches for part in slices(batch, 2, 3)):
+            similar = similarities(part.column(2), part.column(3), idf.value) >= similarity
+            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(similar)], names=["a", "b", "similar"])
 
     one, two = (texts.select(F.col("row").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     both = pairs.join(one, "a").join(two, "b")
