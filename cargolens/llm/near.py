@@ -17,7 +17,7 @@ probability 0.9994. Texts with the same words are collapsed first.
 No bucket is expanded into all pairs. First every member is compared with the
 bucket's first member. Then, in rounds, the members of a bucket that are not
 in its largest class are compared with all members of other classes,
-``LEADERS`` of them a round, until no bucket holds a pair of different classes
+``LEADERS`` of them a round (fewer in a large bucket), until no bucket holds a pair of different classes
 that has not been compared. Pairs that share less than ``MIN_SHARED`` of their
 samples are not verified (a pair at 0.8 falls below with probability 1e-6);
 all others are verified on their texts.
@@ -45,6 +45,8 @@ ROWS = 4
 SAMPLES = BANDS * ROWS
 MIN_SHARED = 0.5
 LEADERS = 64
+#: Pairs that the leaders of one bucket make in a round, beyond four leaders.
+ROUND_PAIRS = 1 << 15
 #: Rows (of 64 bytes) of documents to verify that are broadcast at most.
 BROADCAST_ROWS = 200_000
 RARE = 0.001
@@ -368,13 +370,15 @@ def classes(docs: DataFrame, row: str | None = None, similarity: float = SIMILAR
         here = members.select("band", "hash", "row").join(labels, "row", "left").withColumn("label", F.coalesce("label", "row"))
         here = staged(here, "here")
         sizes = here.groupBy("band", "hash", "label").count()
-        largest = sizes.groupBy("band", "hash").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("largest"), F.count("*").alias("labels"))
+        largest = sizes.groupBy("band", "hash").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("largest"), F.count("*").alias("labels"), F.sum("count").alias("size"))
         open_ = staged(here.join(largest.where("labels > 1"), ["band", "hash"]), "open")
-        strays = open_.where("label <> largest").select("band", "hash", "row", "label")
+        strays = open_.where("label <> largest").select("band", "hash", "row", "label", "size")
         if led is not None:
             strays = strays.join(led, ["band", "hash", "row"], "left_anti")
         order = Window.partitionBy("band", "hash").orderBy("row")
         leaders = strays.withColumn("_i", F.row_number().over(order)).where(F.col("_i") <= LEADERS)
+        # a large bucket is led by few a round: what they find merges most of the others
+        leaders = leaders.where(F.col("_i") <= F.greatest(F.lit(4), F.floor(ROUND_PAIRS / F.col("size"))))
         leaders = staged(leaders.select("band", "hash", F.col("row").alias("lead"), F.col("label").alias("lead_label")), "leaders")
         if leaders.isEmpty():
             break
