@@ -117,6 +117,25 @@ def test_markov_finds_unlabelled_secrets(spark):
     assert not any(out[1000 + i]["markov"] for i in range(300))
 
 
+@pytest.mark.parametrize("labelled", [True, False])
+def test_markov_alphabets_beyond_the_labelled(spark, labelled):
+    """Base hits in one alphabet, or none at all, do not limit what is found."""
+    r = random.Random(4)
+    draw = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    lower, upper, digit = secret_scan.ALPHABET[:26], secret_scan.ALPHABET[26:52], "0123456789"
+    rows = [(i, "token=" + draw("0123456789abcdef", 40)) for i in range(200 * labelled)]
+    syllables = ["ing", "the", "tion", "er", "heit", "value", "ein", "name", "con", "ly"]
+    rows += [(1000 + i, "call " + "".join(r.choice(syllables) for _ in range(8)) + " now") for i in range(600)]
+    rows += [(2000 + i, "order " + draw(digit, 16) + " now") for i in range(200)]
+    kinds = {"base62": (lower + upper + digit, 40), "base64": (lower + upper + digit + "+/", 44), "upper": (upper + digit, 32), "lower": (lower + digit, 32)}
+    for k, (letters, n) in enumerate(kinds.values()):
+        rows += [(3000 + 100 * k + i, "key is " + draw(letters, n) + ".") for i in range(10)]
+    out = {x["doc_id"]: x for x in secret_scan.scan(docs(spark, rows)).collect()}
+    found = {name: sum(bool(out[3000 + 100 * k + i]["markov"]) for i in range(10)) for k, name in enumerate(kinds)}
+    assert found == dict.fromkeys(kinds, 10)
+    assert not any(out[d]["markov"] for d, *_ in rows if 1000 <= d < 3000)
+
+
 def test_span_places_in_code_points(spark):
     df = spans.with_spans(docs(spark, [(1, "é漢😀 ab 12 ab" * 100)]), "text", "ab", "hit")
     text = "é漢😀 ab 12 ab" * 100
