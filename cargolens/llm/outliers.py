@@ -12,7 +12,9 @@ and covariance. A last step re-estimates from all texts within the 97.5 %
 ellipsoid. Statistics are fixed-point integers, so their sums are exact and
 the verdicts do not depend on the order of the rows. ``NOISE`` is added to the
 scatter: a statistic that is the same in most texts (no symbols at all) does
-not turn every other value into an outlier.
+not turn every other value into an outlier. It is small; what a text of a given
+length cannot resolve is taken off its own counts instead (``ALLOWED``): a few
+symbols, one repeated line, one phrase that occurs twice.
 
 A group with fewer than ``MIN_GROUP`` texts is judged with its language, and a
 language with fewer with all texts. Everything runs in built-in functions.
@@ -36,9 +38,10 @@ MIN_GROUP = 100
 STEPS = 4
 CUTOFF = 0.9999
 UNIT = 256  # fixed-point steps per unit of a statistic
-#: statistic -> standard deviation that is added as measurement noise; one line
-#: that occurs twice in a short text stays within it
-NOISE = {"words": 0.3, "word_length": 0.1, "symbols": 0.1, "dup_lines": 0.2, "repeats": 0.2}
+#: statistic -> standard deviation that is added as measurement noise
+NOISE = {"words": 0.3, "word_length": 0.1, "symbols": 0.04, "dup_lines": 0.1, "repeats": 0.1}
+#: statistic -> count that is within the resolution of any one text
+ALLOWED = {"symbols": 2, "dup_lines": 1, "repeats": 6}
 DIMS = len(NOISE)
 
 
@@ -108,13 +111,14 @@ def counted(docs: DataFrame) -> DataFrame:
 
 def statistics(df: DataFrame) -> DataFrame:
     """The transformed statistics as integers of 1 / ``UNIT`` (columns _x0 ...)."""
+    beyond = lambda a, kind: F.greatest(F.col(a) - ALLOWED[kind], F.lit(0))
     share = lambda a, b: F.asin(F.sqrt(F.least(F.lit(1.0), a / F.greatest(b, F.lit(1)))))
     values = [
         F.log1p("n_words"),
         F.log1p(F.col("word_chars") / F.greatest("n_words", F.lit(1))),
-        share(F.col("n_symbols"), F.col("word_chars")),
-        share(F.col("n_dup_lines"), F.col("_n_lines")),
-        share(F.col("n_repeat_words"), F.col("n_words")),
+        share(beyond("n_symbols", "symbols"), F.col("word_chars")),
+        share(beyond("n_dup_lines", "dup_lines"), F.col("_n_lines")),
+        share(beyond("n_repeat_words", "repeats"), F.col("n_words")),
     ]
     return df.select("*", *[F.round(v * UNIT).cast("long").alias(f"_x{i}") for i, v in enumerate(values)])
 

@@ -87,5 +87,26 @@ def test_rejects_outliers_and_keeps_clean(spark):
     assert all(out[i] for i in range(400)) and not any(out[1000 + i] for i in range(20))
 
 
+def test_one_bad_statistic_rejects(spark):
+    """Each of symbols, repeated lines and repeated words decides by itself; one repeat of a line does not."""
+    r = random.Random(6)
+    vocabulary = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(3000)]
+    line = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    lines = lambda n: [line(20) for _ in range(n)]
+    rows = [(i, "\n".join(lines(r.randint(5, 30))), "en", "a") for i in range(400)]
+    rows += [(1000 + i, "\n".join(" ".join(w[:-1] + "|" if k % 2 else w for k, w in enumerate(x.split())) for x in lines(15)), "en", "a") for i in range(5)]
+    for i in range(5):
+        short, half = [line(3) for _ in range(10)], lines(15)
+        rows.append((2000 + i, "\n".join(short + short + half[:5]), "en", "a"))  # 10 of 25 lines
+        rows.append((3000 + i, "\n".join([line(120), *[x + " " + line(2) for x in half[:2]], *[x + " " + line(2) for x in half[:2]]]), "en", "a"))
+        once = lines(6)
+        rows.append((4000 + i, "\n".join([*once[:5], line(2), once[5], line(2)]), "en", "a"))
+        rows[-1] = (4000 + i, rows[-1][1] + "\n" + rows[-1][1].split("\n")[5], "en", "a")
+    out = {x["doc_id"]: x for x in outliers.judge(docs(spark, rows)).collect()}
+    assert not any(x["base_failed"] for x in out.values())
+    assert all(out[i]["kept"] for i in range(400)) and all(out[4000 + i]["kept"] for i in range(5))
+    assert not any(out[k + i]["kept"] for k in (1000, 2000, 3000) for i in range(5))
+
+
 def test_empty(spark):
     assert outliers.judge(docs(spark, [])).count() == 0
