@@ -5,7 +5,10 @@ rule that fits decides. Pages without a rule take the verdict of their host.
 Trust flows from the hosts that rules allow along links (personalised
 PageRank); distrust flows from the hosts that rules block against them: who
 links to a distrusted host shares in its distrust. A host is blocked when its
-distrust is at least ``LEAST`` and exceeds its trust.
+distrust exceeds its trust (or it has no trust) and its reach is at least
+``LEAST``. Reach is the strongest distrust that comes to a host over any path,
+damped alike but not divided by the linking hosts: how many others link to a
+blocked host does not excuse any of them.
 
 Links are the absolute and protocol-relative href addresses of a page; each
 host counts once per linked host. Ranks are integers (parts of ``UNIT``), so
@@ -72,23 +75,25 @@ def links(pages: DataFrame) -> DataFrame:
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) from seeds (host, trust, distrust) over edges."""
+    """(host, trust, distrust, reach) from seeds (host, trust, distrust) over edges."""
     out = edges.groupBy("source").agg(F.count("*").alias("_out"))
     into = edges.groupBy("target").agg(F.count("*").alias("_in"))
     weighted = staged(edges.join(out, "source").join(into, "target"), "edges")
-    ranks = seeds
+    damped = [F.floor(F.col(c) * (100 - DAMPING_PERCENT) / 100).cast("long").alias(c) for c in ("trust", "distrust")]
+    own = seeds.select("host", *damped).withColumn("reach", F.col("distrust"))
     if weighted.isEmpty():
-        return ranks
+        return own
+    ranks = seeds.join(own.select("host", "reach"), "host")
     for _ in range(rounds):
         passed = lambda column, among: F.floor(F.col(column) * DAMPING_PERCENT / 100 / F.col(among)).cast("long")
         nothing = F.lit(0).cast("long")
         forward = weighted.join(ranks, weighted["source"] == ranks["host"]).where("trust > 0")
-        forward = forward.select(F.col("target").alias("host"), passed("trust", "_out").alias("trust"), nothing.alias("distrust"))
-        back = weighted.join(ranks, weighted["target"] == ranks["host"]).where("distrust > 0")
-        back = back.select(F.col("source").alias("host"), nothing.alias("trust"), passed("distrust", "_in").alias("distrust"))
-        own = [F.floor(F.col(c) * (100 - DAMPING_PERCENT) / 100).cast("long").alias(c) for c in ("trust", "distrust")]
-        every = forward.unionByName(back).unionByName(seeds.select("host", *own))
-        ranks = staged(every.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "ranks")
+        forward = forward.select(F.col("target").alias("host"), passed("trust", "_out").alias("trust"), nothing.alias("distrust"), nothing.alias("reach"))
+        back = weighted.join(ranks, weighted["target"] == ranks["host"]).where("distrust > 0 or reach > 0")
+        back = back.select(F.col("source").alias("host"), nothing.alias("trust"), passed("distrust", "_in").alias("distrust"), F.floor(F.col("reach") * DAMPING_PERCENT / 100).cast("long").alias("reach"))
+        every = forward.unionByName(back).unionByName(own)
+        sums = [F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"), F.max("reach").alias("reach")]
+        ranks = staged(every.groupBy("host").agg(*sums), "ranks")
     return ranks
 
 
@@ -101,7 +106,7 @@ def judge(pages: DataFrame, rules=RULES, rounds: int = ROUNDS) -> DataFrame:
     seeds = staged(df.where("host != ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust")), "seeds")
     ranks = propagate(seeds, staged(links(df), "links"), rounds)
     hosts = ranks.withColumnRenamed("host", "_host")
-    blocked = (F.col("distrust") >= LEAST) & (F.col("distrust") > F.col("trust"))
+    blocked = (F.col("reach") >= LEAST) & ((F.col("distrust") > F.col("trust")) | (F.col("trust") == 0))
     own = F.when(blocked, "block").otherwise("allow")
     out = df.drop("_html").join(hosts, F.col("host") == F.col("_host"), "left")
     return out.select(

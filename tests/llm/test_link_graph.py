@@ -95,5 +95,13 @@ def test_against_brute_force(spark):
     assert verdict[3] == verdict[6] == "allow"
 
 
+def test_blocked_hub_with_many_linkers(spark):
+    """A thousand hosts that link to a blocked host share its verdict, and so does who links to one of them."""
+    rows = [(0, "http://bad.com/de/2", None), (1, "https://farm.net/", link("l0.net")), (2, "https://clean.net/", link("other.net"))]
+    rows += [(10 + i, f"https://l{i}.net/", link("bad.com")) for i in range(1000)]
+    verdict = {r["page_id"]: r["verdict"] for r in lg.judge(frame(spark, rows)).collect()}
+    assert {p for p, v in verdict.items() if v == "allow"} == {2}
+
+
 def test_empty(spark):
     assert lg.judge(frame(spark, [])).count() == 0
