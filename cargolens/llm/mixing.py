@@ -38,7 +38,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST_COP
 
     A source is cut off at ``most`` times its size exactly when its size per
     weight is among the k smallest, for the least k whose common level leaves
-    nobody else above. The windows run over sources, not documents.
+    nobody else above. From there on levels only fall, so the level wanted is
+    the largest of those that fit. The windows run over sources, not documents.
     """
     order = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     cycle = F.array(*[F.lit(w) for w in weights])
@@ -51,7 +52,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST_COP
         "_w"
     ).over(rest)
     s = s.withColumn("_level", level).withColumn("_fits", F.col("_level") * F.col("_w") <= most * F.col("source_size"))
-    s = s.withColumn("_common", F.min(F.when(F.col("_fits"), F.col("_level"))).over(all_rows))
+    s = s.withColumn("_common", F.max(F.when(F.col("_fits"), F.col("_level"))).over(all_rows))
     target = F.least(F.coalesce(F.col("_common"), F.lit(float("inf"))) * F.col("_w"), most * F.col("source_size").cast("double"))
     return s.select("source", "source_size", target.alias("target"))
 

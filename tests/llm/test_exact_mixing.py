@@ -69,6 +69,21 @@ def targets_by_hand(sizes, weights=(3, 1, 2), share=1.5, most=2):
     return out
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_targets_against_brute_force(spark, seed):
+    """One to thirty sources at once, of equal, random and empty sizes."""
+    import random
+
+    r = random.Random(seed)
+    for n in [1, 2, 3, 6, 20, 29, 30]:
+        names = [f"s{i:02d}" for i in range(n - 1)] + [None if n % 2 else "zz"]
+        sizes = {s: 100 if seed == 0 else r.choice([0, 1, r.randint(1, 50), r.randint(1, 10**6)]) for s in names}
+        frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        got = {row["source"]: row["target"] for row in mixing.source_targets(frame).collect()}
+        assert got == pytest.approx(targets_by_hand(sizes), rel=1e-9, abs=1e-6)
+        assert sum(got.values()) == pytest.approx(1.5 * sum(sizes.values()))
+
+
 def test_mix(spark):
     rows = [(i, "w " * (i * 37 % 90 + (5000 if i == 7 else 0)), "en", ["a", "b", "c", "d", None][min(i % 7, 4)]) for i in range(700)]
     rows += odd_rows() + [(3, "w w", "en", "solo")]
