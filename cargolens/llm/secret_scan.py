@@ -163,10 +163,12 @@ def fit(found: DataFrame, most: int = SAMPLE) -> Models | None:
     head = "^" + ASSIGN_HEAD
     clean = lambda s: F.regexp_replace(F.regexp_replace(s["value"], head, ""), r"[^A-Za-z0-9+/_=-]", "")
     secrets = found.select(F.explode(F.concat(*[F.transform(k, clean) for k in BASE])).alias("value"))
-    labelled = sample(secrets, most).select(class_of(F.col("value")).alias("class"), F.explode(pair_ids(F.col("value"))).alias("pair"))
+    # the class is written before the pairs unfold: beside explode it would be evaluated for every pair
+    labelled = staged(sample(secrets, most).select(class_of(F.col("value")).alias("class"), pair_ids(F.col("value")).alias("pairs")), "labelled")
+    labelled = labelled.where("class is not null").select("class", F.explode("pairs").alias("pair"))
     strings = drawn()
     counts = {k: Counter(p for v in strings[k] for p in pairs_of(v)) for k in CLASSES}
-    for row in labelled.where("class is not null").groupBy("class", "pair").count().collect():  # one row per class and character pair at most
+    for row in labelled.groupBy("class", "pair").count().collect():  # one row per class and character pair at most
         counts[row["class"]][row["pair"]] += row["count"]
     usual = Counter({row["pair"]: row["count"] for row in ordinary.select(F.explode(F.array_distinct("pairs")).alias("pair")).groupBy("pair").count().collect()})
     usual = conditional(usual, BACKOFF)
