@@ -6,13 +6,14 @@ document's probabilities are the mean over its positions. Every byte of every
 text is read.
 
 The network is trained here in numpy by backpropagation through time, on a
-bounded sample: at most ``SAMPLE`` labelled documents of each of the
-``MAX_LANGS`` most frequent languages (those with the least hashes of their
-id), ``PLACES`` stretches of each. Inference runs in Spark tasks over all
-documents.
+bounded sample: at most ``SAMPLE`` labelled documents of each language (those
+with the least hashes of their id), ``PLACES`` stretches of each. Every
+labelled language is learned; the states and the training steps grow with
+their number. Inference runs in Spark tasks over all documents.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; so is
-every text where nothing was learned; rows without a language or an id are
+every text where nothing was learned (the filter then keeps all texts with a
+letter, since it knows no language to reject); rows without a language or an id are
 never learned from; repeated rows are labelled each; an empty table gives an
 empty result; further columns are passed on untouched.
 """
@@ -34,7 +35,8 @@ WINDOW = 96
 WINDOWS_AT_ONCE = 2048
 SAMPLE = 400
 PLACES = 2
-MAX_LANGS = 64
+#: Languages that ``HIDDEN`` states and ``TRAIN_STEPS`` steps are meant for.
+LANGS_A_SHARE = 32
 TRAIN_STEPS = 300
 TRAIN_BATCH = 128
 TRAIN_WINDOW = 64
@@ -141,13 +143,15 @@ def gradients(model: Model, windows: np.ndarray, labels: np.ndarray) -> tuple[fl
     return loss, [*d_tables, *d_recurrent, d_out, d_bias]
 
 
-def fit(texts: list[bytes], langs: list[str], steps: int = TRAIN_STEPS, seed: int = 0) -> Model | None:
+def fit(texts: list[bytes], langs: list[str], steps: int | None = None, seed: int = 0) -> Model | None:
     """Train on stretches of bytes and their languages (Adam, balanced batches)."""
     names = sorted(set(langs))
     if not names:
         return None
     rng = np.random.default_rng(seed)
-    model = new_model(names, seed=seed)
+    shares = 1 + len(names) // LANGS_A_SHARE
+    steps = steps or TRAIN_STEPS * shares
+    model = new_model(names, HIDDEN * shares, seed)
     by_lang = [[t for t, n in zip(texts, langs, strict=True) if n == name] for name in names]
     params = model.parameters()
     first, second = [np.zeros_like(w) for w in params], [np.zeros_like(w) for w in params]
@@ -221,7 +225,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, usable: Column | None = None) -
     usable = remainder(F.col("doc_id")) != 1 if usable is None else usable
     labelled = docs.where(usable & F.col("lang").isNotNull() & has_letter(F.col("text")))
     labelled = labelled.select(F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id").alias("h"), F.col("text").alias("text"))
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    counts = labelled.groupBy("lang").count().orderBy("lang").collect()  # one row per language
     if not counts:
         return None
     # thin out by hash before the exact cut, so that the driver is never sent much more than it keeps
@@ -282,5 +286,8 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 def identified_documents(docs: DataFrame, min_score: float = MIN_SCORE, sample: int = SAMPLE) -> DataFrame:
     """The documents whose language is known with at least ``min_score``, columns unchanged."""
     names = [fresh(docs, "_lang_pred"), fresh(docs, "_score")]
-    out = predict(docs, train(docs, sample), *names)
+    model = train(docs, sample)
+    if model is None:
+        return docs.where(has_letter(F.col("text")))
+    out = predict(docs, model, *names)
     return out.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= min_score)).select(*docs.columns)

@@ -72,6 +72,23 @@ def test_empty_and_unlabelled(spark):
     assert langid.identify(docs(spark, [(1, "text")])).first()["lang_pred"] == langid.UNKNOWN
 
 
+def test_seventy_languages(spark):
+    """Rare languages are learned too, however many there are."""
+    r = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    parts = {f"l{k:02d}": [letters[k % 26] + letters[(k * 7 + j * 3) % 26] + letters[(k // 26 + 5 * j) % 26] for j in range(3)] for k in range(70)}
+    rows = [(i, " ".join("".join(r.choice(parts[f"l{i % 70:02d}"]) for _ in range(3)) for _ in range(25)), f"l{i % 70:02d}") for i in range(70 * 12)]
+    out = {x["doc_id"]: x for x in langid.identify(docs(spark, rows)).collect()}
+    held = [row for row in rows if out[row[0]]["held_out"]]
+    assert sum(out[d]["lang_pred"] == lang for d, _, lang in held) >= 0.9 * len(held)
+    assert len({x["lang_pred"] for x in out.values()}) == 70
+
+
+def test_unlabelled_corpus_is_kept(spark):
+    out = langid.identified_documents(docs(spark, [(1, "some text"), (2, "123"), (3, None)]))
+    assert [x["doc_id"] for x in out.collect()] == [1]
+
+
 def test_identified_documents(spark):
     frame = docs(spark, made(200) + [(900, None), (901, "123")]).withColumn("_SCORE", F.lit(1))
     out = langid.identified_documents(frame)
