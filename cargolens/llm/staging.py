@@ -18,11 +18,11 @@ WORD = r"[^\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\f\r"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return it reread."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
