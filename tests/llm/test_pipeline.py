@@ -22,6 +22,9 @@ ROWS_OF = {name: "pages" if name.startswith("op7") else "documents" for name in
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_cover_their_table(spark, sf_small, name):
     df = queries.QUERIES[name](spark, sf_small)
+    if name.startswith("op12"):  # a query set against all rows: see its own test
+        assert df.count() > 0
+        return
     source = spark.read.parquet(f"{sf_small}/{ROWS_OF[name]}.parquet")
     key = "page_id" if ROWS_OF[name] == "pages" else "doc_id"
     rows = df.select(key).collect()
@@ -30,11 +33,13 @@ def test_queries_cover_their_table(spark, sf_small, name):
     assert name.startswith("op5") or len(rows) == source.count()
 
 
-def test_op6_oracle(spark, sf_small):
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_oracles(spark, sf_small, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_small}/documents.parquet')")
-    df = queries.op6_heavy_hitter_dedup(spark, sf_small)
-    rel = con.sql(queries.ORACLE_SQL["op6_heavy_hitter_dedup"])
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
+    df = queries.QUERIES[name](spark, sf_small)
+    rel = con.sql(queries.ORACLE_SQL[name])
     assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(rel.columns, rel.fetchall())[0]
 
 
