@@ -84,11 +84,22 @@ def exact_mean(c: Column | str, scale: int = 6) -> Column:
     NaN and infinity have no DECIMAL part and go through the floating-point sum
     whole, so the mean is that of avg(). Nulls are skipped; an all-null group
     gives null."""
+    exact, rest, x = mean_parts(c, scale)
+    return mean_of_parts(F.sum(exact), F.sum(rest), F.count(x))
+
+
+def mean_parts(c: Column | str, scale: int = 6) -> tuple[Column, Column, Column]:
+    """The DECIMAL part, the rest and the value itself, whose sums and count
+    ``mean_of_parts`` turns into the mean: sums of parts can be stored and
+    added up later."""
     x = col_or_name(c).cast("double")
     exact = F.when(F.abs(x) < F.lit(EXACT_BELOW), x.try_cast(f"decimal(38,{scale})"))
-    rest = x - F.coalesce(exact.cast("double"), F.lit(0.0))
-    total = F.coalesce(F.sum(exact).cast("double"), F.lit(0.0)) + F.sum(rest)
-    return F.try_divide(total, F.count(x))
+    return exact, x - F.coalesce(exact.cast("double"), F.lit(0.0)), x
+
+
+def mean_of_parts(exact: Column, rest: Column, n: Column) -> Column:
+    """The mean from the summed parts of ``mean_parts`` and the count."""
+    return F.try_divide(F.coalesce(exact.cast("double"), F.lit(0.0)) + rest, n)
 
 
 def round_avg(c: Column, digits: int | None) -> Column:

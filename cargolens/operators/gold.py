@@ -19,10 +19,16 @@ from cargolens.functions import columns as C
 from cargolens.session import ensure_checkpoint_dir
 
 
-def _stamp(df: DataFrame, run_ts: Column | None) -> DataFrame:
+def stamped(df: DataFrame, run_ts: Column | None) -> DataFrame:
     return df if run_ts is None else df.withColumn("processed_at", run_ts)
 
 
+def in_gold_order(name: str, df: DataFrame) -> DataFrame:
+    """A gold table in its stored order (SRT1, SRT2)."""
+    first = "total_shipments" if name in ("shipment_status_summary", "product_summary") else "delay_rate_pct"
+    return df.orderBy(F.col(first).desc_nulls_last(), *[F.col(k) for k in KPI_SETS[name]])
+
+
 def carrier_performance(
     silver: DataFrame, avg_digits: int | None = None, run_ts: Column | None = None
 ) -> DataFrame:
@@ -35,7 +41,7 @@ def carrier_performance(
         C.round_avg(C.exact_mean("weight_kg"), avg_digits).alias("avg_weight_kg"),
         C.rate_pct(delayed, total).alias("delay_rate_pct"),
     )
-    return _stamp(out, run_ts).orderBy(F.col("delay_rate_pct").desc_nulls_last(), F.col("carrier"))
+    return stamped(out, run_ts).orderBy(F.col("delay_rate_pct").desc_nulls_last(), F.col("carrier"))
 
 
 def shipment_status_summary(silver: DataFrame, run_ts: Column | None = None) -> DataFrame:
@@ -46,7 +52,7 @@ def shipment_status_summary(silver: DataFrame, run_ts: Column | None = None) ->
         F.count("shipment_id").alias("total_shipments"),
         F.count_distinct("order_id").alias("unique_orders"),
     )
-    return _stamp(out, run_ts).orderBy(F.col("total_shipments").desc(), F.col("status"))
+    return stamped(out, run_ts).orderBy(F.col("total_shipments").desc(), F.col("status"))
 
 
 def route_analysis(
@@ -60,7 +66,7 @@ def route_analysis(
         C.rate_pct(delayed, total).alias("delay_rate_pct"),
         C.round_avg(C.exact_mean("weight_kg"), avg_digits).alias("avg_weight_kg"),
     )
-    return _stamp(out, run_ts).orderBy(
+    return stamped(out, run_ts).orderBy(
         F.col("delay_rate_pct").desc_nulls_last(), F.col("origin"), F.col("destination")
     )
 
@@ -77,7 +83,7 @@ def product_summary(
         C.rate_pct(delayed, total).alias("delay_rate_pct"),
         C.round_avg(C.exact_mean("weight_kg"), avg_digits).alias("avg_weight_kg"),
     )
-    return _stamp(out, run_ts).orderBy(F.col("total_shipments").desc(), F.col("product"))
+    return stamped(out, run_ts).orderBy(F.col("total_shipments").desc(), F.col("product"))
 
 
 GOLD_TABLES = {
@@ -99,8 +105,8 @@ def gold_tables(silver: DataFrame, avg_digits: int | None = None, run_ts: Column
 
 # Grouping sets of the one-pass KPI aggregate, with their grouping_id values
 # (a bit is set for each key column *not* in the set; key order below).
-_KPI_KEYS = ["carrier", "status", "origin", "destination", "product"]
-_KPI_SETS = {
+KPI_KEYS = ["carrier", "status", "origin", "destination", "product"]
+KPI_SETS = {
     "carrier_performance": ["carrier"],
     "shipment_status_summary": ["status"],
     "route_analysis": ["origin", "destination"],
@@ -108,9 +114,9 @@ _KPI_SETS = {
 }
 
 
-def _gid(keys: list[str]) -> int:
-    n = len(_KPI_KEYS)
-    return sum(1 << (n - 1 - i) for i, k in enumerate(_KPI_KEYS) if k not in keys)
+def grouping_of(keys: list[str]) -> int:
+    n = len(KPI_KEYS)
+    return sum(1 << (n - 1 - i) for i, k in enumerate(KPI_KEYS) if k not in keys)
 
 
 def kpi_cube(silver: DataFrame, avg_digits: int | None = None) -> DataFrame:
@@ -122,7 +128,7 @@ def kpi_cube(silver: DataFrame, avg_digits: int | None = None) -> DataFrame:
     total = F.count("shipment_id")
     delayed = F.count_if(F.col("is_delayed"))
     return silver.groupingSets(
-        [[F.col(k) for k in keys] for keys in _KPI_SETS.values()], *[F.col(k) for k in _KPI_KEYS]
+        [[F.col(k) for k in keys] for keys in KPI_SETS.values()], *[F.col(k) for k in KPI_KEYS]
     ).agg(
         F.grouping_id().alias("_gid"),
         total.alias("total_shipments"),
@@ -134,7 +140,7 @@ def kpi_cube(silver: DataFrame, avg_digits: int | None = None) -> DataFrame:
     )
 
 
-_KPI_COLUMNS = {
+KPI_COLUMNS = {
     "carrier_performance": ["carrier", "total_shipments", "delayed_shipments", "delivered_shipments",
                             "avg_weight_kg", "delay_rate_pct"],
     "shipment_status_summary": ["status", "total_shipments"],
@@ -148,8 +154,8 @@ _KPI_COLUMNS = {
 def split_kpis(cube: DataFrame) -> dict[str, DataFrame]:
     """The four KPI tables out of a (materialised) ``kpi_cube``."""
     return {
-        name: cube.filter(F.col("_gid") == F.lit(_gid(keys))).select(*_KPI_COLUMNS[name])
-        for name, keys in _KPI_SETS.items()
+        name: cube.filter(F.col("_gid") == F.lit(grouping_of(keys))).select(*KPI_COLUMNS[name])
+        for name, keys in KPI_SETS.items()
     }
 
 

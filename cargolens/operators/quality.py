@@ -36,18 +36,30 @@ def silver_checks(df: DataFrame, min_rows: int = S.MIN_ROW_COUNT) -> DataFrame:
     exchange on shipment_id, then one row per task to the final merge, so a
     hot id costs one row per task, not a skewed partition.
     """
-    null_cols = S.NULL_CHECK_COLUMNS
-    stats = df.agg(
+    return check_rows(df.agg(*check_stats(), F.count_distinct("shipment_id").alias("distinct_ids")), min_rows)
+
+
+CHECK_STATS = ["n", *[f"null_{c}" for c in S.NULL_CHECK_COLUMNS], "bad_status", "min_weight", "null_id", "dq_fails"]
+
+
+def check_stats() -> list[Column]:
+    """The aggregates behind the checks (``CHECK_STATS``), all but the distinct
+    ids: each of them merges over parts of a table."""
+    return [
         F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null_cols],
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in S.NULL_CHECK_COLUMNS],
         # ~isin skips a null status: null is neither in nor out of the list.
         F.count_if(~F.col("status").isin(S.VALID_STATUSES)).alias("bad_status"),
         F.min("weight_kg").alias("min_weight"),
-        F.count_distinct("shipment_id").alias("distinct_ids"),
         # distinct() counts a null id as one value; count_distinct does not.
         F.coalesce(F.max(F.col("shipment_id").isNull().cast("int")), F.lit(0)).alias("null_id"),
         F.count_if(F.col("dq_flag") == F.lit(S.FAIL)).alias("dq_fails"),
-    )
+    ]
+
+
+def check_rows(stats: DataFrame, min_rows: int = S.MIN_ROW_COUNT) -> DataFrame:
+    """One row per check from the one row of ``CHECK_STATS`` and distinct_ids."""
+    null_cols = S.NULL_CHECK_COLUMNS
     n = F.col("n")
     duplicates = n - (F.col("distinct_ids") + F.col("null_id"))
     rows = [_check_row(S.CHECK_MIN_ROWS, n >= F.lit(min_rows), n, f">= {min_rows}")]

@@ -31,7 +31,7 @@ def register(name: str):
 
 def registry() -> dict[str, Query]:
     # Import the modules that register more queries.
-    from cargolens.plans import catalog_more  # noqa: F401
+    from cargolens.plans import catalog_incremental, catalog_more, catalog_topics  # noqa: F401
 
     return dict(_REGISTRY)
 

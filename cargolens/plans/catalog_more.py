@@ -12,7 +12,7 @@ from cargolens.plans.catalog import SILVER_OUT, flagged_shipments, register, sil
 from cargolens.sinks import files, publish
 from cargolens.sources import bronze, tables
 from cargolens.sources import events as EV
-from cargolens.streaming import jobs
+from cargolens.streaming import dedup, jobs
 
 RUN_TIMESTAMP = "2026-01-01 00:00:00"
 
@@ -300,7 +300,12 @@ def q_medallion_run(spark, sf_dir):
     medallion.run_medallion(spark, bronze_root, out_root, run_ts=run_ts(), on_fail="warn")
     counts = medallion.layer_counts(spark, bronze_root, out_root).filter(~F.col("table_name").isin(*gold.GOLD_TABLES))
     out = counts.select("table_name", F.lit("").alias("key"), "n", F.lit(None).cast("double").alias("value"))
-    stored = tables.read_gold(spark, out_root)
+    return out.unionByName(gold_values(tables.read_gold(spark, out_root)))
+
+
+def gold_values(stored):
+    """(table_name, key, n, value): the measures of the stored gold tables."""
+    out = None
     route = F.concat("origin", F.lit(fixtures.S.ROUTE_SEPARATOR), "destination")
     for table, name, key, n, value in [
         ("carrier_performance", "carrier_performance", F.col("carrier"), "total_shipments", "avg_weight_kg"),
@@ -314,7 +319,7 @@ def q_medallion_run(spark, sf_dir):
         values = stored[table].select(
             F.lit(name).alias("table_name"), key.alias("key"), F.col(n).alias("n"), F.col(value).cast("double").alias("value")
         )
-        out = out.unionByName(values)
+        out = values if out is None else out.unionByName(values)
     return out
 
 
@@ -397,16 +402,22 @@ def q_stream_source(spark, sf_dir):
 
 @register("decode_events")
 def q_decode_events(spark, sf_dir):
-    """events -> (key, JSON value) messages -> from_json back to columns."""
+    """events -> (key, JSON value) messages, some cut short -> columns. A message
+    that does not parse comes back too, with its key and text."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     messages = EV.as_messages(events, "event_id", ["event_id", "user_id", "event_type", "value", "props"])
-    decoded = EV.decode(messages, EV.EVENT_SCHEMA).filter("_parsed_ok")
+    text = F.col("value").cast("string")
+    cut = F.col("key").cast("string").cast("long") % 997 == 3
+    messages = messages.withColumn("value", F.when(cut, F.substring(text, 1, 12)).otherwise(text).cast("binary"))
+    decoded = EV.decode(messages, EV.EVENT_SCHEMA, keep_raw=True)
+    ok = F.col("_parsed_ok")
+    fields = [F.when(ok, F.col(c)).alias(c) for c in ("event_id", "user_id", "event_type", "value")]
     return decoded.select(
-        "event_id",
-        "user_id",
-        "event_type",
-        "value",
-        F.from_json("props", EV.PROPS_SCHEMA)["k"].alias("prop_k"),
+        "key",
+        ok.alias("parsed"),
+        F.when(~ok, F.col("_raw")).alias("rejected"),
+        *fields,
+        F.when(ok, F.from_json("props", EV.PROPS_SCHEMA)["k"]).alias("prop_k"),
     )
 
 
@@ -522,7 +533,7 @@ def q_stream_dedup(spark, sf_dir):
     """Shipment ids after the streaming dedup: each id once."""
     base = SS.scratch_path(spark, "stream_dedup")
     src = _shipment_input(spark, sf_dir, base)
-    jobs.dedup_stream(_shipment_stream(spark, src), f"{base}/dedup", f"{base}/checkpoint", FIXTURE_SPAN)
+    dedup.dedup_stream(_shipment_stream(spark, src), f"{base}/dedup", f"{base}/checkpoint", FIXTURE_SPAN)
     return spark.read.parquet(f"{base}/dedup").select("shipment_id")
 
 
@@ -540,7 +551,7 @@ def q_stream_dedup_outputs(spark, sf_dir):
     second = at("2026-03-03T09:00:00").filter((step != 2) & (step != 1)).unionByName(no_id).unionByName(late)
     for rows in (first, second):  # one drain per delivery
         files.land_json_lines(rows, f"{base}/input", partition_by=None)
-        jobs.dedup_stream(_shipment_stream(spark, f"{base}/input"), f"{base}/dedup", f"{base}/checkpoint", "2 days")
+        dedup.dedup_stream(_shipment_stream(spark, f"{base}/input"), f"{base}/dedup", f"{base}/checkpoint", "2 days")
     out = None
     for place, path in (("new", "dedup"), ("late", "dedup_late"), ("no_key", "dedup_no_key")):
         n = spark.read.schema(fixtures.S.SHIPMENT).parquet(f"{base}/{path}").agg(F.count("*").alias("n"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cargolens import schemas as S
 from cargolens.operators import gold, quality, silver
+from cargolens.plans import incremental
 from cargolens.sinks import files
 from cargolens.sources import bronze, tables
 
@@ -85,6 +86,10 @@ def run_silver(
     layout: str = "lines",
 ) -> dict:
     """Bronze to silver and quarantine for some ingest days or all; the counts."""
+    if incremental.silver_manifest(spark, out_root).exists():
+        if start or end:
+            raise ValueError("this table is run by landings: rerun days with incremental.run_silver(..., again=True)")
+        incremental.forget(spark, out_root)
     raw = bronze.LAYOUTS[layout](spark, bronze_root, start, end)
     # Malformed records are not split off: they fail validation and are
     # written to quarantine with their raw text, in the same single pass.

@@ -464,6 +464,15 @@ SILVER_TYPES = [
 ]
 
 
+GOLD_VALUES = """SELECT 'carrier_performance' AS table_name, carrier AS key, total_shipments AS n, avg_weight_kg AS value FROM g_carrier
+UNION ALL SELECT 'carrier_performance rate', carrier, delayed_shipments, delay_rate_pct FROM g_carrier
+UNION ALL SELECT 'shipment_status_summary', status, total_shipments, CAST(unique_orders AS DOUBLE) FROM g_status
+UNION ALL SELECT 'route_analysis', origin || ' → ' || destination, total_shipments, avg_weight_kg FROM g_route
+UNION ALL SELECT 'route_analysis rate', origin || ' → ' || destination, delayed_shipments, delay_rate_pct FROM g_route
+UNION ALL SELECT 'product_summary', product, total_shipments, avg_weight_kg FROM g_product
+UNION ALL SELECT 'product_summary rate', product, total_quantity, delay_rate_pct FROM g_product"""
+
+
 def _schema_report() -> str:
     parts = []
     for name, typ in SILVER_TYPES:
@@ -486,13 +495,8 @@ ORACLE.update(
 UNION ALL SELECT 'silver', '', COUNT(*), NULL FROM silver
 UNION ALL SELECT 'quarantine', '', COUNT(*), NULL FROM biz WHERE dq_flag = 'FAIL'
 UNION ALL SELECT 'checks', '', CAST(9 AS BIGINT), NULL
-UNION ALL SELECT 'carrier_performance', carrier, total_shipments, avg_weight_kg FROM g_carrier
-UNION ALL SELECT 'carrier_performance rate', carrier, delayed_shipments, delay_rate_pct FROM g_carrier
-UNION ALL SELECT 'shipment_status_summary', status, total_shipments, CAST(unique_orders AS DOUBLE) FROM g_status
-UNION ALL SELECT 'route_analysis', origin || ' → ' || destination, total_shipments, avg_weight_kg FROM g_route
-UNION ALL SELECT 'route_analysis rate', origin || ' → ' || destination, delayed_shipments, delay_rate_pct FROM g_route
-UNION ALL SELECT 'product_summary', product, total_shipments, avg_weight_kg FROM g_product
-UNION ALL SELECT 'product_summary rate', product, total_quantity, delay_rate_pct FROM g_product"""
+"""
+            + f"UNION ALL {GOLD_VALUES}"
         ),
         "bronze_inventory": f"WITH {RAW_CTE}\nSELECT COUNT(*) AS landed_rows, TRUE AS files_not_empty FROM raw",
     }
@@ -501,8 +505,12 @@ UNION ALL SELECT 'product_summary rate', product, total_quantity, delay_rate_pct
 ORACLE.update(
     {
         "stream_source": "SELECT event_id, user_id, event_type, value FROM events",
-        "decode_events": "SELECT event_id, user_id, event_type, value, "
-        "CAST(json_extract(props, '$.k') AS BIGINT) AS prop_k FROM events",
+        # every 997th message is cut after 12 characters: {"event_id":
+        "decode_events": """SELECT CAST(event_id AS VARCHAR) AS key, event_id % 997 <> 3 AS parsed,
+  CASE WHEN event_id % 997 = 3 THEN '{"event_id":' END AS rejected,
+  CASE WHEN event_id % 997 <> 3 THEN event_id END AS event_id, CASE WHEN event_id % 997 <> 3 THEN user_id END AS user_id,
+  CASE WHEN event_id % 997 <> 3 THEN event_type END AS event_type, CASE WHEN event_id % 997 <> 3 THEN value END AS value,
+  CASE WHEN event_id % 997 <> 3 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS prop_k FROM events""",
         "stream_silver": with_silver(f"SELECT {SILVER_OUT_COLS} FROM silver"),
         "stream_dedup": f"WITH {RAW_CTE}\nSELECT DISTINCT shipment_id FROM raw",
     }
@@ -581,3 +589,25 @@ UNION ALL SELECT 'product_summary', row_number() OVER (ORDER BY total_shipments
 )
 
 ORACLE["stream_messages"] = f"WITH {RAW_CTE}\nSELECT {SHIPMENT_COLS} FROM raw"
+
+
+# incremental runs: what each run read, and what the table holds; gold as after one full run
+_RUN = {"a": 1, "b": 0, "c": 2}
+ORACLE["silver_incremental"] = with_silver(
+    "\nUNION ALL ".join(
+        f"""SELECT 'run {name}' AS place, f AS dq_flag, COUNT(*) FILTER (WHERE dq_flag = f AND shipment_id % 3 = {rest}) AS n
+FROM biz, (VALUES ('PASS'), ('FAIL')) v(f) GROUP BY f
+UNION ALL SELECT 'run {name}', 'landings', CAST(1 AS BIGINT)"""
+        for name, rest in _RUN.items()
+    )
+    + f"""
+UNION ALL SELECT 'run without new landings', f, CAST(0 AS BIGINT) FROM (VALUES ('PASS'), ('FAIL'), ('landings')) v(f)
+UNION ALL SELECT CASE WHEN {DAY_TWO} THEN '2026-01-02' ELSE '2026-01-01' END, dq_flag, COUNT(*) FROM biz GROUP BY 1, 2"""
+)
+ORACLE["gold_incremental"] = with_gold(GOLD_VALUES)
+ORACLE["checks_incremental"] = ORACLE["dq_checks"]
+ORACLE["distinct_orders_by_day"] = f"WITH {RAW_CTE}\nSELECT carrier, COUNT(DISTINCT order_id) AS orders FROM raw GROUP BY carrier"
+ORACLE["topic_stream"] = f"WITH {RAW_CTE}\nSELECT {SHIPMENT_COLS} FROM raw"
+ORACLE["topic_order"] = f"""WITH {RAW_CTE}
+SELECT CAST(order_id AS VARCHAR) AS key, COUNT(*) AS n, CAST(1 AS BIGINT) AS partitions,
+  COUNT(*) = COUNT(DISTINCT shipment_id) AS in_order FROM raw GROUP BY 1"""

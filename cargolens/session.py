@@ -127,12 +127,42 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole: under another name first, then renamed, so a
+    reader never meets half of it."""
+    fs, target = _hadoop(spark, path)
+    _, part = _hadoop(spark, f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(part, target):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _hadoop(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a Hadoop glob (folder names only: no file is opened)."""
     fs, target = _hadoop(spark, pattern)
     return sorted(s.getPath().toString() for s in fs.globStatus(target) or [])
 
 
+def list_folders(spark: SparkSession, pattern: str) -> list[tuple[str, str]]:
+    """(path, change time) of the paths that match a Hadoop glob."""
+    fs, target = _hadoop(spark, pattern)
+    found = fs.globStatus(target) or []
+    return sorted((s.getPath().toString(), str(s.getModificationTime())) for s in found)
+
+
 def is_local_path(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:")
 

@@ -19,9 +19,10 @@ class TooManyRowsError(RuntimeError):
     pass
 
 
-def to_pandas_bounded(df: DataFrame, max_rows: int = 100_000):
-    """Copy an aggregated table to pandas; fails if it has more than
-    ``max_rows`` rows (fetching one extra row is how that is detected)."""
+def to_pandas_bounded(df: DataFrame, max_rows: int):
+    """Copy an aggregated table to pandas; fails if it has more than the
+    ``max_rows`` that the caller has room for (fetching one extra row is how
+    that is detected)."""
     probe = df.limit(max_rows + 1)
     pdf = probe.toPandas()
     if len(pdf) > max_rows:

@@ -103,6 +103,7 @@ def write_flagged(
     root: str,
     fmt: str = "parquet",
     days: tuple[str | None, str | None] | None = None,
+    landings: list[str] | None = None,
 ) -> tuple[str, dict]:
     """Write every validated row once, partitioned by ingest_date (where the
     rows carry it) and dq_flag: the PASS folders are the silver table, the FAIL
@@ -112,14 +113,19 @@ def write_flagged(
     None leaves an end open) only those ingest days are: each of their folders
     is overwritten, and folders that this run did not write are removed. Other
     days stay. One scan of bronze feeds both tables (no cache, no second pass),
-    and the PASS/FAIL counts come from an Observation on that same write."""
+    and the PASS/FAIL counts come from an Observation on that same write.
+
+    With ``landings`` (names ``ingest_date=<day>/landing=<id>``, the rows those
+    of these landings) the table has one more folder level, the landing, and
+    only the folders of these landings are replaced."""
     from cargolens.operators import silver as SV
 
     obs = Observation("dq_counts")
     # A malformed bronze record keeps its raw text: it fails validation (all
     # fields null) and lands in the quarantine folder, never dropped.
     extra = [S.CORRUPT_RECORD] if S.CORRUPT_RECORD in flagged.columns else []
-    dated = ["ingest_date"] if "ingest_date" in flagged.columns else []
+    levels = ["ingest_date"] if landings is None else ["ingest_date", "landing"]
+    dated = [c for c in levels if c in flagged.columns]
     if days and not dated:
         raise ValueError("replacing days needs rows with an ingest_date")
     folder = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in [*dated, "dq_flag"]])
@@ -128,11 +134,11 @@ def write_flagged(
         obs,
         F.count_if(F.col("dq_flag") == F.lit(S.PASS)).alias("pass"),
         F.count_if(F.col("dq_flag") == F.lit(S.FAIL)).alias("fail"),
-        F.collect_set(folder).alias("folders"),  # two a day at most
+        F.collect_set(folder).alias("folders"),  # two a day or landing at most
     )
     path = f"{root.rstrip('/')}/shipments"
     writer = observed.write.mode("overwrite").partitionBy(*dated, "dq_flag").format(fmt)
-    if days:
+    if days or landings is not None:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
     counts = dict(obs.get)
@@ -144,6 +150,10 @@ def write_flagged(
             inside = (first is None or day >= first) and (last is None or day <= last)
             if inside and "/".join(found.split("/")[-2:]) not in written:
                 delete_path(flagged.sparkSession, found)
+    for name in landings or []:
+        for found in glob_paths(flagged.sparkSession, f"{path}/{name}/dq_flag=*"):
+            if "/".join(found.split("/")[-3:]) not in written:  # an earlier version had such rows
+                delete_path(flagged.sparkSession, found)
     return path, counts
 
 

@@ -14,10 +14,10 @@ from cargolens import schemas as S
 from cargolens.sources.events import as_messages
 
 
-def shipment_payload(events: DataFrame) -> DataFrame:
-    """(key, value) for shipment events, keyed by order_id."""
+def shipment_payload(events: DataFrame, *keep: str) -> DataFrame:
+    """(key, value) for shipment events, keyed by order_id, and the columns to keep beside them."""
     cols = [c for c in S.SHIPMENT_COLUMNS if c in events.columns]
-    return as_messages(events, "order_id", cols)
+    return as_messages(events, "order_id", cols, keep)
 
 
 def publish_kafka(payload: DataFrame, bootstrap_servers: str, topic: str) -> None:

@@ -17,7 +17,9 @@ EVENT_SCHEMA = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE
 PROPS_SCHEMA = "k BIGINT"
 
 
-def as_messages(df: DataFrame, key: str, value_cols: list[str] | None = None) -> DataFrame:
+def as_messages(
+    df: DataFrame, key: str, value_cols: list[str] | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """(key, value) binary columns: key = the key column as text, value = the
     row as JSON. The same frame feeds a Kafka sink (per-key ordering comes
     from the key's partition)."""
@@ -25,6 +27,7 @@ def as_messages(df: DataFrame, key: str, value_cols: list[str] | None = None) ->
     return df.select(
         F.col(key).cast("string").cast("binary").alias("key"),
         F.to_json(F.struct(*[F.col(c) for c in cols])).cast("binary").alias("value"),
+        *keep,
     )
 
 
