@@ -19,7 +19,8 @@ likeness to both. Documents are ordered by descending id (null ids last, equal
 ids in the order of the table); the first one follows the last. The order is
 found on ids and lengths alone: a range sort, one row of every range for its
 border. Each document then sends its neighbour the few characters that it
-needs, so a text is shuffled once and no key gathers rows.
+needs. Both joins want the texts by row number, so one shuffle of them serves
+both, and no key gathers rows.
 
 Everything runs in built-in column functions. Edge cases: a null text is
 empty; a text without words has an empty sketch, whose likeness is 1 to an
@@ -96,21 +97,23 @@ def loaded(fingerprint: Column) -> Column:
 
 
 def followers(rows: DataFrame) -> DataFrame:
-    """(row, before, n_before): for every row of (row, doc_id, n) the row that
-    it follows, in descending doc_id, and that row's n. The first follows the last."""
+    """(row, before, doc_before, n_before): for every row of (row, doc_id, n) the
+    row that it follows, in descending doc_id, with that row's id and n. The
+    first follows the last."""
+    one = F.struct("row", "doc_id", "n")
     order = [F.col("doc_id").desc_nulls_last(), F.col("row")]
     ranged = rows.select("row", "doc_id", "n").repartitionByRange(*order).sortWithinPartitions(*order)
     part, place = F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")
-    ranged = staged(ranged.select("row", "n", part, place), "order")
-    inside = F.lag(F.struct("row", "n")).over(Window.partitionBy("part").orderBy("place"))
+    ranged = staged(ranged.select("row", "doc_id", "n", part, place), "order")
+    inside = F.lag(one).over(Window.partitionBy("part").orderBy("place"))
     # one row per range: its last document, handed to the next range (and the very last one to the first)
-    ends = ranged.groupBy("part").agg(F.max_by(F.struct("row", "n"), "place").alias("last"))
+    ends = ranged.groupBy("part").agg(F.max_by(one, "place").alias("last"))
     over_ranges = Window.orderBy("part")
     very_last = F.max_by("last", "part").over(Window.partitionBy())
     ends = ends.select("part", F.coalesce(F.lag("last").over(over_ranges), very_last).alias("border"))
     before = F.coalesce("inside", "border")
     linked = ranged.withColumn("inside", inside).join(ends, "part")
-    return linked.select("row", before["row"].alias("before"), before["n"].alias("n_before"))
+    return linked.select("row", before["row"].alias("before"), before["doc_id"].alias("doc_before"), before["n"].alias("n_before"))
 
 
 def compare(docs: DataFrame) -> DataFrame:
@@ -122,10 +125,17 @@ def compare(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text)
     rows = staged(rows.withColumn("n", F.char_length("text").cast("long")), "texts", "zstd")
     third = lambda n: F.floor(F.col(n) / 3).cast("int")
-    given = rows.select("row", "text").join(followers(rows), "row")
-    given = given.select(F.col("before").alias("row"), F.substring("text", F.lit(1), third("n_before")).alias("given"), "text")
+    texts = rows.select("row", "text")  # exactly these columns in both joins: one exchange for the two
+    given = texts.join(followers(rows), "row")
+    given = given.select(
+        F.col("before").alias("row"),
+        F.col("doc_before").alias("doc_id"),
+        F.col("n_before").alias("n"),
+        F.substring("text", F.lit(1), third("n_before")).alias("given"),
+        "text",
+    )
     given = with_sketch(given, "text", "next_sketch").drop("text")
-    both = rows.select("row", "doc_id", "n", "text").join(given, "row")
+    both = texts.join(given, "row")
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n") - third("n")).cast("int")), F.col("given"))
     both = both.withColumn("edited", edited).drop("given")
     both = with_sketch(with_sketch(both, "text", "sketch"), "edited", "edited_sketch")
