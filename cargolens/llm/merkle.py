@@ -29,10 +29,10 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.llm.staging import staged
+from cargolens.llm.staging import ranked, staged
 
 ARITY = 3
 DIGITS = 5
@@ -54,32 +54,6 @@ def leaf_hash(*fields: Column) -> Column:
     return digest(*[framed(f) for f in fields])
 
 
-def ranked(leaves: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """``leaves`` with ``idx``, the place (from 0) among the rows of the same
-    group, and ``total``, the rows of the group.
-
-    A range sort puts every group into consecutive ranges; a row's place is
-    its distance from the group's first row in the range plus the group's rows
-    in earlier ranges. Only counts per group and range are brought together.
-    """
-    keys = [F.col(group).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order]]
-    part, place = F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place")
-    ranged = leaves.repartitionByRange(*keys).sortWithinPartitions(*keys).select("*", part, place)
-    ranged = staged(ranged, "ranged")
-    own = Window.partitionBy(group)
-    earlier = own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = ranged.groupBy(group, "_part").agg(F.count("*").alias("n"), F.min("_place").alias("first"))
-    counts = counts.select(
-        F.col(group).alias("_group"),
-        F.col("_part").alias("_range"),
-        (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"),
-        F.sum("n").over(own).alias("total"),
-    )
-    same = (F.col("_part") == F.col("_range")) & F.col(group).eqNullSafe(F.col("_group"))
-    placed = ranged.join(counts, same).withColumn("idx", F.col("_place") + F.col("shift"))
-    return placed.drop("_part", "_place", "_group", "_range", "shift")
-
-
 def height(total: Column, arity: int) -> Column:
     """How often runs are hashed until one node is left (no logarithm: exact)."""
     level = F.lit(0)

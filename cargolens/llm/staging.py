@@ -7,7 +7,9 @@ of the whole lineage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cargolens.session import scratch_path
@@ -45,6 +47,45 @@ def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     return staged(docs.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
+def ranked(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``rows`` with ``idx``, the place (from 0) among the rows of the same
+    group, and ``total``, the rows of the group.
+
+    A range sort puts every group into consecutive ranges; a row's place is
+    its distance from the group's first row in the range plus the group's rows
+    in earlier ranges. Only counts per group and range are brought together.
+    """
+    keys = [F.col(group).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order]]
+    part, place = F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place")
+    ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("*", part, place)
+    ranged = staged(ranged, "ranged")
+    own = Window.partitionBy(group)
+    earlier = own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy(group, "_part").agg(F.count("*").alias("n"), F.min("_place").alias("first"))
+    counts = counts.select(
+        F.col(group).alias("_group"),
+        F.col("_part").alias("_range"),
+        (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"),
+        F.sum("n").over(own).alias("total"),
+    )
+    same = (F.col("_part") == F.col("_range")) & F.col(group).eqNullSafe(F.col("_group"))
+    placed = ranged.join(counts, same).withColumn("idx", F.col("_place") + F.col("shift"))
+    return placed.drop("_part", "_place", "_group", "_range", "shift")
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Inside, at most ``rows`` rows (or what the session sets, if less) make
+    one Arrow batch: a batch of long texts must not fill an executor."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def word_count(text):
     """Number of words of a text column; null counts as none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE_CHARS))

@@ -1,11 +1,15 @@
-"""Token ids as wavelet matrices: one compressed, searchable blob per shard.
+"""Token ids as wavelet matrices: one compressed, searchable file per shard.
 
 A wavelet matrix stores a sequence of 16-bit ids as 16 bit planes. Plane k
 holds bit 15-k of every id, in an order where the ids with a zero in the
 previous plane come first. With a running count of ones every 512 bits it
 answers ``access`` (id at a position), ``rank`` (occurrences of an id before a
-position), ``select`` (position of the n-th occurrence) and ``count`` without
-unpacking the sequence.
+position), ``select`` (position of the n-th occurrence) and ``count``.
+
+The file stores that rank directory, and the planes in chunks of ``CHUNK``
+bytes that are compressed one by one. A lookup reads the directory entry and
+the one chunk that it needs of each plane, so nothing else is unpacked
+(``unpacked`` counts the chunks); only ``ids`` unpacks all.
 
 ``write`` sorts documents by id over the cluster (a range shuffle), encodes
 each range in its own task and writes one row per shard; a shard is closed at
@@ -13,7 +17,8 @@ the first document end after ``shard_tokens`` ids. ``read_documents`` decodes
 shards back to one row per document.
 
 Edge cases: a null or empty text is the end id alone; null ids sort first;
-repeated rows are written as often as they occur; a document longer than a
+repeated rows are written as often as they occur; rows of one id are ordered by
+a hash of their text (an id that many rows share is spread over ranges); a document longer than a
 shard gets a shard of its own; an empty table writes no shard; columns other
 than ``doc_id`` and ``text`` are ignored.
 """
@@ -27,21 +32,33 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cargolens.llm import tokens
+from cargolens.llm.staging import arrow_rows
 
 BITS = 16
 BLOCK = 512
+#: Bytes of a plane that are compressed together; a multiple of a block.
+CHUNK = 1 << 13
+#: Unpacked chunks that a matrix keeps.
+KEPT_CHUNKS = 64
 SHARD_TOKENS = 1 << 20
-MAGIC = b"WMX1"
+#: Documents in one Arrow batch.
+BATCH_ROWS = 1024
+MAGIC = b"WMX2"
 
 SHARD = "part int, shard int, part_start long, n_docs int, n_tokens long, doc_ids binary, lengths binary, matrix binary"
 
 
 class WaveletMatrix:
-    """Bit planes with rank and select over 16-bit ids."""
+    """Bit planes with rank and select over 16-bit ids.
+
+    ``ones`` is the rank directory: ones[k][j] counts the ones of plane k
+    before block j. ``chunk_of(k, j)`` gives chunk j of plane k.
+    """
 
-    def __init__(self, n: int, planes: list[np.ndarray], zeros: list[int]):
-        self.n, self.planes, self.zeros = n, planes, zeros
-        self._ones: list[np.ndarray | None] = [None] * BITS
+    def __init__(self, n: int, zeros: list[int], ones: np.ndarray, chunk_of):
+        self.n, self.zeros, self.ones, self._chunk_of = n, zeros, ones, chunk_of
+        self._kept: dict[tuple[int, int], np.ndarray] = {}
+        self.unpacked = 0
 
     @classmethod
     def of(cls, ids: np.ndarray) -> WaveletMatrix:
@@ -50,11 +67,25 @@ class WaveletMatrix:
         for k in range(BITS):
             bit = (ids & np.uint16(1 << (BITS - 1 - k))) != 0
             planes.append(np.packbits(bit, bitorder="little"))
-            low = ids[~bit]
-            zeros.append(len(low))
-            if len(low) < n:
-                ids = np.concatenate([low, ids[bit]])
-        return cls(n, planes, zeros)
+            high = np.flatnonzero(bit)  # taking by place is several times faster than by mask
+            zeros.append(n - len(high))
+            if len(high):
+                ids = np.concatenate([ids.take(np.flatnonzero(~bit)), ids.take(high)])
+        ones = np.stack([directory(p)[: blocks_of(n)] for p in planes])
+        return cls(n, zeros, ones, lambda k, j: planes[k][j * CHUNK : (j + 1) * CHUNK])
+
+    def chunk(self, k: int, j: int) -> np.ndarray:
+        found = self._kept.get((k, j))
+        if found is None:
+            if len(self._kept) >= KEPT_CHUNKS:
+                self._kept.clear()
+            found = self._kept[k, j] = self._chunk_of(k, j)
+            self.unpacked += 1
+        return found
+
+    def plane(self, k: int) -> np.ndarray:
+        chunks = [self._chunk_of(k, j) for j in range(chunks_of(self.n))]
+        return np.concatenate(chunks) if chunks else np.empty(0, np.uint8)
 
     def ids(self) -> np.ndarray:
         """The whole sequence, plane by plane from the last to the first."""
@@ -66,32 +97,36 @@ class WaveletMatrix:
             if zeros == 0:
                 out |= np.uint16(1 << (BITS - 1 - k))
                 continue
-            bit = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
+            bit = np.unpackbits(self.plane(k), count=self.n, bitorder="little").view(bool)
             above = np.empty_like(out)
-            above[~bit] = out[:zeros]
-            above[bit] = out[zeros:] | np.uint16(1 << (BITS - 1 - k))
+            above[np.flatnonzero(~bit)] = out[:zeros]
+            above[np.flatnonzero(bit)] = out[zeros:] | np.uint16(1 << (BITS - 1 - k))
             out = above
         return out
 
+    def _byte(self, k: int, at: int) -> int:
+        return int(self.chunk(k, at // CHUNK)[at % CHUNK])
+
     def _rank1(self, k: int, i: int) -> int:
-        """Ones among the first i bits of plane k."""
-        plane = self.planes[k]
-        ones = self._ones[k]
-        if ones is None:
-            per_byte = np.bitwise_count(plane)
-            blocks = np.add.reduceat(per_byte, np.arange(0, len(plane), BLOCK // 8), dtype=np.int64) if len(plane) else []
-            ones = self._ones[k] = np.concatenate([[0], np.cumsum(blocks)]).astype(np.int64)
+        """Ones among the first i bits of plane k: the directory's count and
+        the rest of one block."""
         block = i // BLOCK
-        whole = plane[block * (BLOCK // 8) : i // 8]
-        rest = int(plane[i // 8]) & ((1 << (i % 8)) - 1) if i % 8 else 0
-        return int(ones[block]) + int(np.bitwise_count(whole).sum()) + rest.bit_count()
+        total = int(self.ones[k, block])
+        if i % BLOCK:
+            at = block * (BLOCK // 8)
+            chunk, low = self.chunk(k, at // CHUNK), at % CHUNK
+            whole = chunk[low : low + i // 8 - at]
+            total += int(np.bitwise_count(whole).sum())
+            if i % 8:
+                total += (self._byte(k, i // 8) & ((1 << (i % 8)) - 1)).bit_count()
+        return total
 
     def access(self, i: int) -> int:
         if not 0 <= i < self.n:
             raise IndexError(i)
         symbol = 0
         for k in range(BITS):
-            bit = int(self.planes[k][i // 8]) >> (i % 8) & 1
+            bit = self._byte(k, i // 8) >> (i % 8) & 1
             ones = self._rank1(k, i)
             i = self.zeros[k] + ones if bit else i - ones
             symbol = symbol << 1 | bit
@@ -138,24 +173,61 @@ class WaveletMatrix:
         return low
 
     def to_bytes(self) -> bytes:
-        """Magic, length, zeros of each plane, then the planes under zstandard."""
+        """Magic, length, zeros of each plane, rank directory, ends of all
+        chunks, then the chunks (zstandard; as they are where that saves nothing)."""
         import zstandard
 
+        pack = zstandard.ZstdCompressor(level=1)
+        body, ends, at = [], [], 0
+        for k in range(BITS):
+            for j in range(chunks_of(self.n)):
+                raw = self._chunk_of(k, j).tobytes()
+                packed = pack.compress(raw)
+                body.append(packed if len(packed) < len(raw) else raw)
+                at += len(body[-1])
+                ends.append(at)
         head = np.array([self.n, *self.zeros], dtype="<i8").tobytes()
-        body = zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in self.planes))
-        return MAGIC + head + body
+        return b"".join([MAGIC, head, self.ones.astype("<u4").tobytes(), np.array(ends, dtype="<u8").tobytes(), *body])
 
     @classmethod
     def from_bytes(cls, blob: bytes) -> WaveletMatrix:
+        """The matrix of a file; its chunks stay packed until they are asked for."""
         import zstandard
 
         if blob[:4] != MAGIC:
             raise ValueError("not a wavelet matrix")
         n, *zeros = np.frombuffer(blob, dtype="<i8", count=1 + BITS, offset=4).tolist()
-        width = -(-n // 8)
-        body = zstandard.ZstdDecompressor().decompress(blob[4 + 8 * (1 + BITS) :], max_output_size=max(1, width * BITS))
-        flat = np.frombuffer(body, dtype=np.uint8)
-        return cls(n, [flat[k * width : (k + 1) * width] for k in range(BITS)], zeros)
+        at, blocks, chunks = 4 + 8 * (1 + BITS), blocks_of(n), chunks_of(n)
+        ones = np.frombuffer(blob, dtype="<u4", count=BITS * blocks, offset=at).reshape(BITS, blocks)
+        at += 4 * BITS * blocks
+        ends = np.frombuffer(blob, dtype="<u8", count=BITS * chunks, offset=at).tolist()
+        at += 8 * BITS * chunks
+        width, view, unpack = -(-n // 8), memoryview(blob), zstandard.ZstdDecompressor()
+
+        def chunk_of(k: int, j: int) -> np.ndarray:
+            i = k * chunks + j
+            part = view[at + (ends[i - 1] if i else 0) : at + ends[i]]
+            size = min(CHUNK, width - j * CHUNK)
+            raw = part if len(part) == size else unpack.decompress(part, max_output_size=size)
+            return np.frombuffer(raw, dtype=np.uint8)
+
+        return cls(n, zeros, ones, chunk_of)
+
+
+def blocks_of(n: int) -> int:
+    """Entries of the rank directory of a plane of n bits."""
+    return n // BLOCK + 1
+
+
+def chunks_of(n: int) -> int:
+    return -(-n // (8 * CHUNK))
+
+
+def directory(plane: np.ndarray) -> np.ndarray:
+    """Ones before every block of a plane (whose last byte may be filled up)."""
+    whole = np.zeros(-(-max(1, len(plane)) // (BLOCK // 8)) * (BLOCK // 8), np.uint8)
+    whole[: len(plane)] = np.bitwise_count(plane)
+    return np.concatenate([[0], np.cumsum(whole.reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.int64))])
 
 
 def write(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, tokenizer: str | None = None) -> None:
@@ -197,9 +269,12 @@ def write(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, tokenize
         if parts:
             yield close()
 
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text")).repartitionByRange("doc_id")
-    ordered = ordered.sortWithinPartitions("doc_id", "text").mapInArrow(shards, SHARD)
-    ordered.write.option("compression", "uncompressed").parquet(path)
+    # equal ids are ordered by a hash of the text, and copies of a row by their number, so ranges can part them
+    order = ["doc_id", "_hash", "_row"]
+    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text"), F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_row"))
+    ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        ordered.mapInArrow(shards, SHARD).write.option("compression", "uncompressed").parquet(path)
 
 
 def documents_of(shard: dict) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:

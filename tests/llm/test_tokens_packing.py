@@ -28,7 +28,7 @@ def test_ids_equal_the_library(text):
 
 
 def test_kept_pieces_are_bounded(monkeypatch):
-    monkeypatch.setattr(tokens, "MAX_KEPT", 3)
+    monkeypatch.setattr(tokens, "MAX_KEPT_BYTES", 3 * (tokens.ENTRY_BYTES + 2))
     kept = tokens._Kept(lambda p: p.encode())
     assert [kept[c] for c in "abcdea"] == [c.encode() for c in "abcdea"] and len(kept) <= 3
 
@@ -142,3 +142,40 @@ def test_round_trip(spark, library, tmp_path, shard_tokens):
 def test_write_empty(spark, tmp_path):
     wavelet.write(docs(spark, []), f"file://{tmp_path}/none")
     assert wavelet.read_documents(spark, f"file://{tmp_path}/none").count() == 0
+
+
+def test_lookups_unpack_only_what_they_touch():
+    rng = np.random.default_rng(3)
+    ids = (rng.zipf(1.2, 400_000) % 50_000).astype(np.uint16)
+    blob = wavelet.WaveletMatrix.of(ids).to_bytes()
+    chunks = wavelet.BITS * wavelet.chunks_of(len(ids))
+    for lookup in (
+        lambda m: m.access(123_456) == ids[123_456],
+        lambda m: m.count(7) == (ids == 7).sum(),
+        lambda m: m.rank(7, 200_000) == (ids[:200_000] == 7).sum(),
+    ):
+        m = wavelet.WaveletMatrix.from_bytes(blob)
+        assert m.unpacked == 0 and lookup(m)
+        assert 0 < m.unpacked <= 2 * wavelet.BITS < chunks / 3
+    # the directory is read from the file, not made again
+    m = wavelet.WaveletMatrix.from_bytes(blob)
+    assert m.ones.base is not None and m.ones[3, -1] <= (ids & (1 << 12) != 0).sum()
+    places = np.flatnonzero(ids == 7)
+    assert [m.select(7, i) for i in (0, len(places) // 2, len(places) - 1)] == [places[0], places[len(places) // 2], places[-1]]
+
+
+def test_rows_of_one_id_are_spread(spark):
+    from cargolens.session import scratch_path
+
+    rows = [(None if i % 2 else 7, f"text {i % 500} of many") for i in range(4000)]
+    path = scratch_path(spark, "hot_id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the ranges are small here
+    try:
+        wavelet.write(docs(spark, rows).repartition(4), path, shard_tokens=1000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(path).select("part").distinct().count() > 2
+    out = wavelet.read_documents(spark, path).orderBy("start").collect()
+    assert [r["doc_id"] for r in out] == [None] * 2000 + [7] * 2000
+    ends = np.cumsum([r["n_tokens"] for r in out])
+    assert [r["start"] for r in out] == [0, *ends[:-1].tolist()]
