@@ -15,8 +15,11 @@ import numpy as np
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 END_ID = 0
-#: Entries a worker keeps before it starts afresh (a memory bound, not a result).
-MAX_KEPT = 1_200_000
+#: Bytes that a worker keeps in each of its three stores before that one starts
+#: afresh (a memory bound, not a result).
+MAX_KEPT_BYTES = 64 << 20
+#: What an entry costs beside its text and ids: two objects and its place in the store.
+ENTRY_BYTES = 200
 #: Pieces longer than this are encoded each time.
 MAX_KEPT_CHARS = 64
 
@@ -47,12 +50,16 @@ class _Kept(dict):
     def __init__(self, make):
         super().__init__()
         self.make = make
+        self.held = 0
 
     def __missing__(self, piece):
         ids = self.make(piece)
         if len(piece) <= MAX_KEPT_CHARS:
-            if len(self) >= MAX_KEPT:
+            size = ENTRY_BYTES + len(piece) + len(ids)
+            if self.held + size > MAX_KEPT_BYTES:
                 self.clear()
+                self.held = 0
+            self.held += size
             self[piece] = ids
         return ids
 
