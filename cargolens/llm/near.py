@@ -4,23 +4,32 @@ A text is a weighted set: its five-word shingles (lower-cased words), weighted
 by TF-IDF. Texts are near-duplicates when the weighted Jaccard similarity of
 their sets is at least ``SIMILARITY``; classes are the connected components.
 
-Document frequencies come from a count-min table of fixed size over all
-documents, floored at the share ``RARE`` of the documents. Both the table's
-error and the floor are shares of the corpus, so the weights behave alike at
-every size, and what is broadcast is one table of ``2 * WIDTH`` numbers.
+Texts with the same words are collapsed first; everything below is about
+distinct texts. Document frequencies come from a count-min table of fixed size
+over all of them, floored at the share ``RARE``. Both the table's error and the
+floor are shares of the corpus, so the weights behave alike at every size, and
+what is broadcast is one table of ``2 * WIDTH`` numbers. The floor bounds how
+much more a rare shingle weighs than one that a third of the texts hold: the
+copies of a text that was edited in many ways stay near-duplicates, though
+what they share is common and what was edited is not.
 
 Each text gets ``BANDS * ROWS`` weighted samples (for every sample the element
 with the least a = c / (y e^r), after Ioffe). Equal samples in all rows of a
 band put texts into one bucket: a pair at 0.8 meets in some bucket with
-probability 0.9994. Texts with the same words are collapsed first.
+probability 0.9994.
 
 No bucket is expanded into all pairs. First every member is compared with the
-bucket's first member. Then, in rounds, the members of a bucket that are not
-in its largest class are compared with all members of other classes,
-``LEADERS`` of them a round (fewer in a large bucket), until no bucket holds a pair of different classes
-that has not been compared. Pairs that share less than ``MIN_SHARED`` of their
-samples are not verified (a pair at 0.8 falls below with probability 1e-6);
-all others are verified on their texts.
+bucket's first one (in an order by hash). After that only strays, members
+outside the largest class of a bucket, are compared, each with the members at
+growing distances behind it: 1, then up to 15, up to 127 and so on, round the
+bucket. In a group of near copies nearly all strays find the class in the first
+rounds, so the pairs grow with the group and not with its square; a stray that
+finds none goes on until it has met the whole bucket, so no pair of different
+classes in a bucket stays uncompared. Members are found by their place
+(a join on bucket and place), so a large bucket is spread over all tasks.
+Pairs that share less than ``MIN_SHARED`` of their samples are not verified (a
+pair at 0.8 falls below with probability 1e-6); all others are verified on
+their texts.
 
 Edge cases: a null text has no words; texts without words form one class;
 texts of one to four words are one shingle; null ids lose to any id as the
@@ -33,10 +42,10 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.llm.staging import SPACE, numbered, staged
+from cargolens.llm.staging import SPACE, arrow_rows, numbered, ranked, staged
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -44,18 +53,18 @@ BANDS = 14
 ROWS = 4
 SAMPLES = BANDS * ROWS
 MIN_SHARED = 0.5
-LEADERS = 64
-#: Pairs that the leaders of one bucket make in a round, beyond four leaders.
-ROUND_PAIRS = 1 << 15
-#: Rows (of 64 bytes) of documents to verify that are broadcast at most.
+#: By what the distance that a stray has covered grows in a round.
+REACH = 8
+#: Row numbers that are broadcast at most; beyond it, texts are shuffled.
 BROADCAST_ROWS = 200_000
-RARE = 0.001
+RARE = 0.2
 WIDTH = 1 << 19
 BLOCK = 1 << 14
 ID_BITS = 44
 CHUNK = 1 << 15
 WORDS_AT_ONCE = 1 << 19
-NO_WORDS = "cast(array() as array<bigint>)"
+#: Documents in one Arrow batch: long texts in batches of the usual 10,000 rows fill an executor.
+BATCH_ROWS = 1024
 
 _C1, _C2, _C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -128,8 +137,8 @@ def slices(batch, *lists: int):
         a = b
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """The count-min table over all documents, and their number."""
+def document_frequencies(docs: DataFrame) -> np.ndarray:
+    """The count-min table over all documents of ``docs``."""
 
     def count(batches):
         import pyarrow as pa
@@ -161,7 +170,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     table = np.zeros(2 * WIDTH, np.int64)
     for row in parts.collect():  # 2 * WIDTH numbers, whatever the corpus
         table[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(zlib.decompress(row["counts"]), "<i8")
-    return table, docs.count()
+    return table
 
 
 def idf_table(table: np.ndarray, n: int) -> np.ndarray:
@@ -235,29 +244,28 @@ def bands_of(signs: np.ndarray) -> np.ndarray:
     return ((h ^ (h >> np.uint64(31))) * _C3).view(np.int64)
 
 
-def signatures(docs: DataFrame, idf, row: Column) -> DataFrame:
-    """row, doc_id, key, signs array<int>, bands array<long> (empty without words)."""
-    schema = "row long, doc_id long, key binary, signs array<int>, bands array<bigint>"
+def signatures(docs: DataFrame, idf) -> DataFrame:
+    """row, signs array<int>, bands array<long> of (row, text); texts without words are left out."""
 
     def compute(batches):
         import pyarrow as pa
 
-        for part in (part for batch in batches for part in slices(batch, 3)):
-            values, offsets = listed(part.column(3))
+        for part in (part for batch in batches for part in slices(batch, 1)):
+            values, offsets = listed(part.column(1))
             doc, ids, times = shingles(values, offsets)
             n = part.num_rows
             signs = sign(doc, ids, weigh(ids, times, idf.value), n)
             some = np.diff(offsets) > 0
-            keep = np.concatenate([[0], np.cumsum(some)])
+            keep = np.arange(some.sum() + 1)
             columns = [
                 pa.ListArray.from_arrays(pa.array(keep * width, pa.int32()), pa.array(flat[some].ravel(), kind))
                 for flat, width, kind in ((signs.view(np.int32), SAMPLES, pa.int32()), (bands_of(signs), BANDS, pa.int64()))
             ]
-            yield pa.RecordBatch.from_arrays([*part.columns[:3], *columns], names=["row", "doc_id", "key", "signs", "bands"])
+            rows = part.column(0).filter(pa.array(some))
+            yield pa.RecordBatch.from_arrays([rows, *columns], names=["row", "signs", "bands"])
 
-    source = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), split_words(F.col("text")).alias("w"))
-    source = source.select("row", "doc_id", key_of(F.col("w")).alias("key"), hashed(F.col("w")).alias("h"))
-    return source.mapInArrow(compute, schema)
+    words = hashed(split_words(F.col("text"))).alias("h")
+    return docs.select("row", words).mapInArrow(compute, "row long, signs array<int>, bands array<bigint>")
 
 
 def similarities(a, b, idf: np.ndarray) -> np.ndarray:
@@ -275,21 +283,23 @@ def similarities(a, b, idf: np.ndarray) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf, similarity: float) -> DataFrame:
-    """(a, b, similar) for pairs of rows; ``texts`` has (row, text)."""
+    """The pairs (a, b, label_a, label_b) that are similar; ``texts`` has (row, text)."""
+    names = ["a", "b", "label_a", "label_b"]
 
     def compare(batches):
         import pyarrow as pa
 
-        for part in (part for batch in batches for part in slices(batch, 2, 3)):
-            similar = similarities(part.column(2), part.column(3), idf.value) >= similarity
-            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(similar)], names=["a", "b", "similar"])
+        for part in (part for batch in batches for part in slices(batch, 4, 5)):
+            similar = similarities(part.column(4), part.column(5), idf.value) >= similarity
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(similar)) for c in part.columns[:4]], names=names)
 
     one, two = (texts.select(F.col("row").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     both = pairs.join(one, "a").join(two, "b")
-    return both.select("a", "b", *[hashed(split_words(F.col(t))).alias(t) for t in ("text_a", "text_b")]).mapInArrow(compare, "a long, b long, similar boolean")
+    both = both.select(*names, *[hashed(split_words(F.col(t))).alias(t) for t in ("text_a", "text_b")])
+    return both.mapInArrow(compare, ", ".join(f"{c} long" for c in names))
 
 
-def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(row, label) of all rows with an edge: label is the least row of the component.
 
     Labels take the least label around them and then their label's label,
@@ -314,95 +324,117 @@ def classes(docs: DataFrame, row: str | None = None, similarity: float = SIMILAR
 
     Exactly one document of each class is kept, one with the least id.
     """
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return _classes(docs, row, similarity)
+
+
+def without(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """The rows whose number is not among ``others`` (row)."""
+    return rows.join(F.broadcast(others) if others.count() <= BROADCAST_ROWS else others, "row", "left_anti")
+
+
+def _classes(docs: DataFrame, row: str | None, similarity: float) -> DataFrame:
     spark = docs.sparkSession
-    table, n = document_frequencies(docs)
-    idf = spark.sparkContext.broadcast(idf_table(table, n))
     number = F.col(row) if row else F.monotonically_increasing_id()
-    signed = staged(signatures(docs, idf, number), "signatures")
+    base = docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    if not row:  # the numbers must be the same in every read
+        base = staged(base, "documents", "zstd")
 
     # texts with the same words are one node, named by the row of its best document
+    keyed = staged(base.select("row", "doc_id", key_of(split_words(F.col("text"))).alias("key")), "keys")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("best")
-    nodes = staged(signed.groupBy("key").agg(best, F.count("*").alias("n")).select("key", "n", "best.no_id", "best.doc_id", F.col("best.row").alias("node")), "nodes")
-    node_signs = signed.join(nodes.select("node"), F.col("row") == F.col("node"), "left_semi").where(F.size("bands") > 0)
-    node_signs = staged(node_signs.select("row", "signs", "bands"), "node_signs")
-    slots = node_signs.select("row", F.posexplode("bands").alias("band", "hash"))
-    buckets = slots.groupBy("band", "hash").agg(F.count("*").alias("n"), F.min("row").alias("first")).where("n > 1")
-    members = staged(slots.join(buckets.drop("n"), ["band", "hash"]), "members")
-
-    shared = F.aggregate(F.zip_with("signs_a", "signs_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-
-    def promising(pairs: DataFrame) -> DataFrame:
-        one, two = (node_signs.select(F.col("row").alias(c), F.col("signs").alias(f"signs_{c}")) for c in "ab")
-        found = pairs.distinct().join(one, "a").join(two, "b")
-        return found.where(shared >= int(MIN_SHARED * SAMPLES)).select("a", "b")
-
-    fetched: list[DataFrame] = []  # (row, text) of the nodes verified so far
-
-    def fetch(wanted: DataFrame) -> None:
-        """Texts of the wanted nodes that were not fetched before, in one scan of all documents."""
-        for have in fetched:
-            wanted = wanted.join(have.select("row"), "row", "left_anti")
-        named = nodes.select(F.col("node").alias("_node"), F.col("key").alias("_key"), F.col("doc_id").alias("_doc"))
-        wanted = staged(wanted.join(named, F.col("row") == F.col("_node")).drop("row"), "wanted")
-        n = wanted.count()
-        if n:
-            wanted = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted  # beyond it, texts are shuffled
-            texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-            texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("_node", "_key", "text")
-            texts = staged(texts, "candidates")
-            # an id may stand for several texts
-            texts = texts.where(key_of(split_words(F.col("text"))) == F.col("_key"))
-            texts = texts.select(F.col("_node").alias("row"), "text").dropDuplicates(["row"])
-            fetched.append(staged(texts, "texts"))
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        pairs = staged(pairs, "pairs")
-        fetch(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct())
-        texts = spark.createDataFrame([], "row long, text string")
-        for part in fetched:
-            texts = texts.unionByName(part)
-        return staged(verified(pairs, texts, idf, similarity), "compared")
-
-    seen = compared(promising(members.where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b"))))
-    led = None
-    labels = components(seen.where("similar"))
-    while True:
-        here = members.select("band", "hash", "row").join(labels, "row", "left").withColumn("label", F.coalesce("label", "row"))
-        here = staged(here, "here")
-        sizes = here.groupBy("band", "hash", "label").count()
-        largest = sizes.groupBy("band", "hash").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("largest"), F.count("*").alias("labels"), F.sum("count").alias("size"))
-        open_ = staged(here.join(largest.where("labels > 1"), ["band", "hash"]), "open")
-        strays = open_.where("label <> largest").select("band", "hash", "row", "label", "size")
-        if led is not None:
-            strays = strays.join(led, ["band", "hash", "row"], "left_anti")
-        order = Window.partitionBy("band", "hash").orderBy("row")
-        leaders = strays.withColumn("_i", F.row_number().over(order)).where(F.col("_i") <= LEADERS)
-        # a large bucket is led by few a round: what they find merges most of the others
-        leaders = leaders.where(F.col("_i") <= F.greatest(F.lit(4), F.floor(ROUND_PAIRS / F.col("size"))))
-        leaders = staged(leaders.select("band", "hash", F.col("row").alias("lead"), F.col("label").alias("lead_label")), "leaders")
-        if leaders.isEmpty():
-            break
-        pairs = open_.join(leaders, ["band", "hash"]).where("label <> lead_label")
-        pairs = pairs.select(F.least("row", "lead").alias("a"), F.greatest("row", "lead").alias("b"))
-        now = compared(promising(pairs).join(seen.select("a", "b"), ["a", "b"], "left_anti"))
-        done = leaders.select("band", "hash", F.col("lead").alias("row"))
-        led = done if led is None else led.unionByName(done)
-        if now.where("similar").isEmpty():
-            seen = seen.unionByName(now)
-            continue
-        seen = seen.unionByName(now)
-        labels = components(seen.where("similar"))
+    nodes = staged(keyed.groupBy("key").agg(best, F.count("*").alias("n")).select("key", "n", "best.no_id", "best.doc_id", F.col("best.row").alias("node")), "nodes")
+    copies = staged(keyed.select("row").join(nodes.select(F.col("node").alias("row")), "row", "left_anti"), "copies")
+    distinct = without(base.select("row", "text"), copies)
+    idf = spark.sparkContext.broadcast(idf_table(document_frequencies(distinct), nodes.count()))
+    node_signs = staged(signatures(distinct, idf), "signatures")
+    labels = merged_labels(node_signs, base.select("row", "text"), idf, similarity)
 
     # back to documents: node -> class, class -> its best document
     placed = nodes.join(labels, F.col("node") == F.col("row"), "left").withColumn("label", F.coalesce("label", "node"))
     placed = staged(placed.select("key", "n", "no_id", "doc_id", "node", "label"), "placed")
     whole = placed.groupBy("label").agg(F.min(F.struct("no_id", "doc_id", "node")).alias("best"), F.sum("n").alias("class_size"))
     by_key = staged(placed.select("key", "label").join(whole, "label").select("key", "best", "class_size"), "by_key")
-    out = signed.select("row", "doc_id", "key").join(by_key, "key")
+    out = keyed.join(by_key, "key")
     columns = ["doc_id", F.col("best.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("best.node")).alias("kept")]
     return out.select(*columns, *([F.col("row").alias(row)] if row else []))
 
 
+def merged_labels(node_signs: DataFrame, texts: DataFrame, idf, similarity: float) -> DataFrame:
+    """(row, label) of all nodes that are similar to another: equal labels, one class."""
+    spark = node_signs.sparkSession
+    order = F.xxhash64("row")
+    named = F.transform("bands", lambda h, i: F.xxhash64(i, h))  # a bucket is a band and its hash
+    slots = node_signs.select("row", F.explode(named).alias("bucket"))
+    buckets = slots.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("row", F.struct(order, "row")).alias("first")).where("n > 1")
+    members = staged(slots.join(buckets.drop("n"), "bucket"), "members")
+    candidates = staged(members.select("row").distinct(), "candidates")
+    many = candidates.count() > BROADCAST_ROWS
+    texts = staged(texts.join(candidates if many else F.broadcast(candidates), "row", "left_semi"), "texts", "zstd")
+
+    shared = F.aggregate(F.zip_with("signs_a", "signs_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+
+    def similar(pairs: DataFrame, seen: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """Of (a, b, label_a, label_b) the similar ones, and all that were looked at."""
+        pairs = staged(pairs, "met").distinct()  # written first: a skewed join is dealt anew only at its end
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        one, two = (node_signs.select(F.col("row").alias(c), F.col("signs").alias(f"signs_{c}")) for c in "ab")
+        pairs = staged(pairs.join(one, "a").join(two, "b").select("a", "b", "label_a", "label_b", shared.alias("shared")), "pairs")
+        likely = pairs.where(F.col("shared") >= int(MIN_SHARED * SAMPLES)).drop("shared")
+        looked = pairs.select("a", "b")
+        return staged(verified(likely, texts, idf, similarity), "similar"), looked if seen is None else seen.unionByName(looked)
+
+    apart = members.where("row <> first").select(F.least("row", "first").alias("a"), F.greatest("row", "first").alias("b"))
+    found, seen = similar(apart.select("a", "b", F.col("a").alias("label_a"), F.col("b").alias("label_b")), None)
+    labels = merge(spark.createDataFrame([], "row long, label long"), found)
+
+    open_ = in_buckets(members.select("bucket", "row"), labels)
+    if open_.isEmpty():
+        return labels
+    placed = ranked(open_.select("bucket", "row", order.alias("order")), "bucket", ["order", "row"])
+    # ``next``: the least distance not yet covered; the first one has met all
+    state = placed.select("bucket", "idx", "row", "total", F.when(F.col("idx") == 0, F.col("total")).otherwise(F.lit(1).cast("long")).alias("next"))
+    while True:
+        state = in_buckets(state, labels)
+        stray = (F.col("label") != F.col("largest")) & (F.col("next") < F.col("total"))
+        until = F.least(F.when(F.col("next") == 1, 2).otherwise(F.col("next") * REACH), F.col("total"))
+        strays = state.where(stray)
+        if strays.isEmpty():
+            return labels
+        far = strays.select("bucket", "idx", "total", F.col("row").alias("a"), F.col("label").alias("label_a"), F.explode(F.sequence("next", until - 1)).alias("far"))
+        far = far.withColumn("idx", (F.col("idx") + F.col("far")) % F.col("total")).drop("total", "far")
+        pairs = far.join(state.select("bucket", "idx", F.col("row").alias("b"), F.col("label").alias("label_b")), ["bucket", "idx"])
+        turned = F.col("a") > F.col("b")
+        swap = lambda x, y: F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x)
+        pairs = pairs.where("label_a <> label_b").select(swap("a", "b"), swap("b", "a"), swap("label_a", "label_b"), swap("label_b", "label_a"))
+        found, seen = similar(pairs, seen)
+        state = state.withColumn("next", F.when(stray, until).otherwise(F.col("next"))).drop("label", "largest")
+        labels = merge(labels, found)
+
+
+def in_buckets(state: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of all buckets that hold several classes, with their label and
+    the label of the bucket's largest class."""
+    here = state.join(labels, "row", "left").withColumn("label", F.coalesce("label", "row"))
+    here = staged(here, "here")
+    sizes = here.groupBy("bucket", "label").count()
+    largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("largest"), F.count("*").alias("labels"))
+    return staged(here.join(largest.where("labels > 1").drop("labels"), "bucket"), "open")
+
+
+def merge(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Labels (row, label) after joining the classes of the pairs found: only
+    the classes are connected anew, not their members."""
+    if found.isEmpty():
+        return labels
+    joined = components(found.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    joined = joined.select(F.col("row").alias("old"), F.col("label").alias("new"))
+    moved = labels.join(joined, F.col("label") == F.col("old"), "left").select("row", F.coalesce("new", "label").alias("label"))
+    alone = joined.join(labels, F.col("old") == F.col("row"), "left_anti").select(F.col("old").alias("row"), F.col("new").alias("label"))
+    return staged(moved.unionByName(alone), "labels")
+
+
 def distinct_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One document of each class, with all its columns."""
     rows, row = numbered(docs, "documents")

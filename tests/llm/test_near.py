@@ -101,11 +101,12 @@ def planted(seed=0):
 
 
 def brute(rows, similarity=0.8):
-    """Components of pairs above the similarity, with exact document frequencies."""
+    """Components of pairs above the similarity, with exact document frequencies over distinct texts."""
     sets = shingle_sets([t for _, t, *_ in rows])
-    df = Counter(s for c in sets for s in c)
-    n = len(rows)
-    w = [{s: k * np.log1p(n / max(df[s], max(1.0, near.RARE * n))) for s, k in c.items()} for c in sets]
+    distinct = {" ".join(words_of(t)): c for (_, t, *_), c in zip(rows, sets, strict=True)}
+    df = Counter(s for c in distinct.values() for s in c)
+    n, m = len(rows), len(distinct)
+    w = [{s: k * np.log1p(m / max(df[s], max(1.0, near.RARE * m))) for s, k in c.items()} for c in sets]
     parent = list(range(n))
 
     def find(x):
@@ -147,11 +148,11 @@ def test_classes_against_brute_force(spark):
 
 
 def test_members_that_differ_from_the_first_are_not_lost(spark, monkeypatch):
-    """With every text in one bucket and one leader a round, all links are still found."""
+    """With every text in one bucket and short steps, all links are still found."""
     rows, truth = planted(3)
     rows = [r for r in rows if r[0] < 12 or 1000 <= r[0] < 1080]
     monkeypatch.setattr(near, "bands_of", lambda signs: np.ones((len(signs), near.BANDS), np.int64))
-    monkeypatch.setattr(near, "LEADERS", 4)
+    monkeypatch.setattr(near, "REACH", 2)
     out = near.classes(docs(spark, rows)).collect()
     groups = defaultdict(set)
     for r in out:
@@ -161,6 +162,56 @@ def test_members_that_differ_from_the_first_are_not_lost(spark, monkeypatch):
     assert len(groups) == 12
 
 
+def edited(r, words, share):
+    """The words with single ones replaced until the plain shingle similarity is about ``share``."""
+    sets = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    own, out = sets(words), list(words)
+    while True:
+        trial = list(out)
+        trial[r.randrange(len(trial))] = f"edit{r.randrange(10**9)}"
+        new = sets(trial)
+        if len(own & new) / len(own | new) < share:
+            return out
+        out = trial
+
+
+def test_edited_copies_of_a_hot_text(spark, monkeypatch):
+    """A text that holds a third of all rows, its exact and its edited copies:
+    what is common in them does not hide them, and pairs stay linear."""
+    r = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    base = r.choices(vocabulary, k=300)
+    rows = [(i, " ".join(base)) for i in range(120)]
+    rows += [(1000 + i, " ".join(edited(r, base, 0.84 + 0.001 * (i % 100)))) for i in range(280)]
+    rows += [(5000 + i, " ".join(r.choices(vocabulary, k=r.randint(20, 200)))) for i in range(600)]
+    pairs = []
+    real = near.verified
+    monkeypatch.setattr(near, "verified", lambda p, *rest: pairs.append(p.count()) or real(p, *rest))
+    out = {x["doc_id"]: x for x in near.classes(docs(spark, rows)).collect()}
+    caught = sum(out[1000 + i]["class_id"] == 0 for i in range(280))
+    assert caught >= 0.9 * 280, caught
+    assert all(out[i]["class_id"] == 0 for i in range(120))
+    assert all(out[5000 + i]["class_size"] == 1 for i in range(600))
+    assert sum(pairs) <= 40 * 281, pairs  # all pairs of the group: 39,340
+
+
+def test_a_stray_meets_the_whole_bucket(spark, monkeypatch):
+    """Texts unlike each other in one bucket, and two pairs that no first step joins."""
+    r = random.Random(2)
+    rows = [(i, " ".join(f"w{r.randrange(10**6)}" for _ in range(40))) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " more") for i in (7, 23)]
+    monkeypatch.setattr(near, "bands_of", lambda signs: np.ones((len(signs), near.BANDS), np.int64))
+    out = {x["doc_id"]: x["class_id"] for x in near.classes(docs(spark, rows)).collect()}
+    assert out[107] == 7 and out[123] == 23 and len(set(out.values())) == 60
+
+
+def test_many_null_and_equal_ids(spark):
+    """Texts are found by row, not by id: equal and null ids do not multiply."""
+    rows = [(None if i % 2 else 5, f"text number {i // 2} of the rows without a name") for i in range(200)]
+    out = near.classes(docs(spark, rows))
+    assert out.count() == 200 and out.where("kept").count() == 100
+
+
 def test_distinct_documents(spark):
     rows, truth = planted(1)
     frame = docs(spark, rows + [(2, rows[2][1])]).withColumn("KEY", F.lit(1)).withColumn("signs", F.lit(2))
