@@ -57,6 +57,8 @@ MIN_SHARED = 0.5
 REACH = 8
 #: Row numbers that are broadcast at most; beyond it, texts are shuffled.
 BROADCAST_ROWS = 200_000
+#: Links that one task connects at most; beyond it, labels are passed on in Spark.
+TASK_LINKS = 200_000
 RARE = 0.2
 WIDTH = 1 << 19
 BLOCK = 1 << 14
@@ -299,12 +301,39 @@ def verified(pairs: DataFrame, texts: DataFrame, idf, similarity: float) -> Data
     return both.mapInArrow(compare, ", ".join(f"{c} long" for c in names))
 
 
+def connect(batches):
+    """(row, label) of the rows of (a, b) batches, by union-find."""
+    import pyarrow as pa
+
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while parent.setdefault(root, root) != root:
+            root = parent[root]
+        while parent[x] != root:
+            parent[x], x = root, parent[x]
+        return root
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            low, high = sorted((find(a), find(b)))
+            parent[high] = low  # the least row of a component stays its root
+    rows = list(parent)
+    columns = [pa.array(rows, pa.int64()), pa.array([find(x) for x in rows], pa.int64())]
+    yield pa.RecordBatch.from_arrays(columns, names=["row", "label"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(row, label) of all rows with an edge: label is the least row of the component.
 
-    Labels take the least label around them and then their label's label,
-    until nothing changes; each turn is a written table.
+    Few links are connected in one task. Beyond ``TASK_LINKS`` labels take the
+    least label around them and then their label's label, until nothing
+    changes; each turn is a written table.
     """
+    edges = staged(edges.select("a", "b").distinct(), "edges")
+    if edges.count() <= TASK_LINKS:
+        return staged(edges.coalesce(1).mapInArrow(connect, "row long, label long"), "labels")
     both = staged(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     now = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "row"), "labels")
     while True:
@@ -374,43 +403,41 @@ def merged_labels(node_signs: DataFrame, texts: DataFrame, idf, similarity: floa
 
     shared = F.aggregate(F.zip_with("signs_a", "signs_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
 
-    def similar(pairs: DataFrame, seen: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """Of (a, b, label_a, label_b) the similar ones, and all that were looked at."""
+    def similar(pairs: DataFrame) -> DataFrame:
+        """The similar ones of (a, b, label_a, label_b)."""
         pairs = staged(pairs, "met").distinct()  # written first: a skewed join is dealt anew only at its end
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
         one, two = (node_signs.select(F.col("row").alias(c), F.col("signs").alias(f"signs_{c}")) for c in "ab")
-        pairs = staged(pairs.join(one, "a").join(two, "b").select("a", "b", "label_a", "label_b", shared.alias("shared")), "pairs")
-        likely = pairs.where(F.col("shared") >= int(MIN_SHARED * SAMPLES)).drop("shared")
-        looked = pairs.select("a", "b")
-        return staged(verified(likely, texts, idf, similarity), "similar"), looked if seen is None else seen.unionByName(looked)
+        likely = pairs.join(one, "a").join(two, "b").where(shared >= int(MIN_SHARED * SAMPLES))
+        likely = staged(likely.select("a", "b", "label_a", "label_b"), "pairs")
+        return staged(verified(likely, texts, idf, similarity), "similar")
 
     apart = members.where("row <> first").select(F.least("row", "first").alias("a"), F.greatest("row", "first").alias("b"))
-    found, seen = similar(apart.select("a", "b", F.col("a").alias("label_a"), F.col("b").alias("label_b")), None)
+    found = similar(apart.select("a", "b", F.col("a").alias("label_a"), F.col("b").alias("label_b")))
     labels = merge(spark.createDataFrame([], "row long, label long"), found)
 
     open_ = in_buckets(members.select("bucket", "row"), labels)
     if open_.isEmpty():
         return labels
-    placed = ranked(open_.select("bucket", "row", order.alias("order")), "bucket", ["order", "row"])
-    # ``next``: the least distance not yet covered; the first one has met all
-    state = placed.select("bucket", "idx", "row", "total", F.when(F.col("idx") == 0, F.col("total")).otherwise(F.lit(1).cast("long")).alias("next"))
+    placed = ranked(open_.select("bucket", "row", "label", "largest", order.alias("order")), "bucket", ["order", "row"])
+    # ``next``: the least distance not yet covered; the first one (at 0) has met all
+    start = F.when(F.col("idx") == 0, F.col("total")).otherwise(F.lit(1).cast("long")).alias("next")
+    state = staged(placed.select("bucket", "idx", "row", "total", start, "label", "largest"), "state")
     while True:
-        state = in_buckets(state, labels)
         stray = (F.col("label") != F.col("largest")) & (F.col("next") < F.col("total"))
         until = F.least(F.when(F.col("next") == 1, 2).otherwise(F.col("next") * REACH), F.col("total"))
         strays = state.where(stray)
         if strays.isEmpty():
             return labels
         far = strays.select("bucket", "idx", "total", F.col("row").alias("a"), F.col("label").alias("label_a"), F.explode(F.sequence("next", until - 1)).alias("far"))
-        far = far.withColumn("idx", (F.col("idx") + F.col("far")) % F.col("total")).drop("total", "far")
+        far = far.withColumn("idx", (F.col("idx") + F.col("far")) % F.col("total")).where("idx > 0").drop("total", "far")
         pairs = far.join(state.select("bucket", "idx", F.col("row").alias("b"), F.col("label").alias("label_b")), ["bucket", "idx"])
         turned = F.col("a") > F.col("b")
         swap = lambda x, y: F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x)
         pairs = pairs.where("label_a <> label_b").select(swap("a", "b"), swap("b", "a"), swap("label_a", "label_b"), swap("label_b", "label_a"))
-        found, seen = similar(pairs, seen)
+        found = similar(pairs)
         state = state.withColumn("next", F.when(stray, until).otherwise(F.col("next"))).drop("label", "largest")
         labels = merge(labels, found)
+        state = in_buckets(state, labels)
 
 
 def in_buckets(state: DataFrame, labels: DataFrame) -> DataFrame:

@@ -147,6 +147,20 @@ def test_classes_against_brute_force(spark):
         assert class_id == min((r["doc_id"] for r in g if r["doc_id"] is not None), default=None)
 
 
+@pytest.mark.parametrize("links", [0, near.TASK_LINKS])
+def test_components(spark, monkeypatch, links):
+    """By passing labels on, and in one task."""
+    monkeypatch.setattr(near, "TASK_LINKS", links)
+    r = random.Random(1)
+    edges = [(i, i + 1) for i in range(0, 60, 2)] + [(2 * i, 2 * i + 2) for i in range(40, 60)] + [(r.randrange(200, 260), r.randrange(200, 260)) for _ in range(40)] + [(9, 9), (7, 6)]
+    parent = {x: x for e in edges for x in e}
+    for _ in parent:
+        for a, b in edges:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    out = near.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {x["row"]: x["label"] for x in out} == parent and len(out) == len(parent)
+
+
 def test_members_that_differ_from_the_first_are_not_lost(spark, monkeypatch):
     """With every text in one bucket and short steps, all links are still found."""
     rows, truth = planted(3)
