@@ -3,12 +3,17 @@
 A rule names a host (and all its subdomains) and a path prefix; the longest
 rule that fits decides. Pages without a rule take the verdict of their host.
 Trust flows from the hosts that rules allow along links (personalised
-PageRank); distrust flows from the hosts that rules block against them: who
-links to a distrusted host shares in its distrust. A host is blocked when its
-distrust exceeds its trust (or it has no trust) and its reach is at least
-``LEAST``. Reach is the strongest distrust that comes to a host over any path,
-damped alike but not divided by the linking hosts: how many others link to a
-blocked host does not excuse any of them.
+PageRank: a host's trust is shared by the hosts it links to). Distrust flows
+from the hosts that rules block against the links, as the mean over a host's
+own links: it tells how much of what a host links to leads to blocked hosts,
+however many others link there too. A host with one bad link among ten
+thousand gets next to none, one whose only link is bad gets nearly all.
+
+A host is blocked when its distrust exceeds its trust and is at least
+``LEAST``: the share ``BAD_SHARE`` of what a host gets whose links all lead to
+wholly blocked hosts. Ranks are passed on until none changes by more than a
+hundredth of that (they grow from below, by a factor of 0.85 a step, so the
+number of rounds is bounded whatever the graph).
 
 Links are the absolute and protocol-relative href addresses of a page; each
 host counts once per linked host. Ranks are integers (parts of ``UNIT``), so
@@ -37,10 +42,12 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-ROUNDS = 8
 UNIT = 1_000_000_000
 DAMPING_PERCENT = 85
-LEAST = UNIT // 1000
+#: Share of a host's links that must lead to wholly blocked hosts.
+BAD_SHARE = 0.05
+LEAST = int(BAD_SHARE * UNIT * DAMPING_PERCENT * (100 - DAMPING_PERCENT) / 10_000)
+SETTLED = LEAST // 100
 LINK = r"""(?i)href\s*=\s*["']?((?:https?:)?//[^"'\s>]++)"""
 
 
@@ -74,39 +81,42 @@ def links(pages: DataFrame) -> DataFrame:
     return edges.where((F.col("source") != "") & (F.col("target") != "") & (F.col("source") != F.col("target"))).distinct()
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust, reach) from seeds (host, trust, distrust) over edges."""
+def propagate(seeds: DataFrame, edges: DataFrame) -> DataFrame:
+    """(host, trust, distrust) from seeds (host, trust, distrust) over edges."""
     out = edges.groupBy("source").agg(F.count("*").alias("_out"))
-    into = edges.groupBy("target").agg(F.count("*").alias("_in"))
-    weighted = staged(edges.join(out, "source").join(into, "target"), "edges")
+    weighted = staged(edges.join(out, "source"), "edges")
     damped = [F.floor(F.col(c) * (100 - DAMPING_PERCENT) / 100).cast("long").alias(c) for c in ("trust", "distrust")]
-    own = seeds.select("host", *damped).withColumn("reach", F.col("distrust"))
+    own = seeds.select("host", *damped)
     if weighted.isEmpty():
         return own
-    ranks = seeds.join(own.select("host", "reach"), "host")
-    for _ in range(rounds):
-        passed = lambda column, among: F.floor(F.col(column) * DAMPING_PERCENT / 100 / F.col(among)).cast("long")
-        nothing = F.lit(0).cast("long")
+    nothing = F.lit(0).cast("long")
+    passed = lambda c: F.floor(F.col(c) * DAMPING_PERCENT / 100 / F.col("_out")).cast("long")
+    ranks = own
+    while True:
         forward = weighted.join(ranks, weighted["source"] == ranks["host"]).where("trust > 0")
-        forward = forward.select(F.col("target").alias("host"), passed("trust", "_out").alias("trust"), nothing.alias("distrust"), nothing.alias("reach"))
-        back = weighted.join(ranks, weighted["target"] == ranks["host"]).where("distrust > 0 or reach > 0")
-        back = back.select(F.col("source").alias("host"), nothing.alias("trust"), passed("distrust", "_in").alias("distrust"), F.floor(F.col("reach") * DAMPING_PERCENT / 100).cast("long").alias("reach"))
-        every = forward.unionByName(back).unionByName(own)
-        sums = [F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"), F.max("reach").alias("reach")]
-        ranks = staged(every.groupBy("host").agg(*sums), "ranks")
-    return ranks
-
-
-def judge(pages: DataFrame, rules=RULES, rounds: int = ROUNDS) -> DataFrame:
+        forward = forward.select(F.col("target").alias("host"), passed("trust").alias("trust"), nothing.alias("distrust"))
+        back = weighted.join(ranks, weighted["target"] == ranks["host"]).where("distrust > 0")
+        back = back.select(F.col("source").alias("host"), nothing.alias("trust"), passed("distrust").alias("distrust"))
+        every = forward.unionByName(back).unionByName(own).withColumn("before", F.struct(nothing.alias("t"), nothing.alias("d")))
+        last = ranks.select("host", nothing.alias("trust"), nothing.alias("distrust"), F.struct(F.col("trust").alias("t"), F.col("distrust").alias("d")).alias("before"))
+        sums = [F.sum(c).alias(c) for c in ("trust", "distrust")]
+        steps = [F.sum(f"before.{c}").alias(f"_{c}") for c in "td"]
+        step = staged(every.unionByName(last).groupBy("host").agg(*sums, *steps), "ranks")
+        ranks = step.select("host", "trust", "distrust")
+        if step.where((F.col("trust") - F.col("_t") > SETTLED) | (F.col("distrust") - F.col("_d") > SETTLED)).isEmpty():
+            return ranks
+
+
+def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, trust, distrust."""
     host, path = parsed(F.col("url").cast("string"))
     df = pages.select(F.col("page_id").alias("page_id"), host.alias("host"), path.alias("path"), F.col("html").cast("string").alias("_html"))
     df = df.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
     share = lambda v: F.floor(F.count(F.when(F.col("_rule.verdict") == v, 1)) * UNIT / F.count("*")).cast("long")
     seeds = staged(df.where("host != ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust")), "seeds")
-    ranks = propagate(seeds, staged(links(df), "links"), rounds)
+    ranks = propagate(seeds, staged(links(df), "links"))
     hosts = ranks.withColumnRenamed("host", "_host")
-    blocked = (F.col("reach") >= LEAST) & ((F.col("distrust") > F.col("trust")) | (F.col("trust") == 0))
+    blocked = (F.col("distrust") >= LEAST) & (F.col("distrust") > F.col("trust"))
     own = F.when(blocked, "block").otherwise("allow")
     out = df.drop("_html").join(hosts, F.col("host") == F.col("_host"), "left")
     return out.select(

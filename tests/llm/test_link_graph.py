@@ -43,17 +43,20 @@ def by_hand(rows):
                 if target and target != host:
                     edges.add((host, target))
     seeds = {h: (a * lg.UNIT // n, b * lg.UNIT // n) for h, (a, b, n) in share.items()}
-    out, into = defaultdict(int), defaultdict(int)
-    for a, b in edges:
+    out = defaultdict(int)
+    for a, _ in edges:
         out[a] += 1
-        into[b] += 1
-    ranks = dict(seeds)
-    for _ in range(lg.ROUNDS if edges else 0):
-        new = {h: [t * 15 // 100, d * 15 // 100] for h, (t, d) in seeds.items()}
+    own = {h: (t * 15 // 100, d * 15 // 100) for h, (t, d) in seeds.items()}
+    ranks = dict(own)
+    for _ in range(200 if edges else 0):
+        new = {h: list(r) for h, r in own.items()}
         for a, b in edges:
             new.setdefault(b, [0, 0])[0] += int(ranks.get(a, (0, 0))[0] * 85 / 100 / out[a])
-            new.setdefault(a, [0, 0])[1] += int(ranks.get(b, (0, 0))[1] * 85 / 100 / into[b])
+            new.setdefault(a, [0, 0])[1] += int(ranks.get(b, (0, 0))[1] * 85 / 100 / out[a])
+        change = max(new[h][k] - ranks.get(h, (0, 0))[k] for h in new for k in (0, 1))
         ranks = new
+        if change <= lg.SETTLED:
+            break
     result = []
     for p, host, path, _ in pages:
         name, verdict = rule(host, path)
@@ -103,5 +106,24 @@ def test_blocked_hub_with_many_linkers(spark):
     assert {p for p, v in verdict.items() if v == "allow"} == {2}
 
 
+def test_one_bad_link_among_ten_thousand(spark):
+    """A hub is not blocked for one of its links, a page of bad links is, and the bounds between."""
+    many = [f"h{i}.net" for i in range(9999)]
+    rows = [(0, "http://bad.com/de/2", None), (1, "https://hub.net/", link("bad.com", *many)), (2, "https://farm.net/", link("bad.com"))]
+    rows += [(3, "https://half.net/", link("bad.com", "h1.net")), (4, "https://few.net/", link("bad.com", *many[:30]))]
+    verdict = {r["page_id"]: r["verdict"] for r in lg.judge(frame(spark, rows)).collect()}
+    assert verdict == {0: "block", 1: "allow", 2: "block", 3: "block", 4: "allow"}
+
+
+def test_long_chains_settle(spark):
+    """Distrust fades by 0.85 a link: hosts far from a blocked one are allowed, whatever the rounds."""
+    rows = [(0, "http://bad.com/de/2", None), (1, "https://c1.net/", link("bad.com"))]
+    rows += [(i, f"https://c{i}.net/", link(f"c{i - 1}.net")) for i in range(2, 26)]
+    out = {r["page_id"]: r["verdict"] for r in lg.judge(frame(spark, rows)).collect()}
+    assert out == {p: v for p, *_, v in by_hand(rows)}
+    hops = [p for p, v in out.items() if v == "block"]
+    assert sorted(hops) == list(range(len(hops))) and 15 < len(hops) < 25
+
+
 def test_empty(spark):
     assert lg.judge(frame(spark, [])).count() == 0
