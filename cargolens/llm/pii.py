@@ -3,7 +3,8 @@
 Base rules name e-mail and IP addresses, card and phone numbers. Their
 matches are the seed entities. Every word with a digit or an at-sign is an
 instance; the two words before it, and the word before with the word after,
-are its lexical patterns. Spark then scores the pattern-instance graph in
+are its lexical patterns (all words count, neighbouring instances too; digits
+are masked as 0, so numbers in a row give one pattern). Spark then scores the pattern-instance graph in
 turns: a pattern is as good as the mean confidence of its instances (shrunk
 by ``PRIOR``, and only with ``MIN_SEEDS`` known ones), an instance as the noisy
 or of its patterns. After ``ROUNDS`` turns, occurrences of unknown instances
@@ -83,8 +84,11 @@ def base_spans(docs: DataFrame) -> DataFrame:
         head = F.length(F.regexp_extract(s["value"], rf"^{EDGE}*", 0))
         tail = F.length(F.regexp_extract(s["value"], rf"{EDGE}*$", 0))
         core = F.regexp_replace(F.regexp_replace(s["value"], rf"^{EDGE}*", ""), rf"{EDGE}*$", "")
-        left = F.right(gap[i], F.lit(CONTEXT_CHARS))
-        right = F.left(gap[i + 1], F.lit(CONTEXT_CHARS))
+        # two instances back and one ahead: with the gaps, at least two words before and one after
+        near = lambda k: F.coalesce(F.get("words", i + k)["value"], F.lit(""))
+        before = [near(-2), F.coalesce(F.get(gap, i - 1), F.lit("")), near(-1), gap[i]]
+        left = F.right(F.concat(*[F.right(part, F.lit(CONTEXT_CHARS)) for part in before]), F.lit(CONTEXT_CHARS))
+        right = F.left(F.concat(*[F.left(part, F.lit(CONTEXT_CHARS)) for part in (gap[i + 1], near(1))]), F.lit(CONTEXT_CHARS))
         return F.struct(
             (s["start"] + head).alias("start"),
             (s["end"] - tail).alias("end"),

@@ -105,6 +105,17 @@ def test_context_finds_unknown_identifiers(spark):
     assert not any(out[i]["context"] for i in (*range(12), 200, 201))
 
 
+def test_context_of_adjacent_identifiers(spark):
+    """An instance right after another one has a context: the masked neighbour."""
+    rows = [(i, f"Please reach me user{i}@mail.example.org 10.{i}.7.9 ok") for i in range(10)]
+    rows += [(100, "Please reach me user3@mail.example.org badge-78X ok"), (101, "a plain room 7 8 9 here")]
+    out = {r["doc_id"]: r for r in pii.report(pii.scan(docs(spark, rows))).collect()}
+    text = rows[10][1]
+    at = text.index("badge-78X")
+    assert f"context:{at}:{at + 9}" in out[100]["spans"]
+    assert out[101]["n_context"] == 0 and all(out[i]["n_context"] == 0 for i in range(10))
+
+
 def test_markov_finds_unlabelled_secrets(spark):
     r = random.Random(3)
     letters = secret_scan.ALPHABET[:62]
