@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cargolens import schemas as S
 from cargolens.operators import consume, gold, quality
-from cargolens.plans import medallion
+from cargolens.plans import incremental, medallion
 from cargolens.session import build_session
 from cargolens.sinks import files, publish
 from cargolens.sources import bronze, events, operational, tables
@@ -37,16 +37,19 @@ def _session(args):
 def cmd_land(spark, args):
     """Drain new events into bronze: from a Kafka topic (decoded) or from a
     folder of event files. Values and lines that do not parse go to quarantine."""
-    from cargolens.streaming import jobs
+    from cargolens.streaming import jobs, message_log
 
     # The checkpoint belongs to this landing (one per destination), hidden
     # under the bronze root, so a restart resumes exactly where it stopped.
     checkpoint = args.checkpoint or f"{args.bronze.rstrip('/')}/_landing_checkpoint"
     quarantine = args.quarantine or f"{args.bronze.rstrip('/')}_quarantine"
-    if args.kafka_bootstrap:
-        messages = events.kafka_stream(
-            spark, args.kafka_bootstrap, args.topic, max_offsets_per_trigger=args.messages_per_trigger
-        )
+    if args.kafka_bootstrap or args.topic_folder:
+        if args.topic_folder:
+            messages = message_log.topic_stream(spark, args.topic_folder)
+        else:
+            messages = events.kafka_stream(
+                spark, args.kafka_bootstrap, args.topic, max_offsets_per_trigger=args.messages_per_trigger
+            )
         jobs.land_messages(
             messages.select("key", "value"), args.bronze, quarantine, checkpoint, max_records_per_file=args.records_per_file
         )
@@ -57,6 +60,11 @@ def cmd_land(spark, args):
 
 
 def cmd_silver(spark, args):
+    if args.incremental:
+        done = incremental.run_silver(
+            spark, args.bronze, args.lake, None, args.start, args.end, args.again, args.format
+        )
+        return {"dq_counts": {k: done[k] for k in ("pass", "fail")}, "landings": done["landings"]}
     counts = medallion.run_silver(
         spark, args.bronze, args.lake, None, args.start, args.end, args.format, args.layout
     )
@@ -87,9 +95,15 @@ def cmd_constraints(spark, args):
 
 
 def cmd_publish(spark, args):
-    """Publish bronze events to a topic, keyed by order."""
+    """Publish bronze events to a topic or a topic folder, keyed by order."""
+    from cargolens.streaming import message_log
+
     rows = bronze.LAYOUTS[args.layout](spark, args.bronze, args.start, args.end)
     good = rows.filter(F.col(S.CORRUPT_RECORD).isNull()).select(*S.SHIPMENT_COLUMNS)
+    if args.topic_folder:
+        payload = publish.shipment_payload(good, "event_timestamp")
+        message_log.publish_batch(payload, args.topic_folder, args.partitions, "event_timestamp")
+        return {"topic": args.topic_folder}
     publish.publish_kafka(publish.shipment_payload(good), args.kafka_bootstrap, args.topic)
     return {"topic": args.topic}
 
@@ -113,6 +127,10 @@ def cmd_report(spark, args):
 
 
 def cmd_run(spark, args):
+    if args.incremental:
+        return incremental.run_incremental(
+            spark, args.bronze, args.lake, F.current_timestamp(), args.on_fail, args.start, args.end, args.again, args.format
+        )
     return medallion.run_medallion(
         spark,
         args.bronze,
@@ -144,6 +162,8 @@ def parse(argv=None):
     p.add_argument("--source")
     p.add_argument("--kafka-bootstrap", help="read a topic instead of a folder (needs the Kafka package)")
     p.add_argument("--topic", default="shipment-events")
+    p.add_argument("--topic-folder", help="land, publish: a topic of message files instead of a broker")
+    p.add_argument("--partitions", type=int, default=8, help="partitions of a topic folder")
     p.add_argument("--quarantine")
     p.add_argument("--source-format", default="json")
     p.add_argument("--bronze")
@@ -152,6 +172,8 @@ def parse(argv=None):
     p.add_argument("--checkpoint")
     p.add_argument("--start", help="first ingest day (yyyy-MM-dd); open when not given")
     p.add_argument("--end", help="last ingest day; open when not given")
+    p.add_argument("--incremental", action="store_true", help="silver, run: only landings that no run has processed")
+    p.add_argument("--again", action="store_true", help="with --incremental: the given days' landings once more")
     p.add_argument("--layout", default="lines", choices=sorted(bronze.LAYOUTS), help="bronze layout to read")
     p.add_argument("--format", default="parquet", help="table format of silver and gold, e.g. delta")
     p.add_argument("--operational", help="root of the operational tables as Parquet")

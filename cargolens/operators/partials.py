@@ -51,8 +51,9 @@ def distinct_counts(bitmaps: DataFrame, by: list[str], name: str) -> DataFrame:
 
 
 def kpi_partials(silver: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """The four KPI groupings of each day in one aggregate, mergeable."""
-    by = by or [DAY]
+    """The four KPI groupings of each day in one aggregate, mergeable (``by=[]``:
+    of the whole table)."""
+    by = [DAY] if by is None else by
     sets = [[F.col(c) for c in [*by, *keys]] for keys in gold.KPI_SETS.values()]
     exact, rest, n = C.mean_parts("weight_kg")
     grouped = silver.groupingSets(sets, *[F.col(c) for c in [*by, *gold.KPI_KEYS]])
@@ -68,8 +69,9 @@ def kpi_partials(silver: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
-def merged_gold(kpis: DataFrame, order_ids: DataFrame, run_ts: Column | None = None) -> dict[str, DataFrame]:
-    """The four gold tables from all days' partials, as ``gold.gold_tables``."""
+def merged_gold(kpis: DataFrame, orders: DataFrame, run_ts: Column | None = None) -> dict[str, DataFrame]:
+    """The four gold tables from all partials and (status, unique_orders), as
+    ``gold.gold_tables``."""
 
     def of(name: str, *more: Column) -> DataFrame:
         rows = kpis.filter(F.col("grouping") == F.lit(gold.grouping_of(gold.KPI_SETS[name])))
@@ -90,7 +92,7 @@ def merged_gold(kpis: DataFrame, order_ids: DataFrame, run_ts: Column | None = N
     out = {name: of(name) for name in gold.KPI_SETS}
     # both sides are one row per status: added side by side, not joined
     status = out["shipment_status_summary"].select("status", "total_shipments", F.lit(0).cast("bigint").alias("unique_orders"))
-    orders = distinct_counts(order_ids, ["status"], "unique_orders").select("status", F.lit(0).cast("bigint").alias("total_shipments"), "unique_orders")
+    orders = orders.select("status", F.lit(0).cast("bigint").alias("total_shipments"), "unique_orders")
     both = status.unionByName(orders).groupBy("status")
     out["shipment_status_summary"] = both.agg(F.sum("total_shipments").alias("total_shipments"), F.sum("unique_orders").alias("unique_orders"))
     return {name: gold.in_gold_order(name, gold.stamped(df, run_ts)) for name, df in out.items()}

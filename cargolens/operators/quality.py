@@ -42,18 +42,21 @@ def silver_checks(df: DataFrame, min_rows: int = S.MIN_ROW_COUNT) -> DataFrame:
 CHECK_STATS = ["n", *[f"null_{c}" for c in S.NULL_CHECK_COLUMNS], "bad_status", "min_weight", "null_id", "dq_fails"]
 
 
-def check_stats() -> list[Column]:
+def check_stats(rows: Column | None = None) -> list[Column]:
     """The aggregates behind the checks (``CHECK_STATS``), all but the distinct
-    ids: each of them merges over parts of a table."""
+    ids: each of them merges over parts of a table. ``rows`` limits them to
+    some rows where a filter cannot (metrics observed on a write)."""
+    of = (lambda c: c) if rows is None else (lambda c: c & rows)
+    value = (lambda c: c) if rows is None else (lambda c: F.when(rows, c))
     return [
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in S.NULL_CHECK_COLUMNS],
+        (F.count(F.lit(1)) if rows is None else F.count_if(rows)).alias("n"),
+        *[F.count_if(of(F.col(c).isNull())).alias(f"null_{c}") for c in S.NULL_CHECK_COLUMNS],
         # ~isin skips a null status: null is neither in nor out of the list.
-        F.count_if(~F.col("status").isin(S.VALID_STATUSES)).alias("bad_status"),
-        F.min("weight_kg").alias("min_weight"),
+        F.count_if(of(~F.col("status").isin(S.VALID_STATUSES))).alias("bad_status"),
+        F.min(value(F.col("weight_kg"))).alias("min_weight"),
         # distinct() counts a null id as one value; count_distinct does not.
-        F.coalesce(F.max(F.col("shipment_id").isNull().cast("int")), F.lit(0)).alias("null_id"),
-        F.count_if(F.col("dq_flag") == F.lit(S.FAIL)).alias("dq_fails"),
+        F.coalesce(F.max(value(F.col("shipment_id").isNull().cast("int"))), F.lit(0)).alias("null_id"),
+        F.count_if(of(F.col("dq_flag") == F.lit(S.FAIL))).alias("dq_fails"),
     ]
 
 

@@ -156,6 +156,7 @@ def run_incremental(
         stored = {name: read_partials(spark, out_root, name) for name in PARTIALS}
         files.write_table(partials.merged_checks(stored["checks"], stored["shipment_ids"]), out_root, "checks", fmt)
         failed = quality.gate(tables.read_layer_table(spark, out_root, "checks", fmt), on_fail)
-        for name, table in partials.merged_gold(stored["kpi"], stored["order_ids"], run_ts).items():
+        orders = partials.distinct_counts(stored["order_ids"], ["status"], "unique_orders")
+        for name, table in partials.merged_gold(stored["kpi"], orders, run_ts).items():
             files.write_table(table, out_root, name, fmt)
     return {**counts, "days": days, "failed_checks": [r["check_name"] for r in failed]}

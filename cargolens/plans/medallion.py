@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargolens import schemas as S
-from cargolens.operators import gold, quality, silver
+from cargolens.operators import partials, quality, silver
 from cargolens.plans import incremental
+from cargolens.session import scratch_path
 from cargolens.sinks import files
 from cargolens.sources import bronze, tables
 
@@ -70,7 +71,10 @@ def run_medallion(
     checks = tables.read_layer_table(spark, out_root, "checks", fmt)
     failed_checks = quality.gate(checks, on_fail)
 
-    for name, table in gold.gold_tables(silver_df, run_ts=run_ts).items():
+    # one pass over silver for all KPI groupings; the distinct orders need one of their own
+    kpis = files.write_table(partials.kpi_partials(silver_df, by=[]), scratch_path(spark), "kpis")
+    orders = silver_df.groupBy("status").agg(F.count_distinct("order_id").alias("unique_orders"))
+    for name, table in partials.merged_gold(spark.read.parquet(kpis), orders, run_ts).items():
         files.write_table(table, out_root, name, fmt)
     return {"dq_counts": counts, "failed_checks": [r["check_name"] for r in failed_checks]}
 

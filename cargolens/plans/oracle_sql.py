@@ -611,3 +611,14 @@ ORACLE["topic_stream"] = f"WITH {RAW_CTE}\nSELECT {SHIPMENT_COLS} FROM raw"
 ORACLE["topic_order"] = f"""WITH {RAW_CTE}
 SELECT CAST(order_id AS VARCHAR) AS key, COUNT(*) AS n, CAST(1 AS BIGINT) AS partitions,
   COUNT(*) = COUNT(DISTINCT shipment_id) AS in_order FROM raw GROUP BY 1"""
+ORACLE["landing_exact"] = f"""WITH {RAW_CTE}, t AS (SELECT COUNT(*) AS n FROM raw), l AS (SELECT * FROM (VALUES ('stream'), ('batch')) v(landing))
+SELECT landing, CAST(10 AS BIGINT) AS events, n // 10 AS files FROM t, l WHERE n >= 10
+UNION ALL SELECT landing, n % 10, CAST(1 AS BIGINT) FROM t, l WHERE n % 10 > 0"""
+ORACLE["stream_gate"] = with_silver(
+    """, c AS (SELECT *, COUNT(*) OVER (PARTITION BY shipment_id) AS copies FROM biz)
+SELECT CASE WHEN copies = 1 THEN 'silver' ELSE 'held' END AS place, dq_flag, COUNT(*) AS n FROM c GROUP BY 1, 2
+UNION ALL SELECT 'stopped', NULL, CAST(1 AS BIGINT)"""
+)
+ORACLE["fk_orphans_bucketed"] = (
+    f"SELECT * FROM ({ORACLE['fk_orphans']}) f WHERE constraint_name LIKE 'shipments.%' OR constraint_name LIKE 'inventory.%'"
+)

@@ -122,6 +122,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; what was at ``to`` is replaced."""
+    fs, source = _hadoop(spark, path)
+    _, target = _hadoop(spark, to)
+    fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {path} to {to}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, target = _hadoop(spark, path)
     return fs.exists(target)

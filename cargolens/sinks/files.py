@@ -27,12 +27,17 @@ def land_json_lines(
     partition_by: str | None = "ingest_date",
     mode: str = "append",
     landing: str | None = None,
+    exact: bool = False,
 ) -> None:
     """Bronze landing: JSON Lines, at most ``max_records_per_file`` events per
     file (``S.BRONZE_BATCH_SIZE`` gives the small files of a message consumer),
     one folder per ingest day and, inside it, one per landing. Stream landings
     (``streaming.jobs``) use the same two levels, so both can share a root.
-    Null fields are written as nulls so every file carries all keys."""
+    Null fields are written as nulls so every file carries all keys. With
+    ``exact`` every file but one holds exactly ``max_records_per_file`` events
+    (of each day, where one run lands several)."""
+    if exact:
+        df = in_exact_batches(df, max_records_per_file)
     if partition_by:
         df = df.withColumn("landing", F.lit(landing or uuid.uuid4().hex[:12]))
     writer = (
@@ -45,6 +50,25 @@ def land_json_lines(
     writer.json(path)
 
 
+def in_exact_batches(df: DataFrame, size: int) -> DataFrame:
+    """The rows dealt so that a write with ``maxRecordsPerFile=size`` makes files
+    of exactly ``size`` rows, all but one (STR3: a consumer's batches).
+
+    Rows are numbered through (a task's first number is the count of the rows
+    of earlier tasks), and a range shuffle by batch number keeps every batch in
+    one task and every task's batches whole. ``df`` is evaluated twice and must
+    give the same rows in the same tasks: a table, or a cached frame."""
+    part, place = F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place")
+    rows = df.select("*", part, place)
+    counts = rows.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over tasks, not rows
+    counts = counts.select("_part", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_earlier"))
+    number = F.col("_place") - F.col("_first") + F.col("_earlier")
+    numbered = rows.join(F.broadcast(counts), "_part").withColumn("_batch", F.floor(number / size))  # one row a task
+    dealt = numbered.repartitionByRange("_batch").sortWithinPartitions("_batch", "_place")
+    return dealt.select(*df.columns)
+
+
 def _chunk_arrays(batch_size: int):
     """Join each task's JSON rows, in groups of at most ``batch_size``, into
     JSON array texts. The grouping never leaves the task, so a retried task
