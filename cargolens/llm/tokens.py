@@ -15,9 +15,10 @@ import numpy as np
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 END_ID = 0
-#: Bytes that a worker keeps in each of its three stores before that one starts
-#: afresh (a memory bound, not a result).
-MAX_KEPT_BYTES = 64 << 20
+#: Bytes that a worker keeps before it starts afresh (a memory bound, not a
+#: result): pieces after a blank, which are most of a text, and the two other stores.
+MAX_SPACED_BYTES = 224 << 20
+MAX_KEPT_BYTES = 48 << 20
 #: What an entry costs beside its text and ids: two objects and its place in the store.
 ENTRY_BYTES = 200
 #: Pieces longer than this are encoded each time.
@@ -47,16 +48,16 @@ def _byte_letters() -> dict[int, str]:
 class _Kept(dict):
     """Piece -> ids as little-endian 16-bit bytes, computed when missing."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
         self.held = 0
 
     def __missing__(self, piece):
         ids = self.make(piece)
         if len(piece) <= MAX_KEPT_CHARS:
             size = ENTRY_BYTES + len(piece) + len(ids)
-            if self.held + size > MAX_KEPT_BYTES:
+            if self.held + size > self.most:
                 self.clear()
                 self.held = 0
             self.held += size
@@ -78,9 +79,9 @@ class Encoder:
             raise ValueError("token ids must fit 16 bits")
         self.findall = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = str.maketrans(_byte_letters())
-        self.words = _Kept(self._word)
-        self.first = _Kept(self._piece)
-        self.spaced = _Kept(lambda rest: self._piece(" " + rest))
+        self.words = _Kept(self._word, MAX_KEPT_BYTES)
+        self.first = _Kept(self._piece, MAX_KEPT_BYTES)
+        self.spaced = _Kept(lambda rest: self._piece(" " + rest), MAX_SPACED_BYTES)
 
     def _word(self, word: str) -> bytes:
         merged = self.tok.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
@@ -89,7 +90,10 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         if piece and max(piece) >= _PLAIN_LIMIT:  # leave rare scripts to the library's own splitter
             return np.array(self.tok.encode(piece, add_special_tokens=False).ids, dtype="<u2").tobytes()
-        return b"".join(map(self.words.__getitem__, self.findall(piece)))
+        words = self.findall(piece)
+        if len(words) == 1:  # the caller keeps it; keeping it twice would double the memory
+            return self._word(words[0])
+        return b"".join(map(self.words.__getitem__, words))
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of the whole text, without any end id; null counts as empty."""
