@@ -140,8 +140,13 @@ class State:
     def add(self, ids: DataFrame, batch_id: int) -> None:
         """Remember (id, event_ts)."""
         dated = ids.withColumns({"event_month": F.date_format("event_ts", "yyyy-MM"), "batch": F.lit(f"{batch_id:012d}")})
-        writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("event_month", "batch").parquet(f"{self.path}/ids")
+        self._write("ids", dated)
+
+    def _write(self, table: str, rows: DataFrame) -> None:
+        """Rows into their folders, few files each: a task takes whole months,
+        a month of many rows is dealt to several (by AQE)."""
+        writer = rows.hint("rebalance", "event_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("event_month", "batch").parquet(f"{self.path}/{table}")
 
     def tidy(self, batch_id: int, first_month: str) -> None:
         """Delete what no batch will read again; merge small folders."""
@@ -153,6 +158,7 @@ class State:
         for month, last, path in self._folders("ids"):
             if last < batch_id and "-" not in path.rsplit("batch=", 1)[1]:  # committed batches only
                 small.setdefault(month, []).append((last, path))
+        due = {}
         for month, parts in small.items():
             done = filters[month][0] if month in filters else -1
             for last, path in parts:
@@ -160,19 +166,29 @@ class State:
                     delete_path(self.spark, path)
             parts = [p for p in parts if p[0] > done]
             if len(parts) >= self.merge_at:
-                self._merge(month, parts, filters.get(month))
-
-    def _merge(self, month: str, parts: list[tuple[int, str]], before: tuple[int, str] | None) -> None:
-        first, last = parts[0][0], parts[-1][0]
-        rows = self.read_ids([p for _, p in parts])
-        rows.write.mode("overwrite").parquet(f"{self.path}/ids/event_month={month}/batch={first:012d}-{last:012d}")
+                due[month] = parts
+        if due:
+            self._merge(due, {m: filters[m][1] for m in due if m in filters})
+
+    def _merge(self, due: dict[str, list[tuple[int, str]]], before: dict[str, str]) -> None:
+        """Merge the small folders of all months that are due: one write of ids,
+        one of filters. ``before``: the filters of these months so far."""
+        paths = [path for parts in due.values() for _, path in parts]
+        reader = self.spark.read.schema(f"{self.id_schema}, event_month string, batch string")
+        rows = reader.option("basePath", f"{self.path}/ids").parquet(*paths).drop("batch")
+
+        def named(name_of) -> Column:
+            names = [x for month, parts in due.items() for x in (F.lit(month), F.lit(name_of(parts)))]
+            return F.create_map(*names)[F.col("event_month")].alias("batch")
+
+        self._write("ids", rows.select("*", named(lambda parts: f"{parts[0][0]:012d}-{parts[-1][0]:012d}")))
         slot, bits = slot_and_bits(F.col("id"), self.slots)
-        new = rows.select(slot.alias("slot"), bits.alias("bits"))
+        new = rows.select("event_month", slot.alias("slot"), bits.alias("bits"))
         if before:
-            new = new.unionByName(self.read_filters([before[1]]).select("slot", "bits"))
-        new = new.groupBy("slot").agg(F.bit_or("bits").alias("bits"))
-        new.write.mode("overwrite").parquet(f"{self.path}/filters/event_month={month}/batch={last:012d}")
-        for path in [p for _, p in parts] + ([before[1]] if before else []):
+            new = new.unionByName(self.read_filters(list(before.values())).select("event_month", "slot", "bits"))
+        new = new.groupBy("event_month", "slot").agg(F.bit_or("bits").alias("bits"))
+        self._write("filters", new.select("*", named(lambda parts: f"{parts[-1][0]:012d}")))
+        for path in [*paths, *before.values()]:
             delete_path(self.spark, path)
 
 
