@@ -2,20 +2,23 @@
 STR2, STR4), as Python data sources.
 
 A topic is a folder with one sub-folder per partition. A partition's messages
-lie in segment files, ``<first offset>-<end offset>.jsonl``, one message a line
-(key and value in base64); the offsets of a partition run through from 0. The
-format is the one thing both sides agree on:
+lie in segment files, ``<first offset>-<end offset>.parquet``, in the order of
+their offsets (key, value and time; segments of an earlier version are
+``.jsonl``, one message a line, and stay readable); the offsets of a partition
+run through from 0. The format is the one thing both sides agree on:
 
 * ``message_log`` as a stream or batch source gives (key, value, topic,
-  partition, offset, timestamp), as a broker's source does. The stream's
-  position is the offset per partition, kept in the query's checkpoint; it may
-  lie in the middle of a segment. ``maxOffsetsPerTrigger`` bounds a batch; as
-  Spark asks a Python source for the latest offset without saying where the
-  query stands, the planned position is also kept in the file ``position``
-  (put it into the checkpoint folder).
-* ``message_log`` as a sink appends (key, value). ``publish_stream`` and
-  ``publish_batch`` deal the rows by key first, so a partition has one writer
-  and the order per key is that of the given column.
+  partition, offset, timestamp), as a broker's source does. A task reads at
+  most ``SPAN`` messages. The stream's position is the offset per partition,
+  kept in the query's checkpoint; it may lie in the middle of a segment.
+  ``maxOffsetsPerTrigger`` bounds a batch; as Spark asks a Python source for the
+  latest offset without saying where the query stands, the planned position is
+  also kept in the file ``position`` (put it into the checkpoint folder).
+* ``message_log`` as a sink appends (key, value). ``publish_batch`` deals the
+  rows by ranges of partition and sequence, sorted by Spark: many tasks write a
+  partition, and the commit puts their parts in order. ``publish_stream`` deals
+  every micro-batch by key, so a partition has one writer and an epoch that is
+  replayed gives the same parts. The order per key is that of the given column.
 
 A writer stages its part under ``_pending``; the commit of the epoch, on the
 driver, gives the parts their offsets and renames them in place, and then
@@ -39,28 +42,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
+    DataSourceArrowWriter,
     DataSourceReader,
+    DataSourceStreamArrowWriter,
     DataSourceStreamReader,
-    DataSourceStreamWriter,
-    DataSourceWriter,
     InputPartition,
     WriterCommitMessage,
 )
 from pyspark.sql.streaming import StreamingQuery
 
+from cargolens.sinks.small_files import open_store
+
 FORMAT = "message_log"
 SCHEMA = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
-SEGMENT = re.compile(r"(\d+)-(\d+)\.jsonl$")
-
-
-def _store(path: str):
-    from pyarrow import fs
+SEGMENT = re.compile(r"(\d+)-(\d+)\.(?:jsonl|parquet)$")
+#: Messages that a task reads at most.
+SPAN = 1_000_000
+#: Bytes of messages that a writer holds before it writes them.
+HELD_BYTES = 16 << 20
 
-    if path.startswith("/"):
-        return fs.LocalFileSystem(), path.rstrip("/")
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), re.sub("^file:/+", "/", path).rstrip("/")
-    return fs.FileSystem.from_uri(path.rstrip("/"))
+_store = open_store
 
 
 class Log:
@@ -87,17 +88,44 @@ class Log:
         return {str(p): max((end for _, end, _ in self.segments(p)), default=0) for p in self.partitions()}
 
     def read(self, partition: int, start: int, end: int):
-        """(offset, key, value, milliseconds) of the messages in [start, end)."""
+        """(first offset, Arrow batch of key, value and time) of the messages in [start, end)."""
         for first, last, path in self.segments(partition):
             if last <= start or first >= end:
                 continue
-            with self.fs.open_input_stream(path) as stream:
-                import io
-
-                for i, line in enumerate(io.TextIOWrapper(stream, "utf-8"), first):
-                    if start <= i < end:
-                        m = json.loads(line)
-                        yield i, _bytes(m["k"]), _bytes(m["v"]), m["t"]
+            chunks = self._lines(path) if path.endswith(".jsonl") else self._groups(path, start - first, end - first)
+            for at, batch in chunks:
+                at += first
+                skip, stop = max(0, start - at), min(batch.num_rows, end - at)
+                if skip < stop:
+                    yield at + skip, batch.slice(skip, stop - skip)
+
+    def _groups(self, path: str, start: int, end: int):
+        """(place, batch) of the row groups that meet [start, end)."""
+        import pyarrow.parquet as pq
+
+        with self.fs.open_input_file(path) as f:
+            table, at = pq.ParquetFile(f), 0
+            for i in range(table.num_row_groups):
+                n = table.metadata.row_group(i).num_rows
+                if at < end and at + n > start:
+                    place = at
+                    for batch in table.iter_batches(row_groups=[i]):
+                        yield place, batch
+                        place += batch.num_rows
+                at += n
+
+    def _lines(self, path: str, chunk: int = 10_000):
+        import io
+        import itertools
+
+        import pyarrow as pa
+
+        with self.fs.open_input_stream(path) as stream:
+            lines, at = io.TextIOWrapper(stream, "utf-8"), 0
+            while rows := [json.loads(line) for line in itertools.islice(lines, chunk)]:
+                columns = [[_bytes(m["k"]) for m in rows], [_bytes(m["v"]) for m in rows], [m["t"] for m in rows]]
+                yield at, pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _types(), strict=True)], list("kvt"))
+                at += len(rows)
 
     def stage(self, name: str):
         """An open file that no reader sees, and its path."""
@@ -127,14 +155,15 @@ class Log:
                 places = {int(p): at for p, at in json.loads(f.read()).items()}
         else:
             ends = self.ends()
-            places = {p.partition: ends.get(str(p.partition), 0) for p in parts}
+            places = {p.partition: ends.get(str(p.partition), 0) for p in parts}  # of the first part
             with self.fs.open_output_stream(plan_path) as f:
                 f.write(json.dumps(places).encode())
         for part in parts:
             folder = f"{self.root}/partition={part.partition}"
             self.fs.create_dir(folder, recursive=True)
             at = places[part.partition]
-            target = f"{folder}/{at:020d}-{at + part.messages:020d}.jsonl"
+            places[part.partition] = at + part.messages
+            target = f"{folder}/{at:020d}-{at + part.messages:020d}.parquet"
             if self.fs.get_file_info(target).type == fs.FileType.NotFound:
                 self.fs.move(part.path, target)
             else:  # the interrupted commit came this far
@@ -155,8 +184,10 @@ def _bytes(text: str | None) -> bytes | None:
     return None if text is None else base64.b64decode(text)
 
 
-def _text(value: bytes | None) -> str | None:
-    return None if value is None else base64.b64encode(value).decode()
+def _types():
+    import pyarrow as pa
+
+    return [pa.binary(), pa.binary(), pa.int64()]
 
 
 @dataclass
@@ -177,15 +208,23 @@ class Part(WriterCommitMessage):
     path: str
 
 
+def _spans(partition: int, start: int, end: int) -> list[Span]:
+    return [Span(partition, at, min(at + SPAN, end)) for at in range(start, end, SPAN)]
+
+
 class _Reads:
     def _rows(self, span: Span | None):
-        import datetime
+        import pyarrow as pa
 
         if span is None:  # a topic without messages has no partition to read
             return
         topic = self.path.rstrip("/").split("/")[-1]
-        for offset, key, value, at in Log(self.path).read(span.partition, span.start, span.end):
-            yield key, value, topic, span.partition, offset, datetime.datetime.fromtimestamp(at / 1000)
+        names = ["key", "value", "topic", "partition", "offset", "timestamp"]
+        for first, batch in Log(self.path).read(span.partition, span.start, span.end):
+            n = batch.num_rows
+            time_of = pa.array(batch.column(2).cast(pa.timestamp("ms")).cast(pa.timestamp("us")), pa.timestamp("us")).cast(pa.timestamp("us", "UTC"))
+            columns = [batch.column(0), batch.column(1), pa.repeat(topic, n), pa.repeat(pa.scalar(span.partition, pa.int32()), n)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(range(first, first + n), pa.int64()), time_of], names)
 
 
 class LogReader(_Reads, DataSourceReader):
@@ -193,7 +232,7 @@ class LogReader(_Reads, DataSourceReader):
         self.path = path
 
     def partitions(self):
-        return [Span(int(p), 0, end) for p, end in Log(self.path).ends().items()]
+        return [s for p, end in Log(self.path).ends().items() for s in _spans(int(p), 0, end)]
 
     def read(self, partition):
         return self._rows(partition)
@@ -236,8 +275,7 @@ class LogStreamReader(_Reads, DataSourceStreamReader):
             with store.open_output_stream(f"{path}.new") as f:
                 f.write(json.dumps(end).encode())
             store.move(f"{path}.new", path)
-        spans = [Span(int(p), start.get(p, 0), n) for p, n in sorted(end.items(), key=lambda x: int(x[0]))]
-        return [s for s in spans if s.end > s.start]
+        return [s for p, n in sorted(end.items(), key=lambda x: int(x[0])) for s in _spans(int(p), start.get(p, 0), n)]
 
     def read(self, partition):
         return self._rows(partition)
@@ -247,7 +285,8 @@ class LogStreamReader(_Reads, DataSourceStreamReader):
 
 
 class _Writes:
-    """Tasks stage the rows of their partitions in the order they come."""
+    """Tasks stage the rows (key, value, partition, sequence) of their
+    partitions in the order they come."""
 
     def __init__(self, path: str):
         self.path = path
@@ -255,30 +294,44 @@ class _Writes:
     def write(self, iterator):
         import uuid
 
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+
         log, now = Log(self.path), int(time.time() * 1000)
-        open_files, counts, paths = {}, {}, {}
+        schema = pa.schema(list(zip("kvt", _types(), strict=True)))
+        writers, held, counts, paths, streams = {}, {}, {}, {}, []
+
+        def put(p):
+            table = pa.Table.from_batches(held[p], schema)
+            writers[p].write_table(table, row_group_size=max(1, table.num_rows))
+            held[p] = []
+
         try:
-            for row in self.in_order(iterator):
-                p = row["partition"]
-                if p not in open_files:
-                    open_files[p], paths[p] = log.stage(f"{p}-{uuid.uuid4().hex}")
-                record = json.dumps({"k": _text(row["key"]), "v": _text(row["value"]), "t": now})
-                open_files[p].write(f"{record}\n".encode())
-                counts[p] = counts.get(p, 0) + 1
+            for batch in self.in_order(iterator):
+                partitions = batch.column("partition")
+                for p in pc.unique(partitions).to_pylist():
+                    rows = batch.filter(pc.equal(partitions, p))
+                    if p not in writers:
+                        stream, paths[p] = log.stage(f"{p}-{uuid.uuid4().hex}")
+                        streams.append(stream)
+                        writers[p] = pq.ParquetWriter(stream, schema, compression="zstd", use_dictionary=False)
+                        held[p], counts[p] = [], 0
+                    columns = [rows.column(c).cast(pa.binary()) for c in ("key", "value")]
+                    held[p].append(pa.RecordBatch.from_arrays([*columns, pa.repeat(pa.scalar(now, pa.int64()), rows.num_rows)], schema=schema))
+                    counts[p] += rows.num_rows
+                    if sum(b.nbytes for b in held[p]) >= HELD_BYTES:
+                        put(p)
+            for p in writers:
+                if held[p]:
+                    put(p)
         finally:
-            for f in open_files.values():
+            for f in [*writers.values(), *streams]:
                 f.close()
         return Parts([Part(p, n, paths[p]) for p, n in counts.items()])
 
-    def in_order(self, rows):
-        return rows  # sorted by Spark
-
-    def _parts(self, messages) -> list[Part]:
-        found = [part for m in messages if m is not None for part in m.parts]
-        if len({p.partition for p in found}) < len(found):
-            Log(self.path).drop(found)
-            raise ValueError("several tasks wrote one partition: deal the rows by partition first")
-        return sorted(found, key=lambda p: p.partition)
+    def in_order(self, batches):
+        return batches  # sorted by Spark
 
 
 @dataclass
@@ -286,38 +339,59 @@ class Parts(WriterCommitMessage):
     parts: list[Part]
 
 
-class LogWriter(_Writes, DataSourceWriter):
-    def __init__(self, path: str):
+def _parts(messages, ranged: bool, log: Log) -> list[Part]:
+    """The parts of all tasks, a partition's in the order of the tasks."""
+    found = [part for m in messages if m is not None for part in m.parts]
+    if not ranged and len({p.partition for p in found}) < len(found):
+        log.drop(found)
+        raise ValueError("several tasks wrote one partition: deal the rows by partition first")
+    return sorted(found, key=lambda p: p.partition)
+
+
+class LogWriter(_Writes, DataSourceArrowWriter):
+    def __init__(self, path: str, epoch: str | None = None, ranged: bool = False):
         import uuid
 
         super().__init__(path)
-        self.epoch = f"batch-{uuid.uuid4().hex}"
+        self.epoch, self.ranged = epoch or f"batch-{uuid.uuid4().hex}", ranged
 
     def commit(self, messages):
-        Log(self.path).commit(self.epoch, self._parts(messages))
+        log = Log(self.path)
+        log.commit(self.epoch, _parts(messages, self.ranged, log))
 
     def abort(self, messages):
         Log(self.path).drop([p for m in messages if m is not None for p in m.parts])
 
 
-class LogStreamWriter(_Writes, DataSourceStreamWriter):
+class LogStreamWriter(_Writes, DataSourceStreamArrowWriter):
     def __init__(self, path: str, query: str):
         super().__init__(path)
         self.query = query
 
-    def in_order(self, rows):
+    def in_order(self, batches):
         # Spark does not sort streams; a task holds its part of one micro-batch
-        return sorted(rows, key=lambda r: (r["sequence"] is not None, r["sequence"]))
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        found = list(batches)
+        if not found:
+            return []
+        table = pa.Table.from_batches(found)
+        order = pc.sort_indices(table, sort_keys=[("sequence", "ascending")], null_placement="at_start")
+        return table.take(order).to_batches()
 
     def commit(self, messages, batchId):
-        Log(self.path).commit(f"{self.query}-{batchId:012d}", self._parts(messages))
+        log = Log(self.path)
+        log.commit(f"{self.query}-{batchId:012d}", _parts(messages, False, log))
 
     def abort(self, messages, batchId):
         Log(self.path).drop([p for m in messages if m is not None for p in m.parts])
 
 
 class MessageLog(DataSource):
-    """Options: path; maxOffsetsPerTrigger and position (stream source); query (stream sink)."""
+    """Options: path; maxOffsetsPerTrigger and position (stream source); query
+    (stream sink); epoch, ranged (batch sink: the name of what is written, and
+    whether the tasks hold ascending ranges of partition and sequence)."""
 
     @classmethod
     def name(cls):
@@ -334,7 +408,7 @@ class MessageLog(DataSource):
         return LogStreamReader(self.options["path"], int(most) if most else None, self.options.get("position"))
 
     def writer(self, schema, overwrite):
-        return LogWriter(self.options["path"])
+        return LogWriter(self.options["path"], self.options.get("epoch"), self.options.get("ranged") == "true")
 
     def streamWriter(self, schema, overwrite):
         return LogStreamWriter(self.options["path"], self.options["query"])
@@ -362,21 +436,25 @@ def topic_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format(FORMAT).option("path", path).load()
 
 
-def dealt(messages: DataFrame, partitions: int, sequence: str) -> DataFrame:
-    """(key, value, partition, sequence) with all rows of a partition in one
-    task. A message's partition follows from its key alone; messages without a
-    key are spread by their value."""
+def placed(messages: DataFrame, partitions: int, sequence: str) -> DataFrame:
+    """(key, value, partition, sequence). A message's partition follows from its
+    key alone; messages without a key are spread by their value."""
     by = F.xxhash64(F.coalesce("key", F.col("value")))
-    rows = messages.select("key", "value", F.pmod(by, F.lit(partitions)).cast("int").alias("partition"), F.col(sequence).alias("sequence"))
-    return rows.repartition(partitions, "partition")
+    return messages.select("key", "value", F.pmod(by, F.lit(partitions)).cast("int").alias("partition"), F.col(sequence).alias("sequence"))
+
+
+def dealt(messages: DataFrame, partitions: int, sequence: str) -> DataFrame:
+    """``placed`` with all rows of a partition in one task."""
+    return placed(messages, partitions, sequence).repartition(partitions, "partition")
 
 
 def publish_batch(messages: DataFrame, path: str, partitions: int, sequence: str) -> None:
     """Append (key, value) messages to a topic folder; ``sequence`` is the
     column whose order is kept per key."""
     register(messages.sparkSession)
-    rows = dealt(messages, partitions, sequence).sortWithinPartitions("partition", "sequence")
-    rows.write.format(FORMAT).option("path", path).mode("append").save()
+    order = ["partition", "sequence"]
+    rows = placed(messages, partitions, sequence).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows.write.format(FORMAT).option("path", path).option("ranged", "true").mode("append").save()
 
 
 def publish_stream(
@@ -386,11 +464,15 @@ def publish_stream(
     appended once, whatever is replayed. ``query`` names this publisher for
     good (one per checkpoint). Order holds inside a batch and from batch to
     batch."""
-    from cargolens.streaming.jobs import _run
+    from cargolens.streaming.jobs import _drain
 
     register(messages.sparkSession)
-    writer = dealt(messages, partitions, sequence).writeStream.format(FORMAT).option("path", path).option("query", query)
-    return _run(writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = dealt(batch, partitions, sequence).sortWithinPartitions("partition", "sequence")
+        rows.write.format(FORMAT).option("path", path).option("epoch", f"{query}-{batch_id:012d}").mode("append").save()
+
+    return _drain(messages, checkpoint, write_batch)
 
 
 def drain(source: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
