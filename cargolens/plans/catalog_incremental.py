@@ -18,8 +18,9 @@ DELIVERIES = (("a", DAYS[0], 1), ("b", DAYS[1], 0), ("c", DAYS[0], 2))
 
 
 def _deliver(spark, sf_dir, root):
-    """Land one delivery after the other; yields after each."""
-    raw = fixtures.raw_shipments(spark, sf_dir)
+    """Land one delivery after the other; yields after each. The fixture is
+    assembled once."""
+    raw = fixtures.stored_shipments(spark, sf_dir, f"{root}_shipments")
     for landing, day, rest in DELIVERIES:
         part = raw.filter(F.col("shipment_id") % 3 == rest).withColumn("ingest_date", F.lit(day))
         files.land_json_lines(part, root, landing=landing)
