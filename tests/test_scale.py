@@ -5,12 +5,15 @@ import json
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from cargolens.operators import silver
 from cargolens.plans import catalog_incremental, catalog_more, fixtures
-from cargolens.session import glob_paths, local_os_path, scratch_path
+from cargolens.session import OPEN_FOLDERS, glob_paths, local_os_path, scratch_path
 from cargolens.sinks import files, small_files
-from cargolens.streaming import dedup
+from cargolens.streaming import dedup, jobs
 from cargolens.streaming import message_log as ML
+from tests.helpers import frame, shipment
 
 
 def data_files(path):
@@ -29,6 +32,48 @@ def test_large_landings_are_compressed(spark):
     assert spark.read.schema("id long").json(f"{base}/t").agg(F.count("id"), F.sum("id")).first() == (3000, 2999 * 1500)
 
 
+@F.udf(StringType())
+def folders_open(_):
+    """How many folders the task that computes the value may write side by side."""
+    from pyspark import TaskContext
+
+    return TaskContext.get().getLocalProperty("spark.sql.maxConcurrentOutputFileWriters") or "0"
+
+
+def test_landings_are_not_sorted_by_folder(spark):
+    base = scratch_path(spark, "open")
+    rows = spark.range(3000).select("id", folders_open("id").alias("text"), F.concat(F.lit("2026-01-0"), F.col("id") % 9 + 1).alias("day"))
+    files.land_json_lines(rows, base, 1_000, partition_by="day", landing="a")  # more folders than stay open
+    landed = spark.read.schema("id long, text string, day string").json(base)
+    assert landed.groupBy("text").agg(F.count("id"), F.sum("id")).collect() == [(str(OPEN_FOLDERS), 3000, 2999 * 1500)]
+    assert landed.where("id % 9 + 1 <> cast(right(cast(day as string), 1) as int)").isEmpty()
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
+
+
+def test_silver_is_not_sorted_by_folder(spark, tmp_path):
+    raw = frame(spark, [shipment(shipment_id=i, status="LOST" if i % 3 == 0 else "DELAYED") for i in range(30)])
+    tracked = raw.withColumn("tracking_number", folders_open("shipment_id"))
+    dated = tracked.withColumn("ingest_date", F.lit("2026-01-01"))
+    _, counts = files.write_flagged(silver.flagged(dated), f"{tmp_path}/lake", days=(None, None))
+    assert counts == {"pass": 20, "fail": 10}
+    raw.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(raw.schema).parquet(f"{tmp_path}/in").withColumn("tracking_number", folders_open("shipment_id"))
+    jobs.silver_stream(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    for path in (f"{tmp_path}/lake/shipments", f"{tmp_path}/out"):
+        held = spark.read.parquet(path).groupBy("tracking_number", "dq_flag").count().orderBy("dq_flag").collect()
+        assert held == [(str(OPEN_FOLDERS), "FAIL", 10), (str(OPEN_FOLDERS), "PASS", 20)]
+
+
+def test_stored_tables_are_not_shuffled_before_landing(spark, sf_small, monkeypatch):
+    asked, land = [], files.land_json_arrays
+    monkeypatch.setattr(catalog_more.files, "land_json_arrays", lambda *a, **k: (asked.append(k["writers"]), land(*a, **k)))
+    for cores in (1, 1000):
+        monkeypatch.setattr(catalog_more.SS, "parallelism", lambda _, n=cores: n)
+        n = sum(r["n"] for r in catalog_more.q_arrays_one_day(spark, sf_small).collect())
+        assert n == fixtures.raw_shipments(spark, sf_small).where("shipment_id % 3 = 0").count()
+    assert asked == [None, None, 1000, 1000]
+
+
 def test_small_files_keep_every_row(spark):
     base = scratch_path(spark, "small")
     rows = spark.range(25).coalesce(1).withColumn("ingest_date", F.when(F.col("id") < 20, F.lit("2026-01-01")))
