@@ -10,6 +10,7 @@ in this worker, and asks the library for the new ones only.
 from __future__ import annotations
 
 import re
+from struct import pack
 
 import numpy as np
 
@@ -27,6 +28,8 @@ MAX_KEPT_CHARS = 64
 _BLANK_AFTER_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) ")
 _PLAIN_LIMIT = "ɐ"
+#: Signs that end a word; none of them begins a contraction.
+_STOPS = ".,;:!?"
 
 
 def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
@@ -79,13 +82,34 @@ class Encoder:
             raise ValueError("token ids must fit 16 bits")
         self.findall = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = str.maketrans(_byte_letters())
+        self.blank = " ".translate(self.letters)
+        if hasattr(self.tok.model, "_resize_cache"):
+            self.tok.model._resize_cache(0)  # the stores below know what was met; a second look-up only costs time
+        self.merge = self.tok.model.tokenize
         self.words = _Kept(self._word, MAX_KEPT_BYTES)
         self.first = _Kept(self._piece, MAX_KEPT_BYTES)
-        self.spaced = _Kept(lambda rest: self._piece(" " + rest), MAX_SPACED_BYTES)
+        self.spaced = _Kept(self._spaced, MAX_SPACED_BYTES)
+
+    def _merged(self, letters: str) -> bytes:
+        ids = [t.id for t in self.merge(letters)]
+        return pack(f"<{len(ids)}H", *ids)
 
     def _word(self, word: str) -> bytes:
-        merged = self.tok.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        return np.array([t.id for t in merged], dtype="<u2").tobytes()
+        return self._merged(word.encode().decode("latin-1").translate(self.letters))
+
+    def _spaced(self, rest: str) -> bytes:
+        """Ids of a blank and the piece after it. Letters alone are one word
+        with the blank, so the pattern need not look at them; most pieces that
+        a worker has not met yet are such words."""
+        if rest.isalpha():
+            if rest.isascii():  # letters that stand for themselves
+                return self._merged(self.blank + rest)
+            if max(rest) < _PLAIN_LIMIT:
+                return self._word(" " + rest)
+        letters = rest.rstrip(_STOPS)
+        if letters.isalpha() and max(letters) < _PLAIN_LIMIT:  # one word and the run of signs that ends it
+            return (self.spaced.get(letters) or self.words[" " + letters]) + self.words[rest[len(letters) :]]
+        return self._piece(" " + rest)
 
     def _piece(self, piece: str) -> bytes:
         if piece and max(piece) >= _PLAIN_LIMIT:  # leave rare scripts to the library's own splitter

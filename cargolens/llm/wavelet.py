@@ -40,6 +40,8 @@ BLOCK = 512
 CHUNK = 1 << 13
 #: Unpacked chunks that a matrix keeps.
 KEPT_CHUNKS = 64
+#: Ids that change their place at once.
+STEP = 1 << 14
 SHARD_TOKENS = 1 << 20
 #: Documents in one Arrow batch.
 BATCH_ROWS = 1024
@@ -67,10 +69,10 @@ class WaveletMatrix:
         for k in range(BITS):
             bit = (ids & np.uint16(1 << (BITS - 1 - k))) != 0
             planes.append(np.packbits(bit, bitorder="little"))
-            high = np.flatnonzero(bit)  # taking by place is several times faster than by mask
-            zeros.append(n - len(high))
-            if len(high):
-                ids = np.concatenate([ids.take(np.flatnonzero(~bit)), ids.take(high)])
+            ones = int(np.count_nonzero(bit))
+            zeros.append(n - ones)
+            if 0 < ones < n:
+                ids = parted(ids, bit, n - ones)
         ones = np.stack([directory(p)[: blocks_of(n)] for p in planes])
         return cls(n, zeros, ones, lambda k, j: planes[k][j * CHUNK : (j + 1) * CHUNK])
 
@@ -98,10 +100,8 @@ class WaveletMatrix:
                 out |= np.uint16(1 << (BITS - 1 - k))
                 continue
             bit = np.unpackbits(self.plane(k), count=self.n, bitorder="little").view(bool)
-            above = np.empty_like(out)
-            above[np.flatnonzero(~bit)] = out[:zeros]
-            above[np.flatnonzero(bit)] = out[zeros:] | np.uint16(1 << (BITS - 1 - k))
-            out = above
+            out[zeros:] |= np.uint16(1 << (BITS - 1 - k))
+            out = rejoined(out, bit, zeros)
         return out
 
     def _byte(self, k: int, at: int) -> int:
@@ -214,6 +214,35 @@ class WaveletMatrix:
         return cls(n, zeros, ones, chunk_of)
 
 
+def parted(ids: np.ndarray, bit: np.ndarray, zeros: int) -> np.ndarray:
+    """The ids without the bit, then those with it, ``STEP`` at a time: the
+    places of a step stay in the cache (and by place is faster than by mask)."""
+    out = np.empty_like(ids)
+    low, high = 0, zeros
+    for a in range(0, len(ids), STEP):
+        part, b = ids[a : a + STEP], bit[a : a + STEP]
+        one = np.flatnonzero(b)
+        zero = np.flatnonzero(~b)
+        out[low : low + len(zero)] = part.take(zero)
+        out[high : high + len(one)] = part.take(one)
+        low, high = low + len(zero), high + len(one)
+    return out
+
+
+def rejoined(ids: np.ndarray, bit: np.ndarray, zeros: int) -> np.ndarray:
+    """The ids back in the order that ``parted`` took them from."""
+    out = np.empty_like(ids)
+    low, high = 0, zeros
+    for a in range(0, len(ids), STEP):
+        part, b = out[a : a + STEP], bit[a : a + STEP]
+        one = np.flatnonzero(b)
+        zero = np.flatnonzero(~b)
+        part[zero] = ids[low : low + len(zero)]
+        part[one] = ids[high : high + len(one)]
+        low, high = low + len(zero), high + len(one)
+    return out
+
+
 def blocks_of(n: int) -> int:
     """Entries of the rank directory of a plane of n bits."""
     return n // BLOCK + 1

@@ -27,6 +27,24 @@ def test_ids_equal_the_library(text):
     assert tokens.encoder(tokens.tokenizer_path()).encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_new_words_go_straight_to_the_merges(library, monkeypatch):
+    enc = tokens.Encoder(tokens.tokenizer_path())
+    looked, find = [], enc.findall
+    monkeypatch.setattr(enc, "findall", lambda piece: looked.append(piece) or find(piece))
+    text = "Start thesntha laarciñ ofanstinor, eanton!? Vioié. don't ªº a1 ɐb ..."
+    assert enc.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert looked == ["Start", " don't", " a1", " ..."]
+
+
+@pytest.mark.parametrize("n", [0, 1, wavelet.STEP, 2 * wavelet.STEP + 5])
+def test_parting_and_rejoining(n):
+    rng = np.random.default_rng(n)
+    ids, bit = rng.integers(0, 1 << 16, n).astype(np.uint16), rng.integers(0, 2, n).astype(bool)
+    out = wavelet.parted(ids, bit, n - int(bit.sum()))
+    assert (out == np.concatenate([ids[~bit], ids[bit]])).all()
+    assert (wavelet.rejoined(out, bit, n - int(bit.sum())) == ids).all()
+
+
 def test_kept_pieces_are_bounded():
     kept = tokens._Kept(lambda p: p.encode(), 3 * (tokens.ENTRY_BYTES + 2))
     assert [kept[c] for c in "abcdea"] == [c.encode() for c in "abcdea"] and len(kept) <= 3
