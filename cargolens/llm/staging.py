@@ -44,7 +44,7 @@ def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``docs`` written with a row number that stays the same in every later
     read, and that number's column: repeated rows can be told apart."""
     row = fresh(docs, "_row")
-    return staged(docs.withColumn(row, F.monotonically_increasing_id()), name), row
+    return staged(docs.withColumn(row, F.monotonically_increasing_id()), name, "zstd"), row
 
 
 def ranked(rows: DataFrame, group: str, order: list[str]) -> DataFrame:

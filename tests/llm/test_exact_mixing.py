@@ -7,7 +7,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cargolens.llm import exact, mixing
+from cargolens.llm import exact, mixing, staging
 from tests.llm.helpers import docs, odd_rows
 
 
@@ -131,3 +131,9 @@ def test_inclusion_is_unequal_and_right(spark):
 def test_mix_empty(spark):
     assert mixing.mix(docs(spark, [])).count() == 0
     assert mixing.mix(docs(spark, [(1, None), (2, "")])).where("taken > 0").count() == 0
+
+
+def test_numbered_documents_are_packed_tightly(spark):
+    rows, row = staging.numbered(docs(spark, [(1, "a text"), (2, None), (2, None)]), "documents")
+    assert rows.inputFiles() and all(f.endswith(".zstd.parquet") for f in rows.inputFiles())
+    assert rows.count() == 3 == rows.select(row).distinct().count()
