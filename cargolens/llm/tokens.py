@@ -83,8 +83,6 @@ class Encoder:
         self.findall = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = str.maketrans(_byte_letters())
         self.blank = " ".translate(self.letters)
-        if hasattr(self.tok.model, "_resize_cache"):
-            self.tok.model._resize_cache(0)  # the stores below know what was met; a second look-up only costs time
         self.merge = self.tok.model.tokenize
         self.words = _Kept(self._word, MAX_KEPT_BYTES)
         self.first = _Kept(self._piece, MAX_KEPT_BYTES)
