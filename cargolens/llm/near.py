@@ -19,15 +19,27 @@ band put texts into one bucket: a pair at 0.8 meets in some bucket with
 probability 0.9994.
 
 No bucket is expanded into all pairs. First every member is compared with the
-bucket's first one (in an order by hash). After that only strays, members
-outside the largest class of a bucket, are compared, each with the members at
-growing distances behind it: 1, then up to 15, up to 127 and so on, round the
-bucket. In a group of near copies nearly all strays find the class in the first
-rounds, so the pairs grow with the group and not with its square; a stray that
-finds none goes on until it has met the whole bucket, so no pair of different
-classes in a bucket stays uncompared. Members are found by their place
-(a join on bucket and place), so a large bucket is spread over all tasks.
-Pairs that share less than ``MIN_SHARED`` of their samples are not verified (a
+bucket's first one (in an order by hash). What is left lies in the open
+buckets, those that hold several classes.
+
+Texts of open buckets that share a rare shingle (one that at most ``HELD`` of
+these texts hold) are compared as such. Any other pair has no more in common
+than the lesser of both texts' weight in common shingles, so it is similar only
+if a's weight is at most b's reach and b's at most a's reach, where a text's
+reach is (1 + 1 / SIMILARITY) times its weight in common shingles, less its
+weight. This bound leaves out most copies that were edited too much, without
+naming their pairs.
+
+After that only strays, members outside the largest class of a bucket, are
+compared. A bucket's members are placed by weight, so those that a stray may be
+similar to lie in one span; it meets them at growing distances behind it: 1,
+then up to 15, up to 127 and so on, round the span. In a group of near copies
+most strays find the class in the first rounds; a stray that finds none goes on
+until it has met its span, so no pair in a bucket that may be similar stays
+uncompared, unless its classes are joined before. Members are found by their
+place (a join on bucket and place), so a large bucket is spread over all tasks.
+Strays inside the bound that find no class still cost the square of their
+number. Pairs that share less than ``MIN_SHARED`` of their samples are not verified (a
 pair at 0.8 falls below with probability 1e-6); all others are verified on
 their texts.
 
@@ -55,6 +67,10 @@ SAMPLES = BANDS * ROWS
 MIN_SHARED = 0.5
 #: By what the distance that a stray has covered grows in a round.
 REACH = 8
+#: Texts that hold a rare shingle at most: all pairs of them are compared.
+HELD = 8
+#: Share by which sums of weights may be off.
+SLACK = 1e-6
 #: Row numbers that are broadcast at most; beyond it, texts are shuffled.
 BROADCAST_ROWS = 200_000
 #: Links that one task connects at most; beyond it, labels are passed on in Spark.
@@ -284,6 +300,59 @@ def similarities(a, b, idf: np.ndarray) -> np.ndarray:
     return low / np.maximum(total - low, 1e-9)
 
 
+def weighted(texts: DataFrame, idf) -> DataFrame:
+    """(row, shingle, weight) of all distinct shingles of (row, text)."""
+
+    def compute(batches):
+        import pyarrow as pa
+
+        for part in (part for batch in batches for part in slices(batch, 1)):
+            doc, ids, times = shingles(*listed(part.column(1)))
+            columns = [part.column(0).take(pa.array(doc)), pa.array(ids.view(np.int64)), pa.array(weigh(ids, times, idf.value), pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "shingle", "weight"])
+
+    words = hashed(split_words(F.col("text"))).alias("h")
+    return texts.select("row", words).mapInArrow(compute, "row long, shingle long, weight double")
+
+
+def rare_pairs_and_reaches(texts: DataFrame, idf, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(a, b), a < b, of the texts that share a rare shingle, and (row, weight,
+    reach) of all: other pairs are similar only if each one's weight is within
+    the other's reach."""
+    weights = staged(weighted(texts, idf), "weights")
+    held = staged(weights.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "held")
+    rare = weights.join(held.where(F.col("n") <= HELD).select("shingle"), "shingle").groupBy("shingle").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    firsts = rare.select("rows").distinct().select("rows", F.posexplode("rows").alias("at", "a"))
+    pairs = firsts.select("a", F.explode(F.slice("rows", F.col("at") + 2, HELD)).alias("b")).distinct()
+
+    common = weights.join(held.where(F.col("n") > HELD).select("shingle"), "shingle", "left_semi").groupBy("row").agg(F.sum("weight").alias("common"))
+    whole = weights.groupBy("row").agg(F.sum("weight").alias("weight")).join(common, "row", "left")
+    reach = (1 + 1 / max(similarity, 1e-9)) * F.coalesce("common", F.lit(0.0)) - F.col("weight")
+    # rounded sums must not lose a pair
+    return pairs, staged(whole.select("row", "weight", (reach + SLACK * F.col("weight")).alias("reach")), "reaches")
+
+
+def spans(members: DataFrame, similarity: float) -> DataFrame:
+    """(bucket, row, idx, low, width): a member's place by weight in its bucket,
+    and where the members whose weights lie within its reach begin and how many there are."""
+    own = members.select("bucket", "row", F.col("weight").alias("at"), F.lit(1).alias("kind"))
+    low = members.select("bucket", "row", (F.col("weight") * (similarity - SLACK)).alias("at"), F.lit(0).alias("kind"))
+    high = members.select("bucket", "row", F.col("reach").alias("at"), F.lit(2).alias("kind"))
+
+    def places(rows: DataFrame, name: str) -> DataFrame:
+        rows = ranked(rows.withColumn("order", F.xxhash64("row")), "bucket", ["at", "kind", "order", "row"])
+        return rows.select("bucket", "row", "kind", F.col("idx").alias(name))
+
+    # members before a limit: its place among members and limits, less that among limits
+    limits = low.unionByName(high)
+    alone = places(own, "alone").unionByName(places(limits, "alone"))
+    both = places(own.unionByName(limits), "among").join(alone, ["bucket", "row", "kind"])
+    at = lambda kind, value: F.max(F.when(F.col("kind") == kind, value))
+    before = F.col("among") - F.col("alone")
+    found = both.groupBy("bucket", "row").agg(at(1, F.col("alone")).alias("idx"), at(0, before).alias("low"), at(2, before).alias("high"))
+    return found.select("bucket", "row", "idx", "low", F.greatest(F.col("high") - F.col("low"), F.lit(0)).alias("width"))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, idf, similarity: float) -> DataFrame:
     """The pairs (a, b, label_a, label_b) that are similar; ``texts`` has (row, text)."""
     names = ["a", "b", "label_a", "label_b"]
@@ -415,25 +484,36 @@ def merged_labels(node_signs: DataFrame, texts: DataFrame, idf, similarity: floa
     found = similar(apart.select("a", "b", F.col("a").alias("label_a"), F.col("b").alias("label_b")))
     labels = merge(spark.createDataFrame([], "row long, label long"), found)
 
-    open_ = in_buckets(members.select("bucket", "row"), labels)
+    open_ = in_buckets(members, labels)
     if open_.isEmpty():
         return labels
-    placed = ranked(open_.select("bucket", "row", "label", "largest", order.alias("order")), "bucket", ["order", "row"])
-    # ``next``: the least distance not yet covered; the first one (at 0) has met all
-    start = F.when(F.col("idx") == 0, F.col("total")).otherwise(F.lit(1).cast("long")).alias("next")
-    state = staged(placed.select("bucket", "idx", "row", "total", start, "label", "largest"), "state")
+    rows = staged(open_.select("row").distinct(), "open_rows")
+    many = rows.count() > BROADCAST_ROWS
+    pairs, reaches = rare_pairs_and_reaches(texts.join(rows if many else F.broadcast(rows), "row", "left_semi"), idf, similarity)
+    for c in "ab":
+        of = labels.select(F.col("row").alias(c), F.col("label").alias(f"label_{c}"))
+        pairs = pairs.join(of, c, "left").withColumn(f"label_{c}", F.coalesce(f"label_{c}", c))
+    labels = merge(labels, similar(pairs.where("label_a <> label_b").select("a", "b", "label_a", "label_b")))
+
+    # the first one has met all; who has nobody within reach meets none
+    live = in_buckets(open_.where("row <> first").select("bucket", "row"), labels).join(reaches, "row")
+    ends = live.groupBy("bucket").agg(F.min("weight").alias("least"), F.max("reach").alias("most"))
+    live = live.join(ends, "bucket").where("reach >= least and weight <= most").drop("label", "largest", "least", "most")
+    live = staged(live, "live")
+    state = live.join(spans(live, similarity), ["bucket", "row"]).withColumn("next", F.lit(1).cast("long"))
+    state = in_buckets(state, labels)  # ``next``: the least distance not yet covered
     while True:
-        stray = (F.col("label") != F.col("largest")) & (F.col("next") < F.col("total"))
-        until = F.least(F.when(F.col("next") == 1, 2).otherwise(F.col("next") * REACH), F.col("total"))
+        stray = (F.col("label") != F.col("largest")) & (F.col("next") <= F.col("width"))
+        until = F.least(F.when(F.col("next") == 1, 2).otherwise(F.col("next") * REACH), F.col("width") + 1)
         strays = state.where(stray)
         if strays.isEmpty():
             return labels
-        far = strays.select("bucket", "idx", "total", F.col("row").alias("a"), F.col("label").alias("label_a"), F.explode(F.sequence("next", until - 1)).alias("far"))
-        far = far.withColumn("idx", (F.col("idx") + F.col("far")) % F.col("total")).where("idx > 0").drop("total", "far")
-        pairs = far.join(state.select("bucket", "idx", F.col("row").alias("b"), F.col("label").alias("label_b")), ["bucket", "idx"])
+        far = strays.select("bucket", "idx", "low", "width", F.col("row").alias("a"), F.col("label").alias("label_a"), F.col("weight").alias("weight_a"), F.explode(F.sequence("next", until - 1)).alias("far"))
+        far = far.withColumn("idx", F.col("low") + (F.col("idx") - F.col("low") + F.col("far")) % F.col("width")).drop("low", "width", "far")
+        pairs = far.join(state.select("bucket", "idx", F.col("row").alias("b"), F.col("label").alias("label_b"), "reach"), ["bucket", "idx"])
         turned = F.col("a") > F.col("b")
         swap = lambda x, y: F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x)
-        pairs = pairs.where("label_a <> label_b").select(swap("a", "b"), swap("b", "a"), swap("label_a", "label_b"), swap("label_b", "label_a"))
+        pairs = pairs.where("label_a <> label_b and weight_a <= reach").select(swap("a", "b"), swap("b", "a"), swap("label_a", "label_b"), swap("label_b", "label_a"))
         found = similar(pairs)
         state = state.withColumn("next", F.when(stray, until).otherwise(F.col("next"))).drop("label", "largest")
         labels = merge(labels, found)

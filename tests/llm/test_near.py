@@ -219,6 +219,69 @@ def test_a_stray_meets_the_whole_bucket(spark, monkeypatch):
     assert out[107] == 7 and out[123] == 23 and len(set(out.values())) == 60
 
 
+def hot_group(seed=4, copies=240):
+    """A text, and copies with one to thirteen words replaced: most are below the similarity to any other."""
+    r = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, copies):
+        words = list(base)
+        for at in r.sample(range(150), 1 + i % 13):
+            words[at] = f"edit{r.randrange(10**9)}"
+        rows.append((i, " ".join(words if i % 7 else words[: 150 - i % 5])))
+    return rows
+
+
+def test_copies_edited_too_much_are_not_compared_with_each_other(spark, monkeypatch):
+    """Same classes as by brute force, without naming the pairs of strays, though all share every bucket."""
+    rows = hot_group()
+    rows += [(1000, rows[12][1].replace("w3 ", "other ")), (1001, rows[25][1].replace(" w140", " else"))]
+    monkeypatch.setattr(near, "bands_of", lambda signs: np.ones((len(signs), near.BANDS), np.int64))
+    monkeypatch.setattr(near, "RARE", 1.0)  # equal weights
+    pairs = []
+    real = near.verified
+    monkeypatch.setattr(near, "verified", lambda p, *rest: pairs.append(p.count()) or real(p, *rest))
+    groups = defaultdict(list)
+    for r in near.classes(docs(spark, rows)).collect():
+        groups[r["class_id"]].append(r["doc_id"])
+    sets = shingle_sets([t for _, t in rows])
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            low = sum((sets[a] & sets[b]).values())
+            if low / (sum(sets[a].values()) + sum(sets[b].values()) - low) >= 0.8:
+                parent[find(a)] = find(b)
+    want = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        want[find(i)].append(d)
+    assert sorted(sorted(g) for g in groups.values()) == sorted(sorted(g) for g in want.values())
+    assert len(want) > 100 and any(1000 in g and 12 in g for g in want.values())
+    assert sum(pairs) < 0.15 * len(rows) ** 2 / 2, pairs
+
+
+def test_spans(spark):
+    """Places by weight, and the members within reach, against counting."""
+    r = random.Random(9)
+    members = [(b, i, float(r.randint(50, 90)), 0.0) for b in (1, 2) for i in range(60)]
+    members = [(b, i, w, w * r.uniform(0.7, 1.25)) for b, i, w, _ in members]
+    out = near.spans(spark.createDataFrame(members, "bucket long, row long, weight double, reach double"), 0.8).collect()
+    assert len(out) == 120
+    of = {(b, i): (w, reach) for b, i, w, reach in members}
+    for x in out:
+        w, reach = of[x["bucket"], x["row"]]
+        weights = sorted(v for (b, _), (v, _) in of.items() if b == x["bucket"])
+        low = sum(v < w * (0.8 - near.SLACK) for v in weights)
+        assert x["low"] == low and x["width"] == max(0, sum(v <= reach for v in weights) - low)
+        assert weights[x["idx"]] == w
+    assert sorted(x["idx"] for x in out) == sorted([*range(60)] * 2)
+
+
 def test_many_null_and_equal_ids(spark):
     """Texts are found by row, not by id: equal and null ids do not multiply."""
     rows = [(None if i % 2 else 5, f"text number {i // 2} of the rows without a name") for i in range(200)]
