@@ -287,14 +287,13 @@ def write(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, tokenize
             done, shard, held, doc_ids, parts = done + held, shard + 1, 0, [], []
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names=names)
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = enc.encode_document(text.as_py())
-                doc_ids.append(doc_id)
-                parts.append(ids)
-                held += len(ids)
-                if held >= shard_tokens:
-                    yield close()
+        rows = ((doc_id, text.as_py()) for b in batches for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True))
+        for doc_id, ids in enc.encode_documents(rows):
+            doc_ids.append(doc_id)
+            parts.append(ids)
+            held += len(ids)
+            if held >= shard_tokens:
+                yield close()
         if parts:
             yield close()
 

@@ -36,6 +36,41 @@ def test_new_words_go_straight_to_the_merges(library, monkeypatch):
     assert looked == ["Start", " don't", " a1", " ..."]
 
 
+ODD_TEXTS = [None, "", " ", "  ", "a ", " a", "a  b", "\n a", "a\n b c", "é\xa0 b", "x\u3000 y z", "漢 İb the", "end.\nNew thrn, the.", "<|endoftext|> ÿ Ġ", "a\x1c b"]
+
+
+def test_texts_encoded_together_ask_the_library_once_a_word(library, monkeypatch):
+    monkeypatch.setattr(tokens, "TOGETHER_CHARS", 4000)
+    enc = tokens.Encoder(tokens.tokenizer_path())
+    plain = [f"start {w} thonti, {w}. er{w}\nNew{w} {w}" for w in ("sttible", "hereath", "éleçque", "ouédies")]
+    rows = list(enumerate(plain * 300 + ODD_TEXTS * 3))
+    singly = []
+    merge = enc.merge
+    monkeypatch.setattr(enc, "merge", lambda letters: singly.append(letters) or merge(letters))
+    out = list(enc.encode_documents(iter(rows[: len(plain) * 300])))
+    assert singly == ["start"]  # a first piece, which follows no blank
+    out += enc.encode_documents(iter(rows[len(plain) * 300 :]))
+    assert [i for i, _ in out] == [i for i, _ in rows]
+    for (_, ids), (_, text) in zip(out, rows, strict=True):
+        assert ids.tolist() == [*library.encode(text or "", add_special_tokens=False).ids, tokens.END_ID]
+    assert list(enc.encode_documents([])) == []
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="ab1'sé.,| \n\t\r\v\x1c\x85\xa0\u2003\u3000漢İÿ<>", max_size=40), max_size=6))
+def test_texts_encoded_together_are_as_encoded_singly(texts):
+    enc = tokens.encoder(tokens.tokenizer_path())
+    out = [ids.tolist() for _, ids in enc.encode_documents(enumerate(texts))]
+    assert out == [enc.encode_document(t).tolist() for t in texts]
+
+
+def test_words_take_several_calls(library, monkeypatch):
+    monkeypatch.setattr(tokens, "CALL_WORDS", 3)
+    enc = tokens.Encoder(tokens.tokenizer_path())
+    words = [" thesntha", "\n", " éanton", "漢", " ", "ÿ", "..."]
+    assert [np.frombuffer(b, "<u2").tolist() for b in enc._words(words)] == [library.encode(w, add_special_tokens=False).ids for w in words]
+
+
 @pytest.mark.parametrize("n", [0, 1, wavelet.STEP, 2 * wavelet.STEP + 5])
 def test_parting_and_rejoining(n):
     rng = np.random.default_rng(n)
