@@ -125,7 +125,18 @@ def now_and_then(_):
     return random.random() < 0.5
 
 
-def test_exact_batches_need_one_pass(spark):
+@pytest.mark.parametrize("size", [10, 100])
+def test_exact_batches_are_consecutive(spark, size):
+    base = scratch_path(spark, "consecutive")
+    rows = spark.range(0, 400, 1, 9).filter((F.col("id") < 100) | (F.col("id") > 150))
+    dated = rows.withColumn("ingest_date", F.when(F.col("id") > 300, F.lit("2026-01-01")).otherwise(F.lit("2026-01-02")))
+    files.land_json_lines(dated, f"{base}/out", size, exact=True, landing="a")
+    got = bronze.read_small_lines(spark, f"{base}/out", "id long").groupBy("file").agg(F.collect_list("id").alias("ids")).collect()
+    days = [i for i in range(301) if not 100 <= i <= 150], [*range(301, 400)]
+    assert sorted(r["ids"] for r in got) == sorted(d[i : i + size] for d in days for i in range(0, len(d), size))
+
+
+def test_exact_batches_need_no_equal_passes(spark):
     """Rows that differ from pass to pass, of two days, in tasks of all sizes."""
     base = scratch_path(spark, "one_pass")
     rows = spark.range(0, 400, 1, 9).filter(now_and_then.asNondeterministic()("id") & ((F.col("id") < 100) | (F.col("id") > 150)))
